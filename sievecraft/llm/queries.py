@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language_id import op4_language_id
 from .quality_model import op1_quality_classifier
+from .quality_rules import op10_quality_rules
 from .toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op4_language_id": op4_language_id,
     "op7_toxicity": op7_toxicity,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}
