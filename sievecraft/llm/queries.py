@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from .language_id import op4_language_id
 from .quality_model import op1_quality_classifier
 from .quality_rules import op10_quality_rules
+from .separator_scan import op8_token_counts
+from .token_codes import op5_token_ids
 from .toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op4_language_id": op4_language_id,
+    "op5_token_ids": op5_token_ids,
     "op7_toxicity": op7_toxicity,
+    "op8_token_counts": op8_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
 
