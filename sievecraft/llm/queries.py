@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .byte_bpe import op9_byte_bpe
 from .language_id import op4_language_id
 from .quality_model import op1_quality_classifier
 from .quality_rules import op10_quality_rules
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_ids": op5_token_ids,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
