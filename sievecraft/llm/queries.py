@@ -10,6 +10,7 @@ from .byte_bpe import op9_byte_bpe
 from .language_id import op4_language_id
 from .quality_model import op1_quality_classifier
 from .quality_rules import op10_quality_rules
+from .repeats import op6_suffix_array_dedup
 from .separator_scan import op8_token_counts
 from .token_codes import op5_token_ids
 from .toxicity import op7_toxicity
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op4_language_id": op4_language_id,
     "op5_token_ids": op5_token_ids,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
