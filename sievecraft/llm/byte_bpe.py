@@ -153,8 +153,8 @@ def frequent(documents: DataFrame, literals: DataFrame, cache: int, sample: int)
     return filled.agg(F.array_sort(F.collect_list(F.struct("slot", "e"))).alias("s")).select(F.transform("s", lambda x: F.map_from_entries(x["e"])).alias("known"))
 
 
-def encode(documents: DataFrame, path: str, cache: int = 400_000, sample: int = 40_000) -> DataFrame:
-    """(doc_id, ids, decoded): binary columns of every row's little-endian ids and what they decode to."""
+def encode(documents: DataFrame, path: str, cache: int = 400_000, sample: int = 40_000, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, *keep, ids, decoded): binary columns of every row's little-endian ids and what they decode to."""
     literals = save(rank_literals(documents.sparkSession, path), "bpe-ranks")
     known = save(frequent(documents, literals, cache, sample), "bpe-known")
     both = known.withColumns({c: literals.select(c).scalar() for c in ("pairs", "bytes", "tokens")})
@@ -164,7 +164,7 @@ def encode(documents: DataFrame, path: str, cache: int = 400_000, sample: int =
         return let(F.transform(pieces(F.col("text")), one), lambda c: F.struct(F.array_join(c["ids"], "").alias("ids"), F.array_join(c["back"], "").alias("back")))
 
     rows = with_literals(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), both)
-    return rows.select("doc_id", let(F.col("lit"), coded).alias("x")).select("doc_id", F.unhex("x.ids").alias("ids"), F.unhex("x.back").alias("decoded"))
+    return rows.select("doc_id", *keep, let(F.col("lit"), coded).alias("x")).select("doc_id", *keep, F.unhex("x.ids").alias("ids"), F.unhex("x.back").alias("decoded"))
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import op9_byte_bpe
+from .decontamination import OP3_SQL, op3_benchmark_decontamination
 from .language_id import op4_language_id
+from .near_copies import op2_ngram_jaccard_join
 from .quality_model import op1_quality_classifier
 from .quality_rules import op10_quality_rules
 from .repeats import op6_suffix_array_dedup
@@ -17,6 +19,8 @@ from .toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_language_id": op4_language_id,
     "op5_token_ids": op5_token_ids,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
@@ -26,4 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": OP3_SQL,
+}

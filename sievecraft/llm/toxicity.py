@@ -137,30 +137,51 @@ def _descend(sample, buckets: np.ndarray, rank: int, epochs: int, seed: int) ->
     return FactorizationMachine(float(bias), buckets, w, v)
 
 
+def _scorer(model: FactorizationMachine):
+    """A function from texts to scores."""
+    place = {int(b): i for i, b in enumerate(model.buckets)}
+    known: dict[str, tuple[int, ...]] = {}
+
+    def scores(texts: list[str | None]) -> np.ndarray:
+        out = np.zeros(len(texts))
+        for i, text in enumerate(texts):
+            active: set[int] = set()
+            for word in set(WORD.findall((text or "").lower())):
+                if (b := known.get(word)) is None:
+                    if len(known) >= REMEMBER:
+                        known.clear()
+                    b = known[word] = tuple(place[x] for x in word_buckets(word) if x in place)
+                if b:
+                    active.update(b)
+            out[i] = model.logit(sorted(active))
+        return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+
+    return scores
+
+
 def score(documents: DataFrame, model: FactorizationMachine) -> DataFrame:
     """(doc_id, score, predicted) of every row of documents."""
-    place = {int(b): i for i, b in enumerate(model.buckets)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[int, ...]] = {}
+        scores = _scorer(model)
         for batch in batches:
-            out = np.zeros(batch.num_rows)
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                active: set[int] = set()
-                for word in set(WORD.findall((text or "").lower())):
-                    if (b := known.get(word)) is None:
-                        if len(known) >= REMEMBER:
-                            known.clear()
-                        b = known[word] = tuple(place[x] for x in word_buckets(word) if x in place)
-                    if b:
-                        active.update(b)
-                out[i] = model.logit(sorted(active))
-            p = 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+            p = scores(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def keep_accepted(documents: DataFrame, model: FactorizationMachine, threshold: float = 0.5) -> DataFrame:
+    """The rows of documents, all columns, whose score is below the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = _scorer(model)
+        for batch in batches:
+            yield batch.filter(pa.array(scores(batch.column("text").to_pylist()) < threshold))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = fold(F.col("doc_id"), 5) == 0
