@@ -64,9 +64,9 @@ def bitmap(values: DataFrame, column: str) -> np.ndarray:
     """A bit for each value of a column of 64-bit hashes. The driver gets at most BITS / 64 words."""
     at = F.col(column).bitwiseAND(F.lit(BITS - 1))
     words = values.select(F.shiftright(at, 6).alias("w"), at.bitwiseAND(F.lit(63)).cast("int").alias("k"))
-    got = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("b")).toPandas()
+    got = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("b")).toArrow()
     out = np.zeros(BITS >> 6, np.int64)
-    out[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64)
+    out[got["w"].to_numpy()] = got["b"].to_numpy()
     return out.view(np.uint64)
 
 

@@ -36,7 +36,7 @@ from .hashing import bitmap, marked, mix, powers, prefix, sliding_min, span_hash
 
 LENGTH, GRAM = 200, 64
 #: Bytes hashed at once. A longer text is hashed in pieces that overlap by LENGTH - 1.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: An anchor with more occurrences than this is cut into blocks of so many distances.
 HOT, BLOCK = 4000, 16
 #: Contexts sorted at once, but for a larger group.
@@ -337,21 +337,38 @@ def merged(spans: list[int]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def with_spans(documents: DataFrame) -> DataFrame:
-    """Every row of documents with ``spans`` (null: no repeats). Only texts that may have some are shuffled."""
+def apply_spans(documents: DataFrame, work, schema) -> DataFrame:
+    """work(batch), with ``spans`` (null: no repeats) beside the columns of documents, over every row.
+
+    Only texts that may have repeats are shuffled, to meet their spans; the others go
+    through one Python step where they are read.
+    """
     rows, found = repeated_spans(documents)
     found = save(found, "repeats-texts")
     bits = documents.sparkSession.sparkContext.broadcast(bitmap(found, "k2"))
 
-    def those(marked_: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(marked(bits.value, batch.column("k2").to_numpy(zero_copy_only=False)) == marked_))
+    def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for start in range(0, batch.num_rows, 512):
+            yield work(batch.slice(start, 512))
 
-        return rows.mapInArrow(run, rows.schema)
+    def of(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
+        return batch.filter(pa.array(marked(bits.value, batch.column("k2").to_numpy(zero_copy_only=False)) == wanted))
 
-    joined = those(True).join(found, ["k1", "k2"], "left")
-    return joined.unionByName(those(False).withColumn("spans", F.lit(None).cast("array<int>"))).drop("k1", "k2")
+    def may_repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield of(batch, True)
+
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = of(batch, False)
+            yield from parts(rest.append_column("spans", pa.nulls(rest.num_rows, pa.list_(pa.int32()))))
+
+    def with_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from parts(batch)
+
+    joined = rows.mapInArrow(may_repeat, rows.schema).join(found, ["k1", "k2"], "left")
+    return joined.mapInArrow(with_, schema).unionByName(rows.mapInArrow(without, schema))
 
 
 def kept_bytes(text: str, spans: list[int] | None) -> tuple[bytes, int, int, int]:
@@ -367,23 +384,30 @@ def kept_bytes(text: str, spans: list[int] | None) -> tuple[bytes, int, int, int
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
-    """documents with repeats cut out of ``text``; a character that a cut leaves in part goes whole."""
-    columns, schema = documents.columns, documents.schema
+    """documents with repeats cut out of ``text``; a character that a cut leaves in part goes whole. Null texts become empty."""
+    columns = documents.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t if not s else kept_bytes(t, s)[0].decode("utf-8", "ignore") for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
-            yield batch.select(columns).set_column(columns.index("text"), "text", pa.array(texts, pa.string()))
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [kept_bytes(t, s)[0].decode("utf-8", "ignore") if s else t for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
+        return batch.select(columns).set_column(columns.index("text"), "text", pa.array(texts, pa.string()))
 
-    return with_spans(documents).mapInArrow(run, schema)
+    return apply_spans(documents, work, documents.schema)
 
 
-def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [kept_bytes(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
-            n = np.array([f[1:] for f in found], np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(n[:, i]) for i in range(3)), pa.array([hashlib.sha256(f[0]).hexdigest() for f in found], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+def digests(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
 
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return with_spans(documents).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n, digest = [], []
+        for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
+            left, *counts = kept_bytes(text.as_py(), spans.as_py())
+            n.append(counts)
+            digest.append(hashlib.sha256(left).hexdigest())
+        n = np.array(n, np.int64).reshape(-1, 3)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(n[:, i]) for i in range(3)), pa.array(digest, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return apply_spans(documents, work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
