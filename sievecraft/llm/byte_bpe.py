@@ -20,10 +20,9 @@ rows each get a row. Extra columns are ignored.
 
 from __future__ import annotations
 
-import json
-import zlib
-
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,23 +48,24 @@ def slot(key: Column, slots: int) -> Column:
 
 def rank_literals(spark: SparkSession, path: str) -> DataFrame:
     """A one-row table: ``pairs``, maps by slot from left * 65536 + right to the joined id; ``bytes``, the id of
-    each byte; ``tokens``, by id its little-endian and its bytes as hex; ``whole``, tokens that merges alone don't make."""
+    each byte; ``tokens``, by id its little-endian and its bytes as hex; ``whole``, tokens that merges alone don't make.
+
+    It goes to Spark as an Arrow table: written into the plan, its text would be kept with every query.
+    """
     ranks = rank_file(path)
-    slots: list[dict[int, int]] = [{} for _ in range(RANK_SLOTS)]
-    for token, rank in ranks.items():
-        for i in range(1, len(token)):
-            left, right = ranks.get(token[:i]), ranks.get(token[i:])
-            if left is not None and right is not None:
-                slots[(left * ID_SPACE + right) % RANK_SLOTS][left * ID_SPACE + right] = rank
-    by_id = [{"le": r.to_bytes(4, "little").hex(), "bytes": t.hex()} for t, r in sorted(ranks.items(), key=lambda x: x[1])]
-    assert len(by_id) == max(ranks.values()) + 1 <= ID_SPACE, "ranks must be dense"
-    odd = {t.decode(): r for t, r in ranks.items() if _merged(ranks, t) != [r] and _is_text(t)}
-    return spark.range(1).select(
-        F.transform(F.from_json(F.lit(json.dumps([[{"k": k, "v": v} for k, v in x.items()] for x in slots])), "array<array<struct<k:bigint,v:int>>>"), F.map_from_entries).alias("pairs"),
-        F.lit([ranks[bytes([i])] for i in range(256)]).alias("bytes"),
-        F.from_json(F.lit(json.dumps(by_id)), "array<struct<le:string,bytes:string>>").alias("tokens"),
-        F.from_json(F.lit(json.dumps([{"piece": t, "id": r} for t, r in odd.items()])), "array<struct<piece:string,id:int>>").alias("whole"),
-    )
+    by_id = sorted(ranks, key=ranks.get)
+    assert len(by_id) == ranks[by_id[-1]] + 1 <= ID_SPACE, "ranks must be dense"
+    joins = [(ranks[t[:i]] * ID_SPACE + ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+    key, value = (np.array(x, np.int64) for x in zip(*joins, strict=True))
+    order = np.argsort(key % RANK_SLOTS, kind="stable")
+    ends = np.searchsorted((key % RANK_SLOTS)[order], np.arange(RANK_SLOTS + 1))
+    pairs = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays([pa.array(key[order]), pa.array(value[order].astype(np.int32))], ["k", "v"]))
+    tokens = pa.StructArray.from_arrays([pa.array([i.to_bytes(4, "little").hex() for i in range(len(by_id))]), pa.array([t.hex() for t in by_id])], ["le", "bytes"])
+    odd = [(t.decode(), r) for t, r in ranks.items() if _is_text(t) and _merged(ranks, t) != [r]]
+    whole = pa.StructArray.from_arrays([pa.array([t for t, _ in odd], pa.string()), pa.array([r for _, r in odd], pa.int32())], ["piece", "id"])
+    one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+    row = pa.table({"pairs": one(pairs), "bytes": one(pa.array([ranks[bytes([i])] for i in range(256)], pa.int32())), "tokens": one(tokens), "whole": one(whole)})
+    return spark.createDataFrame(row).withColumn("pairs", F.transform("pairs", F.map_from_entries))
 
 
 def _merged(ranks: dict[bytes, int], token: bytes) -> list[int]:

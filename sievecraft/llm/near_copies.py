@@ -117,8 +117,8 @@ def common_shingles(documents: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(h[n > 2].view(np.int64)), pa.array(n[n > 2])], ["h", "n"])
 
     sample = documents.where(share(F.col("doc_id"), 1 / 8)).select("text")
-    found = sample.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(COMMON).toPandas()
-    return np.sort(found["h"].to_numpy(np.int64).view(np.uint64))
+    found = sample.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(COMMON).toArrow()
+    return np.sort(found["h"].to_numpy().view(np.uint64))
 
 
 def profiles(documents: DataFrame) -> DataFrame:
