@@ -1,14 +1,11 @@
 """Helpers shared by the operators of this subpackage.
 
-``save`` cuts lineage by writing a table below ``spark.checkpoint.dir``, the
-folder that the driver and all executors share, so a lost executor costs a
-re-read and not a recomputation.
+Lineage is cut with ``save``: a table below ``spark.checkpoint.dir``, the folder that
+the driver and all executors share.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +14,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import save, shared_dir
+
+__all__ = ["discard", "flat", "fold", "one_label_per_doc", "save", "share", "shared_dir", "steps", "table"]
+
 #: Bytes of text that one vectorised step works on; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
 
@@ -25,27 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; one of our own only where none is set, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/sievecraft-{spark.sparkContext.applicationId}"
-
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: the same rows without their lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def clear_shared(spark: SparkSession) -> None:
-    """Delete what ``save`` has written in this application; call it when all results are consumed."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def discard(*tables: DataFrame) -> None:
+    """Delete saved tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
+        if path is not None and shared_dir(df.sparkSession).rsplit("/", 1)[-1] in path.toString():
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(doc_id: Column, n: int) -> Column:

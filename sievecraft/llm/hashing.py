@@ -56,21 +56,22 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[: n - w + 1], ahead[w - 1 : n])
 
 
-#: Bits of a bitmap: 16 MB whatever the data. It only spares work; what it lets through is joined exactly.
+#: Bits of a bitmap at most: 16 MB whatever the data. It only spares work; what it lets through is joined or compared exactly.
 BITS = 1 << 27
 
 
 def bitmap(values: DataFrame, column: str) -> np.ndarray:
-    """A bit for each value of a column of 64-bit hashes. The driver gets at most BITS / 64 words."""
-    at = F.col(column).bitwiseAND(F.lit(BITS - 1))
+    """A bit for each value of a column of 64-bit hashes: about 64 bits a value, BITS at most."""
+    n = 1 << min(BITS.bit_length() - 1, max(12, (values.count() * 64).bit_length()))
+    at = F.col(column).bitwiseAND(F.lit(n - 1))
     words = values.select(F.shiftright(at, 6).alias("w"), at.bitwiseAND(F.lit(63)).cast("int").alias("k"))
     got = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("b")).toArrow()
-    out = np.zeros(BITS >> 6, np.int64)
+    out = np.zeros(n >> 6, np.int64)
     out[got["w"].to_numpy()] = got["b"].to_numpy()
     return out.view(np.uint64)
 
 
 def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes have their bit set."""
-    at = hashes.view(np.uint64) & np.uint64(BITS - 1)
+    at = hashes.view(np.uint64) & np.uint64((len(bits) << 6) - 1)
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1

@@ -7,8 +7,9 @@ Exact, in five steps:
    that link share a prefix shingle, so a shingle's list of classes holds every link.
    Shingles known to be common come last in that order; which are, is found in a
    hashed share of the texts and changes the work only, never the links.
-2. A few lists of each class link neighbours of like size; links, checked on the
-   sets, contract most groups of copies.
+2. In a few lists of each class, the class whose prefix is shared most (the likely
+   original) is paired with the others, and each with the one before; links, checked
+   on the sets, contract most groups of copies. Twice, on different lists.
 3. Lists that still hold two components become signature trees: a leaf is a class, an
    inner node the OR of its children's bitmaps and the range of their sizes. A dual
    traversal from (root, root) drops a pair of nodes when both are one component, when
@@ -34,12 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat, save, share, steps, table
+from .common import discard, flat, save, share, steps, table
 from .hashing import bitmap, marked, mix, prefix, span_hash
 
 WORDS = 5
 #: Texts hashed at once, in bytes.
-STEP = 1 << 20
+STEP = 1 << 18
 FAN = 8
 #: Rows of an open list that one task compares; a longer list is dealt out in pairs of parts.
 LIST_ROWS = 20_000
@@ -171,7 +172,7 @@ def with_marked_keys(classes: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def list_rows(classes: DataFrame, long_lists: dict[int, int]) -> DataFrame:
-    """(list, cid, n, bits, comp): a class in the lists of its keys, by size class.
+    """(list, cid, n, bits, comp, shared): a class in the lists of its keys, by size class.
 
     A class also goes to the next size class if it can link with a member of that.
     ``long_lists``: into how many parts a key's list is cut; each pair of parts is a list.
@@ -181,7 +182,7 @@ def list_rows(classes: DataFrame, long_lists: dict[int, int]) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 out: list[tuple] = []
-                for cid, n, keys, bits, comp in zip(*(batch.slice(start, 256).column(c).to_pylist() for c in ("cid", "n", "keys", "bits", "comp")), strict=True):
+                for cid, n, keys, bits, comp, shared in zip(*(batch.slice(start, 256).column(c).to_pylist() for c in ("cid", "n", "keys", "bits", "comp", "shared")), strict=True):
                     k = int(size_class(np.array([n]))[0])
                     half = len(bits) // 2
                     own = (np.frombuffer(bits, np.uint8, half) | np.frombuffer(bits, np.uint8, half, half)).tobytes()
@@ -191,11 +192,11 @@ def list_rows(classes: DataFrame, long_lists: dict[int, int]) -> DataFrame:
                         mine = cid % parts
                         for other in range(parts):
                             pair = min(mine, other) * parts + max(mine, other)
-                            out += [(hash((key, c, pair)), cid, n, b, comp) for c, b in to]
-                cols = list(zip(*out, strict=True)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)], ["list", "cid", "n", "bits", "comp"])
+                            out += [(hash((key, c, pair)), cid, n, b, comp, shared) for c, b in to]
+                cols = list(zip(*out, strict=True)) or [[]] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.float64()), strict=True)], ["list", "cid", "n", "bits", "comp", "shared"])
 
-    return classes.select("cid", "n", "keys", "bits", "comp").mapInArrow(run, "list long, cid long, n long, bits binary, comp long")
+    return classes.select("cid", "n", "keys", "bits", "comp", "shared").mapInArrow(run, "list long, cid long, n long, bits binary, comp long, shared double")
 
 
 class Level:
@@ -254,8 +255,12 @@ def dual_traversal(of: np.ndarray, n: np.ndarray, bits: np.ndarray, comp: np.nda
             stack.append((h - 1, a[once], b[once]))
 
 
-def candidate_pairs(rows: DataFrame, neighbours_only: bool) -> DataFrame:
-    """(a, b), a < b: classes that may link, from complete lists; with neighbours_only, those next to each other by size."""
+def candidate_pairs(rows: DataFrame, contracting: bool) -> DataFrame:
+    """(a, b), a < b: classes of two components that may link, from complete lists.
+
+    Contracting, a list gives two pairs per row at most: with the list's first row,
+    which is the one whose prefix is shared most, and with the row before.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,10 +272,14 @@ def candidate_pairs(rows: DataFrame, neighbours_only: bool) -> DataFrame:
             for w in np.unique(width):
                 at = np.flatnonzero(width == w)
                 bits = np.frombuffer(b"".join([blobs[i] for i in at]), np.uint8).reshape(len(at), w).view(np.uint64)
-                if neighbours_only:
-                    leaf = Level(of[at], bits, n[at], n[at], n[at] - np.bitwise_count(bits).sum(1, dtype=np.int64), cid[at], cid[at], None)
-                    i = np.flatnonzero(leaf.of[1:] == leaf.of[:-1])
-                    found = iter([(x := i[leaf.linkable(i, i + 1)], x + 1)])
+                if contracting:
+                    leaf = Level(of[at], bits, n[at], n[at], n[at] - np.bitwise_count(bits).sum(1, dtype=np.int64), comp[at], comp[at], None)
+                    begin = np.flatnonzero(np.concatenate([[True], leaf.of[1:] != leaf.of[:-1]]))
+                    first = np.repeat(begin, np.diff(np.append(begin, len(at))))
+                    j = np.flatnonzero(np.arange(len(at)) != first)
+                    i, j = np.concatenate([first[j], j - 1]), np.concatenate([j, j])
+                    ok = leaf.linkable(i, j)
+                    found = iter([(i[ok], j[ok])])
                 else:
                     found = dual_traversal(of[at], n[at], bits, comp[at])
                 for i, j in found:
@@ -298,12 +307,13 @@ def candidate_pairs(rows: DataFrame, neighbours_only: bool) -> DataFrame:
         if held:
             yield from pairs(held)
 
-    ordered = rows.repartition("list").sortWithinPartitions("list", "comp", "n", "cid")
+    by = ("list", F.desc("shared"), "cid") if contracting else ("list", "comp", "n", "cid")
+    ordered = rows.repartition("list").sortWithinPartitions(*by).drop("shared")
     return ordered.mapInArrow(run, "a long, b long").where("a != b").distinct()
 
 
 def checked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs whose sets link."""
+    """The pairs, a saved table that goes, whose sets link; saved."""
     ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     sent = documents.sparkSession.sparkContext.broadcast(bitmap(ends, "cid"))
 
@@ -319,8 +329,8 @@ def checked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column("s").to_pylist(), batch.column("t").to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("s"), batch.column("t"), strict=True):
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 ok.append(100 * both >= 80 * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -329,7 +339,9 @@ def checked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     found = documents.select("text").mapInArrow(sets, "cid long, s binary").join(ends, "cid", "left_semi").groupBy("cid").agg(F.first("s").alias("s"))
     found = save(found, "copies-sets")
     joined = pairs.join(found.withColumnRenamed("cid", "a"), "a").join(found.select(F.col("cid").alias("b"), F.col("s").alias("t")), "b")
-    return joined.select("a", "b", "s", "t").mapInArrow(link, "a long, b long")
+    out = save(joined.select("a", "b", "s", "t").mapInArrow(link, "a long, b long"), "copies-checked")
+    discard(found, pairs)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -364,12 +376,23 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).where("u != v").distinct()
         after = save(small, "copies-stars")
         changed = after.exceptAll(edges).limit(1).count() or edges.exceptAll(after).limit(1).count()
+        discard(edges)
         edges = after
         if not changed:
             break
     return edges.select(F.col("u").alias("cid"), F.col("v").alias("comp")).union(edges.select("v", "v").distinct())
 
 
+def still_open(classes: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """classes with their components and only the keys of lists that hold two; and those lists (key, n)."""
+    own = save(classes.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "copies-contracted")
+    lists = own.select(F.explode("keys").alias("key"), "comp").groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
+    lists = save(lists.where("low != high").select("key", "n"), "copies-open")
+    open_ = save(with_marked_keys(own, bitmap(lists, "key")), "copies-still-open")
+    discard(own)
+    return open_, lists
+
+
 def near_copies(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of documents (doc_id, text)."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -377,24 +400,24 @@ def near_copies(documents: DataFrame) -> DataFrame:
     classes = profile.where("keys is not null").groupBy("cid").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
     classes = save(classes, "copies-classes")
     shared = save(classes.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1"), "copies-shared")
-    classes = save(with_marked_keys(classes, bitmap(shared, "key")), "copies-candidates")
-
-    # The first lists of each class, and in them neighbours by size.
-    own = classes.withColumn("comp", F.col("cid"))
-    first = own.withColumn("keys", F.slice("keys", 1, 2)).withColumn("comp", F.lit(0).cast("long"))
-    links = save(checked(documents, save(candidate_pairs(list_rows(first, {}), True), "copies-pairs")), "copies-checked")
-    comp = components(links)
+    every, classes = classes, save(with_marked_keys(classes, bitmap(shared, "key")).withColumn("shared", F.size("keys") / F.col("n")), "copies-candidates")
+    discard(every, shared)
+
+    # Two rounds of contraction, each on a few lists of every class that is in an open list.
+    links, comp, own = None, None, classes.withColumn("comp", F.col("cid"))
+    for turn in range(2):
+        few = own.withColumn("keys", F.slice("keys", 1, 2) if turn == 0 else F.slice(F.reverse("keys"), 1, 4))
+        more = checked(documents, save(candidate_pairs(list_rows(few, {}), True), "copies-pairs"))
+        links = more if links is None else links.union(more)
+        comp = components(links)
+        own, lists = still_open(classes, comp)
 
-    # Lists that hold two components still.
-    own = save(classes.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "copies-contracted")
-    lists = own.select(F.explode("keys").alias("key"), "comp").groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
-    lists = save(lists.where("low != high"), "copies-open")
     long_lists = {r["key"]: -(-r["n"] // (LIST_ROWS // 2)) for r in lists.where(F.col("n") > LIST_ROWS).collect()}  # at most all keys / LIST_ROWS
-    rows = list_rows(with_marked_keys(own, bitmap(lists, "key")), long_lists)
-    more = save(checked(documents, save(candidate_pairs(rows, False), "copies-pairs")), "copies-checked")
+    more = checked(documents, save(candidate_pairs(list_rows(own, long_lists), False), "copies-pairs"))
     comp = components(links.union(more)) if more.limit(1).count() else comp
 
     named = save(profile.select("doc_id", "cid", "n").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "copies-named")
+    discard(profile, classes, own)
     least = named.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     linked = named.where("n > 0").join(least, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.union(named.where("n = 0").select("doc_id", "n", "doc_id"))

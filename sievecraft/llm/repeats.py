@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat, save, steps, table
+from .common import discard, flat, save, steps, table
 from .hashing import bitmap, marked, mix, powers, prefix, sliding_min, span_hash
 
 LENGTH, GRAM = 200, 64
@@ -312,18 +312,25 @@ def resolve(ctx: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "u long, spans array<int>")
 
 
+#: Names of our own columns beside those of documents.
+K1, K2, SPANS = "_repeats_k1", "_repeats_k2", "_repeats_spans"
+
+
 def repeated_spans(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The texts, keyed, and (k1, k2, spans) of those with repeats: byte ranges, flat, as start and end in turn."""
-    rows = documents.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumns({"k1": F.xxhash64("doc_id"), "k2": F.xxhash64("text")})
-    long_enough = rows.where(F.octet_length("text") >= LENGTH).select("k1", "k2", "text")
+    """The rows, keyed, and (K1, K2, SPANS) of texts with repeats: byte ranges, flat, as start and end in turn."""
+    rows = documents.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumns({K1: F.xxhash64("doc_id"), K2: F.xxhash64("text")})
+    long_enough = rows.where(F.octet_length("text") >= LENGTH).select(F.col(K1).alias("k1"), F.col(K2).alias("k2"), "text")
     twice = save(frequent_anchors(long_enough), "repeats-anchors")
     # At most all anchors / HOT of them.
     hot = np.sort(np.array([r["g"] for r in twice.where(F.col("n") > HOT).select("g").collect()], np.int64).view(np.uint64))
     both = save(contexts(long_enough, bitmap(twice, "g"), hot), "repeats-contexts")
-    found = save(resolve(both.where("kind = 'ctx'")), "repeats-spans")
-    refs = both.where("kind = 'ref'").select("u", "k1", "k2", "first").distinct().join(found, "u")
+    solved = save(resolve(both.where("kind = 'ctx'")), "repeats-spans")
+    refs = both.where("kind = 'ref'").select("u", "k1", "k2", "first").distinct().join(solved, "u")
     to_bytes = F.transform("spans", lambda t, i: (F.col("first") + t + F.when(i % 2 == 1, LENGTH).otherwise(0)).cast("int"))
-    return rows, refs.select("k1", "k2", to_bytes.alias("spans")).groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    per_text = refs.select(F.col("k1").alias(K1), F.col("k2").alias(K2), to_bytes.alias("s")).groupBy(K1, K2).agg(F.flatten(F.collect_list("s")).alias(SPANS))
+    found = save(per_text, "repeats-texts")
+    discard(twice, both, solved)
+    return rows, found
 
 
 def merged(spans: list[int]) -> list[tuple[int, int]]:
@@ -338,21 +345,20 @@ def merged(spans: list[int]) -> list[tuple[int, int]]:
 
 
 def apply_spans(documents: DataFrame, work, schema) -> DataFrame:
-    """work(batch), with ``spans`` (null: no repeats) beside the columns of documents, over every row.
+    """work(batch), with SPANS (null: no repeats) beside the columns of documents, over every row.
 
     Only texts that may have repeats are shuffled, to meet their spans; the others go
     through one Python step where they are read.
     """
     rows, found = repeated_spans(documents)
-    found = save(found, "repeats-texts")
-    bits = documents.sparkSession.sparkContext.broadcast(bitmap(found, "k2"))
+    bits = documents.sparkSession.sparkContext.broadcast(bitmap(found, K2))
 
     def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for start in range(0, batch.num_rows, 512):
             yield work(batch.slice(start, 512))
 
     def of(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
-        return batch.filter(pa.array(marked(bits.value, batch.column("k2").to_numpy(zero_copy_only=False)) == wanted))
+        return batch.filter(pa.array(marked(bits.value, batch.column(K2).to_numpy(zero_copy_only=False)) == wanted))
 
     def may_repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,13 +367,13 @@ def apply_spans(documents: DataFrame, work, schema) -> DataFrame:
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rest = of(batch, False)
-            yield from parts(rest.append_column("spans", pa.nulls(rest.num_rows, pa.list_(pa.int32()))))
+            yield from parts(rest.append_column(SPANS, pa.nulls(rest.num_rows, pa.list_(pa.int32()))))
 
     def with_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from parts(batch)
 
-    joined = rows.mapInArrow(may_repeat, rows.schema).join(found, ["k1", "k2"], "left")
+    joined = rows.mapInArrow(may_repeat, rows.schema).join(found, [K1, K2], "left")
     return joined.mapInArrow(with_, schema).unionByName(rows.mapInArrow(without, schema))
 
 
@@ -388,7 +394,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     columns = documents.columns
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [kept_bytes(t, s)[0].decode("utf-8", "ignore") if s else t for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
+        texts = [kept_bytes(t, s)[0].decode("utf-8", "ignore") if s else t for t, s in zip(batch.column("text").to_pylist(), batch.column(SPANS).to_pylist(), strict=True)]
         return batch.select(columns).set_column(columns.index("text"), "text", pa.array(texts, pa.string()))
 
     return apply_spans(documents, work, documents.schema)
@@ -399,7 +405,7 @@ def digests(documents: DataFrame) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, digest = [], []
-        for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
+        for text, spans in zip(batch.column("text"), batch.column(SPANS), strict=True):
             left, *counts = kept_bytes(text.as_py(), spans.as_py())
             n.append(counts)
             digest.append(hashlib.sha256(left).hexdigest())
