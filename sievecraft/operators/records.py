@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.base import blank, non_empty, strip
+from ..functions.base import blank, let, non_empty, strip
 from ..functions.text import normalise_label, url_base
 
 # Captions that are only a page's controls, and patterns of such captions.
@@ -60,25 +60,29 @@ EXHAUSTED = "recheck_exhausted"
 
 def is_noise(label: Column, noise: Sequence[str] = NOISE, patterns: Sequence[str] = NOISE_PATTERNS) -> Column:
     """Blank, or only controls: a noise text, one at its start, one anywhere in 64 characters, or a pattern."""
-    n = normalise_label(label)
     any_of = "|".join(re.escape(x) for x in noise)
-    out = (n == "") | n.rlike(f"^(?:{any_of})(?: |$)") | ((F.length(n) <= 64) & n.rlike(f"(?:{any_of})"))
-    return out | n.rlike("(?iU)" + "|".join(f"(?:{p})" for p in patterns))
+    found = "(?iU)" + "|".join(f"(?:{p})" for p in patterns)
+    return let(normalise_label(label), lambda n: (n == "") | n.rlike(f"^(?:{any_of})(?: |$)") | ((F.length(n) <= 64) & n.rlike(f"(?:{any_of})")) | n.rlike(found))
+
+
+def _written(t: Column) -> Column:
+    """Content script; or long with diacritics; or with words; or long plain ASCII."""
+    return t.rlike(CONTENT) | ((F.length(t) >= 20) & t.rlike("(?iu)" + DIACRITICS)) | ((F.length(t) >= 16) & (F.regexp_count(t, F.lit("[A-Za-z]{4,}")) >= 2)) | ((F.length(t) >= 20) & t.rlike(r"""(?U)^[A-Za-z0-9\s.,!?'"\-:#@]+$"""))
 
 
 def is_content(label: Column) -> Column:
-    """Real text and no noise: content script; or long with diacritics; or with words; or long plain ASCII."""
-    t = strip(label)
-    written = t.rlike(CONTENT) | ((F.length(t) >= 20) & t.rlike("(?iu)" + DIACRITICS)) | ((F.length(t) >= 16) & (F.regexp_count(t, F.lit("[A-Za-z]{4,}")) >= 2)) | ((F.length(t) >= 20) & t.rlike(r"""(?U)^[A-Za-z0-9\s.,!?'"\-:#@]+$"""))
-    return ~is_noise(label) & (t != "") & written
+    """Real text and no noise."""
+    return let(strip(label), lambda t: (t != "") & _written(t)) & ~is_noise(label)
 
 
 def classify(label: Column, images: Column) -> Column:
     """Struct (valid, reason). Noise and lack of content outrank a missing image."""
     none = F.coalesce(F.size(images), F.lit(0)) <= 0
-    empty = blank(label)
-    reason = F.when(empty & none, "missing_label_and_image").when(empty, "missing_label").when(is_noise(label), "ui_noise_caption").when(~is_content(label), "not_content_caption").when(none, "missing_image")
-    return F.struct(reason.isNull().alias("valid"), reason.alias("reason"))
+
+    def judged(t: Column) -> Column:
+        return F.when((t == "") & none, "missing_label_and_image").when(t == "", "missing_label").when(is_noise(t), "ui_noise_caption").when(~_written(t), "not_content_caption").when(none, "missing_image")
+
+    return let(let(strip(label), judged), lambda reason: F.struct(reason.isNull().alias("valid"), reason.alias("reason")))
 
 
 def discover_reason(reason: Column) -> Column:

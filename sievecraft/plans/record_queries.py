@@ -48,8 +48,8 @@ def p2_invalid_posts(spark, sf_dir):
 
 @query(f"select doc_id, caption as label, reason is null as is_valid, case reason when 'missing_label' then 'missing_caption' when 'missing_label_and_image' then 'missing_caption_and_image' else reason end as invalid_reason from ({_CLASSIFIED}) c")
 def p5_deliverable_rows(spark, sf_dir):
-    c = records.classify(F.col("caption"), F.col("image_urls"))
-    rows = posts(spark, sf_dir).withColumn("valid", c["valid"]).withColumn("invalid_reason", records.discover_reason(c["reason"]))
+    rows = posts(spark, sf_dir).withColumn("c", records.classify(F.col("caption"), F.col("image_urls")))
+    rows = rows.withColumn("valid", F.col("c.valid")).withColumn("invalid_reason", records.discover_reason(F.col("c.reason")))
     return records.deliverable(rows).select(F.col("post_id").cast("long").alias("doc_id"), "label", "is_valid", "invalid_reason")
 
 
