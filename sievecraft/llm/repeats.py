@@ -39,7 +39,9 @@ LENGTH, GRAM = 200, 64
 PIECE = 1 << 18
 #: An anchor with more occurrences than this is cut into blocks of so many distances.
 HOT, BLOCK = 4000, 16
-#: Contexts sorted at once, but for a larger group.
+#: Contexts that a task holds, to merge equal ones, before it sends them.
+HELD = 20_000
+#: Bytes of contexts sorted at once, but for a larger group.
 GROUP_BYTES = 1 << 20
 _LOW = np.uint64((1 << 21) - 1)
 
@@ -119,6 +121,10 @@ def contexts(rows: DataFrame, bits: np.ndarray, hot: np.ndarray) -> DataFrame:
             n = len(columns["u"])
             return pa.RecordBatch.from_arrays([pa.array([kind] * n) if c == "kind" else pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, types, strict=True)], names)
 
+        def contexts_of(met: dict[int, list]) -> pa.RecordBatch:
+            key, low, high, blob, n = zip(*met.values(), strict=True)
+            return rows_of("ctx", u=np.fromiter(met, np.uint64).view(np.int64), key=key, low=low, high=high, raw=blob, n=n)
+
         for batch in batches:
             met: dict[int, list] = {}
             for part, raw, offsets, skip in _pieces(batch):
@@ -140,9 +146,11 @@ def contexts(rows: DataFrame, bits: np.ndarray, hot: np.ndarray) -> DataFrame:
                         met[x][-1] += 1
                     else:
                         met[x] = [k, lo, hi, raw[s:e].tobytes(), 1]
+                if len(met) > HELD:
+                    yield contexts_of(met)
+                    met.clear()
             if met:
-                key, low, high, blob, n = zip(*met.values(), strict=True)
-                yield rows_of("ctx", u=np.fromiter(met, np.uint64).view(np.int64), key=key, low=low, high=high, raw=blob, n=n)
+                yield contexts_of(met)
 
     schema = "kind string, key long, u long, k1 long, k2 long, first long, low int, high int, raw binary, n long"
     return rows.mapInArrow(run, schema)
