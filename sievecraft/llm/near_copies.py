@@ -425,3 +425,16 @@ def near_copies(documents: DataFrame) -> DataFrame:
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s from w, unnest(range(1, greatest(cast(len(w) as bigint) - 4, 1) + 1)) as r(i) where len(w) > 0),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.s = b.s and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+e as (select a, b from l union select b, a from l),
+r(doc_id, c) as (select doc_id, doc_id from documents union select e.b, r.c from r join e on e.a = r.doc_id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, d.c as component_id from (select doc_id, min(c) as c from r group by doc_id) d left join n using (doc_id)
+"""

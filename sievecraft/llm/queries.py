@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .byte_bpe import op9_byte_bpe
 from .decontamination import OP3_SQL, op3_benchmark_decontamination
 from .language_id import op4_language_id
-from .near_copies import op2_ngram_jaccard_join
+from .near_copies import OP2_SQL, op2_ngram_jaccard_join
 from .quality_model import op1_quality_classifier
 from .quality_rules import op10_quality_rules
 from .repeats import op6_suffix_array_dedup
@@ -31,5 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_jaccard_join": OP2_SQL,
     "op3_benchmark_decontamination": OP3_SQL,
 }
