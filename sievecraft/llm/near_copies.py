@@ -15,7 +15,8 @@ Exact, in five steps:
    traversal from (root, root) drops a pair of nodes when both are one component, when
    their sizes cannot link, or when the most tokens they can share are too few.
 4. Pairs that are left are checked on the sets.
-5. Components come from alternating star contraction over the checked links.
+5. Components of the checked links: stars inside tasks of bounded size, then, if there
+   is more than one such task, alternating star contraction.
 
 Nothing is emitted for pairs inside a component, so a group of g copies costs about g
 links. Lists are split by size class, and a very long open list is dealt out in pairs
@@ -44,6 +45,8 @@ STEP = 1 << 18
 FAN = 8
 #: Rows of an open list that one task compares; a longer list is dealt out in pairs of parts.
 LIST_ROWS = 20_000
+#: Links that one task turns into stars.
+LINKS = 250_000
 #: At most so many shingles are ordered last.
 COMMON = 200_000
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -345,10 +348,13 @@ def checked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(cid, comp): the smallest id that each linked id reaches. Alternating large and small stars."""
+    """(cid, comp): the smallest id that each linked id reaches.
+
+    As many tasks as there are LINKS links turn their links into stars. If that was one
+    task, they are the components; else alternating large and small stars follow.
+    """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Links of a task become stars first: chains inside it take no rounds.
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -360,14 +366,14 @@ def components(links: DataFrame) -> DataFrame:
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
                 p, q = root(a), root(b)
                 parent[max(p, q)] = min(p, q)
-            if len(parent) > 500_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(parent)), pa.array([root(x) for x in list(parent)])], ["u", "v"])
-                parent.clear()
         xs = list(parent)
         yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array([root(x) for x in xs], pa.int64())], ["u", "v"])
 
-    edges = save(links.select("a", "b").mapInArrow(local, "u long, v long").where("u != v").distinct(), "copies-links")
-    while True:
+    links = links.select("a", "b")
+    parts = -(-links.count() // LINKS)
+    edges = save(links.repartition(max(1, parts)).mapInArrow(local, "u long, v long").where("u != v").distinct(), "copies-links")
+    changed = parts > 1
+    while changed:
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
@@ -378,8 +384,6 @@ def components(links: DataFrame) -> DataFrame:
         changed = after.exceptAll(edges).limit(1).count() or edges.exceptAll(after).limit(1).count()
         discard(edges)
         edges = after
-        if not changed:
-            break
     return edges.select(F.col("u").alias("cid"), F.col("v").alias("comp")).union(edges.select("v", "v").distinct())
 
 

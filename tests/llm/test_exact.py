@@ -198,3 +198,22 @@ def test_rule_statistics(docs, awkward, real):
     assert quality_rules.document_statistics(docs([])).collect() == []
     plan = quality_rules.document_statistics(docs(["x"])).withColumn("v", quality_rules.verdict([(quality_rules.Test("words", True, 3.0),)]))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow", plan.split("Physical Plan")[-1]) and F is not None
+
+
+def test_components_by_stars(spark, monkeypatch):
+    """Many small tasks, so that chains are joined by star contraction."""
+    monkeypatch.setattr(near_copies, "LINKS", 15)
+    rng = np.random.default_rng(2)
+    links = [(i, i + 1) for i in range(40) if i % 13] + [tuple(map(int, sorted(rng.choice(np.arange(100, 160), 2, replace=False)))) for _ in range(25)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        p, q = sorted((root(a), root(b)))
+        parent[q] = p
+    got = {r.cid: r.comp for r in near_copies.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: root(x) for x in list(parent)}
