@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from sievecraft.llm import byte_bpe, common, decontamination, near_copies, repeats, toxicity
 
+#: Frequent pieces that the last stage remembers; the driver holds them beside what earlier stages left there.
+CACHE = 100_000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -42,7 +44,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the ids' digest, and whether decoding gives the text again."""
-    coded = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), keep=("text",))
+    coded = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), cache=CACHE, keep=("text",))
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), same.alias("round_trip"))
 
