@@ -3,12 +3,15 @@
 Toxic documents go; of each group of near copies the one with the smallest doc_id
 stays; byte strings of 200 that repeat are cut out; documents that hold a benchmark
 item go; what is left is encoded, and decoded again to show that nothing was lost.
+
+A row is known by its doc_id and its text, so that null ids and ids that stand on
+several texts are judged text by text.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievecraft.llm import byte_bpe, common, decontamination, near_copies, repeats, toxicity
@@ -18,6 +21,11 @@ CACHE = 100_000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def row_key() -> Column:
+    """One number per doc_id and text; only repeated rows share it, and a null id counts as an id."""
+    return F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go. It learns from all labels of these documents."""
     model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
@@ -25,10 +33,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies its smallest doc_id stays; of repeated rows of that id, one."""
-    found = near_copies.near_copies(docs)
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    """Of each component of near copies one row stays: of the smallest doc_id, a null one last; of repeated rows, one."""
+    docs = docs.select(*COLUMNS).withColumn("row", row_key())
+    found = near_copies.near_copies(docs.select(F.col("row").alias("doc_id"), "text"))
+    rows = found.groupBy(F.col("doc_id").alias("row")).agg(F.first("component_id").alias("component"), F.count("*").alias("n"))
+    rows = common.save(rows.join(docs.select("row", F.col("doc_id").alias("id")).distinct(), "row"), "pipeline-components")
+    kept = rows.groupBy("component").agg(F.min_by("row", F.struct(F.col("id").isNull(), "id", "row")).alias("kept"))
+    judged = rows.join(kept, "component")
+    gone = judged.where("row != kept").select("row")
+    again = judged.where("row = kept and n > 1").select("row")
+    once = docs.join(gone.union(again), "row", "left_anti")
+    return once.unionByName(docs.join(again, "row", "left_semi").dropDuplicates(["row"])).select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +53,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    found = decontamination.leaks(docs, common.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(found, "doc_id", "left_anti")
+    docs = docs.select(*COLUMNS).withColumn("row", row_key())
+    found = decontamination.leaks(docs.select(F.col("row").alias("doc_id"), "text"), common.table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select(F.col("doc_id").alias("row")).distinct(), "row", "left_anti").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

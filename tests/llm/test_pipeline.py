@@ -51,3 +51,16 @@ def test_leaks_equal_sql(spark):
     name = "op3_benchmark_decontamination"
     assert sorted(map(tuple, queries.QUERIES[name](spark, SF).collect())) == sorted(con.sql(queries.ORACLE_SQL[name]).fetchall())
     assert np is not None
+
+
+def test_rows_of_repeated_and_null_ids(spark, tables):
+    words = lambda k: " ".join(f"{k}{i}" for i in range(80))
+    rows = [(1, words("a")), (1, words("a")), (2, words("a")), (None, words("b")), (None, words("b")), (None, words("b") + " end"), (4, words("c")), (5, words("d")), (5, words("c")), (None, words("e")), (6, words("e")), (7, None), (7, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    texts = [(r.doc_id, (r.text or "").removesuffix(" end")) for r in got.collect()]
+    assert sorted(texts, key=repr) == sorted([(1, words("a")), (None, words("b")), (4, words("c")), (5, words("d")), (6, words("e")), (7, ""), (None, "")], key=repr)
+    assert got.columns == docs.columns
+    folder = tables(benchmark=spark.createDataFrame([(1, words("b")), (2, words("c"))], "item_id long, text string"))
+    left = corpus_pipeline.drop_leaks(spark, docs, folder).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted(((i, t) for i, t in rows if not (t or "").startswith(("b", "c"))), key=repr)
