@@ -2,14 +2,15 @@
 
 Texts are compared in the form of ``text.norm``. Scores are rounded before any
 threshold is tested, half to even. All but the two block-matching ratios are SQL
-expressions; those two run in one Arrow-batched function each, behind a test for
-equality that most rows do not pass.
+expressions; those two run in one Arrow-batched function each. Both take whole texts
+of any length: long ones are searched by the hashes of their windows.
 """
 
 from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ def edit_distance(a: Column, b: Column) -> Column:
 def cer(reference: Column, other: Column, keep: str = HAN) -> Column:
     """Edit distance over the reference's length; may pass 1. Both empty: 0; only the reference empty: 1."""
     both = F.struct(norm(reference, keep).alias("a"), norm(other, keep).alias("b"))
-    return let(both, lambda x: F.when((x["a"] == "") & (x["b"] == ""), 0.0).when(x["a"] == "", 1.0).otherwise(F.bround(F.levenshtein(x["a"], x["b"]) / F.length(x["a"]), 4)))
+    return let(both, lambda x: F.when((x["a"] == "") & (x["b"] == ""), 0.0).when(x["a"] == "", 1.0).when(x["a"] == x["b"], 0.0).otherwise(F.bround(F.levenshtein(x["a"], x["b"]) / F.length(x["a"]), 4)))
 
 
 def line_wer(reference: Column, other: Column, keep: str = HAN) -> Column:
@@ -53,19 +54,110 @@ def shared_chars(a: Column, b: Column) -> Column:
 
 def bag_dice(a: Column, b: Column, keep: str = HAN) -> Column:
     """Dice of the two bags of characters; both empty: 1."""
-    both = F.struct(norm(a, keep).alias("a"), norm(b, keep).alias("b"))
+    return bag_of_norms(norm(a, keep), norm(b, keep))
+
+
+def bag_of_norms(x: Column, y: Column) -> Column:
+    """bag_dice of two texts in the form of ``norm``."""
     total = lambda x: F.length(x["a"]) + F.length(x["b"])
-    return let(both, lambda x: F.when(total(x) == 0, 1.0).otherwise(F.bround(2.0 * shared_chars(x["a"], x["b"]) / total(x), 4)))
+    return let(F.struct(x.alias("a"), y.alias("b")), lambda x: F.when(total(x) == 0, 1.0).otherwise(F.bround(2.0 * shared_chars(x["a"], x["b"]) / total(x), 4)))
+
+
+#: Product of two lengths up to which difflib's own search is faster than hashes.
+SMALL = 1 << 17
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+class Windows:
+    """Two texts, for the longest common substring of any of their parts.
+
+    Its length is found by halving, on 64-bit hashes of all windows of a length; the
+    windows that are found are compared as texts, so that the result is exact.
+    """
+
+    def __init__(self, x: str, y: str):
+        self.x, self.y = x, y
+        self.power = np.concatenate([[np.uint64(1)], np.full(max(len(x), len(y)), _BASE)]).cumprod(dtype=np.uint64)
+        self.sums = [self._sums(x), self._sums(y)]
+
+    def _sums(self, text: str) -> np.ndarray:
+        code = (np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)) * _MIX
+        return np.concatenate([[np.uint64(0)], ((code ^ (code >> np.uint64(29))) * self.power[: len(code)]).cumsum(dtype=np.uint64)])
+
+    def _hashes(self, side: int, low: int, high: int, n: int) -> np.ndarray:
+        s = self.sums[side]
+        # Brought to one power, so that equal windows are equal wherever they stand.
+        return (s[low + n : high + 1] - s[low : high - n + 1]) * self.power[::-1][low : high - n + 1]
+
+    def longest(self, a: int, b: int, c: int, d: int, most: int) -> tuple[int, int, int]:
+        """(i, j, n) as difflib's find_longest_match has it for x[a:b] and y[c:d]; n is ``most`` at most."""
+        low, high = 0, min(most, b - a, d - c)
+        while low < high:
+            n = (low + high + 1) // 2
+            low, high = (n, high) if np.isin(self._hashes(0, a, b, n), self._hashes(1, c, d, n)).any() else (low, n - 1)
+        if not low:
+            return a, c, 0
+        p, q = self._hashes(0, a, b, low), self._hashes(1, c, d, low)
+        i = int(np.isin(p, q).argmax())
+        j = int((q == p[i]).argmax())
+        if self.x[a + i : a + i + low] != self.y[c + j : c + j + low]:  # equal hashes of other texts
+            m = SequenceMatcher(None, self.x[a:b], self.y[c:d], autojunk=False).find_longest_match()
+            return a + m.a, c + m.b, m.size
+        return a + i, c + j, low
+
+
+def matched(x: str, y: str) -> int:
+    """Characters in the matching blocks of two texts, as difflib finds them."""
+    if x == y:
+        return len(x)
+    w, total, todo = None, 0, [(0, len(x), 0, len(y), len(x))]
+    while todo:
+        a, b, c, d, most = todo.pop()
+        if a == b or c == d:
+            continue
+        if (b - a) * (d - c) <= SMALL:
+            total += sum(m.size for m in SequenceMatcher(None, x[a:b], y[c:d], autojunk=False).get_matching_blocks())
+            continue
+        w = w or Windows(x, y)
+        i, j, n = w.longest(a, b, c, d, most)
+        if n:
+            total += n
+            todo += [(a, i, c, j, n), (i + n, b, j + n, d, n)]
+    return total
+
+
+def longest_block(x: str, y: str) -> int:
+    """Length of the longest common substring."""
+    if x in y or y in x:
+        return min(len(x), len(y))
+    if len(x) * len(y) <= SMALL:
+        return SequenceMatcher(None, x, y, autojunk=False).find_longest_match().size
+    return Windows(x, y).longest(0, len(x), 0, len(y), len(x))[2]
+
+
+def longer_block(x: str, y: str, floor: int) -> int:
+    """Length of the longest common substring if it is longer than floor, else 0."""
+    half = floor // 2 + 1
+    # A common string of floor + 1 characters holds one of x's blocks of half as many.
+    if half > len(x) or not any(x[k : k + half] in y for k in range(0, len(x) - half + 1, half)):
+        return 0
+    n = longest_block(x, y)
+    return n if n > floor else 0
 
 
 @F.pandas_udf(DoubleType())
 def _block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([round(SequenceMatcher(None, x, y, autojunk=False).ratio() * 100, 2) for x, y in zip(a, b, strict=True)], dtype=float)
+    return pd.Series([round(2.0 * matched(x, y) / max(len(x) + len(y), 1) * 100, 2) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
 @F.pandas_udf(IntegerType())
 def _longest_block(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([SequenceMatcher(None, x, y, autojunk=False).find_longest_match().size for x, y in zip(a, b, strict=True)], dtype="int32")
+    return pd.Series([longest_block(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
+
+
+@F.pandas_udf(IntegerType())
+def _longer_block(a: pd.Series, b: pd.Series, floor: pd.Series) -> pd.Series:
+    return pd.Series([longer_block(x, y, n) for x, y, n in zip(a, b, floor, strict=True)], dtype="int32")
 
 
 def sequence_ratio(a: Column, b: Column, keep: str = HAN) -> Column:

@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 from pyspark.sql import functions as F
 
 from sievecraft.functions import pairs as m
+from sievecraft.plans import catalogue
 
 A, B = F.col("a"), F.col("b")
 
@@ -48,3 +49,25 @@ def test_lines(one):
 def test_caption_vote(one):
     assert one(m.caption_pick(A, B, F.lit("春風")), a="春風", b="春雨") == "春風"
     assert one(m.caption_pick(A, B, F.lit("山")), a="春風", b="春雨") is None
+
+
+def test_long_texts_equal_difflib():
+    rng = random.Random(5)
+    for size, letters in ((500, "ab"), (900, "abcdefghij"), (1500, "abcdefghijklmnopqrstuvwxyz")):
+        x = "".join(rng.choices(letters, k=size))
+        cut = x[size // 2 :] + x[: size // 3]
+        slips = "".join(c if rng.random() > 0.03 else rng.choice(letters) for c in x)
+        for y in (x, cut, slips, x[::-1], "".join(rng.choices(letters, k=size + 70))):
+            plain = SequenceMatcher(None, x, y, autojunk=False)
+            longest = plain.find_longest_match()
+            assert m.matched(x, y) == sum(b.size for b in plain.get_matching_blocks())
+            assert m.longest_block(x, y) == longest.size and m.Windows(x, y).longest(0, len(x), 0, len(y), len(x)) == tuple(longest)
+            for floor in (0, 1, 2, longest.size - 1, longest.size, size - 1):
+                assert m.longer_block(x, y, floor) == (longest.size if longest.size > floor else 0)
+
+
+def test_ratios_take_whole_turns(spark, tmp_path):
+    x, y = "a" * 200 + "b" * 200, "a" * 200 + "c" * 300
+    spark.createDataFrame([(1, 1, x), (1, 2, y)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = catalogue.QUERIES["m5_ratios"](spark, str(tmp_path)).first()
+    assert (got.ratio, got.partial) == (44.44, 50.0)
