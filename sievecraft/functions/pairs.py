@@ -155,9 +155,17 @@ def _longest_block(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([longest_block(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
 
 
+def decisive_block(x: str, y: str) -> int:
+    """Length of the longest common substring if its share of the shorter text can pass the bags' Dice, else 0."""
+    if not x or not y:
+        return 0
+    bag = 2.0 * sum(min(x.count(c), y.count(c)) for c in set(x)) / (len(x) + len(y))
+    return longer_block(x, y, max(0, int((bag - 0.0001) * min(len(x), len(y)) - 0.001)))
+
+
 @F.pandas_udf(IntegerType())
-def _longer_block(a: pd.Series, b: pd.Series, floor: pd.Series) -> pd.Series:
-    return pd.Series([longer_block(x, y, n) for x, y, n in zip(a, b, floor, strict=True)], dtype="int32")
+def _decisive_block(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([decisive_block(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
 
 
 def sequence_ratio(a: Column, b: Column, keep: str = HAN) -> Column:
@@ -182,6 +190,16 @@ def partial_ratio(a: Column, b: Column, keep: str = HAN) -> Column:
     return F.when(x == y, 100.0).when((x == "") | (y == ""), 0.0).otherwise(F.bround(100.0 * _longest_block(short, long) / F.length(short), 2))
 
 
+def best_score(x: Column, y: Column) -> Column:
+    """The highest of sequence_ratio, partial_ratio and a hundred times bag_dice, of two texts in the form of ``norm``.
+
+    Matching blocks hold no more characters than the bags share, so the first never
+    passes the last; the longest block is looked for only where it can pass it.
+    """
+    bag, low = bag_of_norms(x, y) * 100, F.least(F.length(x), F.length(y))
+    return F.when(x == y, 100.0).when((x == "") | (y == ""), bag).otherwise(F.greatest(bag, F.bround(100.0 * _decisive_block(x, y) / low, 2)))
+
+
 def has_invented(raw: Column, refined: Column, keep: str = HAN) -> Column:
     """refined holds a content character that raw does not."""
     return F.size(F.array_except(chars(compact(refined, keep)), chars(compact(raw, keep)))) > 0

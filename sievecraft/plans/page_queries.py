@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import fuse, pages, queues, records, rollup
+from .adapters import tracks
 from .catalogue import query, table
 
 
@@ -113,7 +114,5 @@ def a7_compare_summary(spark, sf_dir):
 @query()
 def f4_relock(spark, sf_dir):
     """Pages' lines in another order, put back into their own."""
-    from .pair_queries import _short_tracks
-
-    t = _short_tracks(spark, sf_dir).where(F.size("a") <= 12)
+    t = tracks(spark, sf_dir)
     return t.select("image", F.array_join(pages.relock(F.col("a"), F.reverse("a"), "A-Za-z"), "\n").alias("lines"))

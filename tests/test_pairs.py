@@ -71,3 +71,24 @@ def test_ratios_take_whole_turns(spark, tmp_path):
     spark.createDataFrame([(1, 1, x), (1, 2, y)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     got = catalogue.QUERIES["m5_ratios"](spark, str(tmp_path)).first()
     assert (got.ratio, got.partial) == (44.44, 50.0)
+
+
+def test_best_score_is_the_highest_of_three(spark):
+    rng = random.Random(7)
+    rows = [("".join(rng.choices("abcdef", k=rng.randint(0, 40))), "".join(rng.choices("abcdeg", k=rng.randint(0, 40)))) for _ in range(150)]
+    rows += [(x, x[3:20] + y) for x, y in rows[:50]] + [(x + y, y) for x, y in rows[50:100]]
+    three = F.greatest(m.sequence_ratio(A, B, "a-z"), m.partial_ratio(A, B, "a-z"), m.bag_dice(A, B, "a-z") * 100)
+    got = spark.createDataFrame(rows, "a string, b string").select(three.alias("want"), m.best_score(m.norm(A, "a-z"), m.norm(B, "a-z")).alias("got")).collect()
+    assert all(abs(r.want - r.got) < 0.011 for r in got)
+
+
+def test_line_queries_take_whole_lines(spark, tmp_path):
+    line = "a" * 60 + "b" * 40
+    other = "c" * 60 + "d" * 40
+    spark.createDataFrame([(4, f"{line}\n{other}"), (5, f"{line}\n{other}")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: catalogue.QUERIES[name](spark, str(tmp_path)).orderBy("image").collect()
+    # Document 4's second track is the first half of each line, document 5's is equal.
+    assert {(r.text_a, r.text_b, r.cer) for r in run("f1_align_lines") if r.image == "4-0"} == {(line, line[:50], 0.5), (other, other[:50], 0.5)}
+    assert {r.line for r in run("f6_fuse_lines")} == {line, other}
+    assert [r.page_status for r in run("f10_page_status")] == ["needs_hitl", "silver"]
+    assert [set(r.lines.split("\n")) for r in run("f4_relock")] == [{line, other}] * 2
