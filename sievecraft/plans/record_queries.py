@@ -108,10 +108,14 @@ def j3_caption_lookup(spark, sf_dir):
 
 @query("select coalesce(f.doc_id, l.doc_id, d.doc_id) as doc_id, case when f.doc_id is not null then 'fuse' when l.doc_id is not null then 'legacy_ocr' else 'pending' end as gt_source, f.doc_id is not null and l.doc_id is not null as both_present from documents d left join (select distinct doc_id from documents where doc_id % 2 = 0 and trim(text) <> '') f using (doc_id) left join (select distinct doc_id from documents where doc_id % 3 = 0 and trim(text) <> '') l using (doc_id)")
 def j6_merge_sources(spark, sf_dir):
+    return _merged(spark, sf_dir).select("doc_id", "gt_source", "both_present")
+
+
+def _merged(spark, sf_dir):
+    """Documents with two label sources, each a part of the texts, and the bag of letters of both."""
     d = table(spark, sf_dir, "documents")
-    fused, legacy = d.where("doc_id % 2 = 0").select("doc_id", F.col("text").alias("ground_truth")), d.where("doc_id % 3 = 0").select("doc_id", F.substring("text", 1, 40).alias("ground_truth"))
-    merged = records.merge_sources(d.select("doc_id"), fused, legacy, "doc_id", F.lit(1.0))
-    return merged.select("doc_id", "gt_source", "both_present")
+    texts = d.select("doc_id", F.col("text").alias("ground_truth"))
+    return records.merge_sources(d.select("doc_id"), texts.where("doc_id % 2 = 0"), texts.where("doc_id % 3 = 0"), "doc_id", bag_dice(F.col("fuse_gt"), F.col("legacy_gt"), LETTERS))
 
 
 @query("select p_partkey, l.k is null as lacks_label, j.k is null as lacks_judge from part left join (select distinct l_partkey as k from lineitem where l_quantity > 40) l on l.k = p_partkey left join (select distinct l_partkey as k from lineitem where l_discount > 0.08) j on j.k = p_partkey where l.k is null or j.k is null")
@@ -223,7 +227,7 @@ def a5_status_counts(spark, sf_dir):
 
 @query("select gt_source, count(*) as n, 0::bigint as n_diverge from (select case when doc_id % 2 = 0 and trim(text) <> '' then 'fuse' when doc_id % 3 = 0 and trim(text) <> '' then 'legacy_ocr' else 'pending' end as gt_source from documents) group by gt_source")
 def a6_merge_summary(spark, sf_dir):
-    return rollup.merge_summary(j6_merge_sources(spark, sf_dir).withColumn("diverge_flag", F.lit(False)))
+    return rollup.merge_summary(_merged(spark, sf_dir))
 
 
 @query("select count(distinct o_orderkey) as n_queue, count(distinct o_orderkey) filter (d.k is not null) as n_done, count(distinct o_orderkey) filter (d.k is null) as n_pending, count(distinct o_orderkey) filter (d.k is null) > 100 as more_pending from orders left join (select distinct l_orderkey as k from lineitem) d on k = o_orderkey")
@@ -264,8 +268,28 @@ def x2_difference(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id").subtract(table(spark, sf_dir, "labels").select("doc_id"))
 
 
-def merged_bag(spark, sf_dir):
-    """The merge with its real score: the bag of letters of both texts."""
+_FUSED = "regexp_replace(text, '[^A-Za-z]', '', 'g')"
+_LEGACY = f"case when doc_id % 3 = 0 then regexp_replace({_FUSED}, '[aeinorstAEINORST]', '', 'g') else {_FUSED} end"
+_COMMON = "list_sum([least(length(a) - length(replace(a, c, '')), length(b) - length(replace(b, c, ''))) for c in list_distinct(string_split(a, ''))])"
+_BAGS = f"""
+  select doc_id, case when length(a) + length(b) = 0 then 1 else round_even(2.0::double * coalesce({_COMMON}, 0) / (length(a) + length(b)), 4) end::double as bag
+  from (select doc_id, max({_FUSED}) as a, max({_LEGACY}) as b from documents where regexp_matches(text, '\\S') and regexp_matches(case when doc_id % 3 = 0 then regexp_replace(text, '[aeinorstAEINORST]', '', 'g') else text end, '\\S') group by doc_id)
+"""
+
+
+@query(f"select d.doc_id, b.bag as bag_fuse_vs_legacy, coalesce(b.bag < 0.7, false) as diverge_flag from documents d left join ({_BAGS}) b using (doc_id)")
+def j6_merged_bag(spark, sf_dir):
+    """The merge's score and flag; the legacy source lacks common letters in each third text."""
+    return _slipped(spark, sf_dir).select("doc_id", "bag_fuse_vs_legacy", "diverge_flag")
+
+
+@query(f"select case when regexp_matches(coalesce(text, ''), '\\S') then 'fuse' else 'pending' end as gt_source, count(*) as n, count(*) filter (b.bag < 0.7) as n_diverge from documents d left join ({_BAGS}) b using (doc_id) group by 1")
+def a6_merged_bag_summary(spark, sf_dir):
+    return rollup.merge_summary(_slipped(spark, sf_dir))
+
+
+def _slipped(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    short = F.substring("text", 1, 200)
-    return records.merge_sources(d.select("doc_id"), d.select("doc_id", short.alias("ground_truth")), d.select("doc_id", F.reverse(short).alias("ground_truth")), "doc_id", bag_dice(F.col("fuse_gt"), F.col("legacy_gt"), LETTERS))
+    fused = d.select("doc_id", F.col("text").alias("ground_truth"))
+    slip = F.when(F.col("doc_id") % 3 == 0, F.regexp_replace("text", "[aeinorstAEINORST]", "")).otherwise(F.col("text"))
+    return records.merge_sources(d.select("doc_id"), fused, d.select("doc_id", slip.alias("ground_truth")), "doc_id", bag_dice(F.col("fuse_gt"), F.col("legacy_gt"), LETTERS))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievecraft.operators import fuse, queues, records, rollup
+from sievecraft.plans import catalogue, record_queries
 from sievecraft.sources import tables
 from sievecraft.streaming import feed
 
@@ -80,3 +81,18 @@ def test_retries(spark):
     a = spark.createDataFrame([(1, 2), (2, 2), (3, 0)], "k int, attempts int")
     got = {r.k: (r.attempts, r.exhausted) for r in feed.retry(k(1, 2, 4), a, k(2), "k", 3).collect()}
     assert got == {1: (3, True), 2: (3, False), 3: (0, False), 4: (1, False)}
+
+
+def test_merge_scores_whole_texts(spark, tmp_path):
+    rows = [(3, " " * 40 + "late text"), (6, "x" * 250 + "e" * 300), (7, "plain"), (9, "xyz" * 100), (12, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: catalogue.QUERIES[name](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.gt_source for r in run("j6_merge_sources")} == {3: "legacy_ocr", 6: "fuse", 7: "pending", 9: "legacy_ocr", 12: "pending"}
+    assert {r.doc_id: (r.bag_fuse_vs_legacy, r.diverge_flag) for r in run("j6_merged_bag")} == {3: (0.4, True), 6: (0.625, True), 7: (1.0, False), 9: (1.0, False), 12: (None, False)}
+    assert {r.gt_source: (r.n, r.n_diverge) for r in run("a6_merged_bag_summary")} == {"fuse": (4, 2), "pending": (1, 0)}
+
+
+def test_summary_counts_the_flag_of_the_merge(spark, monkeypatch):
+    one = spark.createDataFrame([("fuse", True), ("fuse", False)], "gt_source string, diverge_flag boolean")
+    monkeypatch.setattr(record_queries, "_merged", lambda *_: one)
+    assert [(r.n, r.n_diverge) for r in record_queries.a6_merge_summary(spark, "").collect()] == [(2, 1)]
