@@ -6,16 +6,19 @@ sources do, so any store that Spark reads will do.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.base import blank
 from ..functions.text import clean_main_text, clean_side_text
+from .scratch import save
 
 PUBLIC = ("image", "label", "ground_truth", "side_matter", "boxes", "post_link")
 SUBMIT = ("image", "label", "ground_truth", "boxes", "post_link")
-#: Depth at which the walk of a nested value stops.
-MAX_DEPTH = 64
+#: Levels of a nested value that are planned at once; the next one is saved.
+LEVELS = 16
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -61,19 +64,22 @@ def posts_from_paths(paths: DataFrame) -> DataFrame:
     return found.groupBy("post_id").agg(F.array_sort(F.collect_set("image")).alias("images"))
 
 
-def walk_json(rows: DataFrame, key: str, text: str, depth: int = MAX_DEPTH) -> DataFrame:
+def walk_json(rows: DataFrame, key: str, text: str) -> DataFrame:
     """(key, depth, path, name, value): every value of the JSON texts, as a variant; broken texts go.
 
     One explode per level of nesting, until no nested value is left. Each level is
-    planned only if the level above has objects or arrays.
+    planned only if the level above has objects or arrays. Each LEVELS levels one is
+    saved, which bounds the plan.
     """
     level = rows.select(F.col(key), F.lit(0).alias("depth"), F.lit("$").alias("path"), F.lit(None).cast("string").alias("name"), F.expr(f"try_parse_json({text})").alias("value")).where("value is not null")
     out = level
-    for d in range(1, depth + 1):
+    for d in count(1):
         inner = level.where("schema_of_variant(value) like 'OBJECT%' or schema_of_variant(value) like 'ARRAY%'")
         if not inner.limit(1).count():
             break
         level = _explode(inner, key, d)
+        if d % LEVELS == 0:
+            level = save(level, "json-level")
         out = out.unionByName(level)
     return out
 

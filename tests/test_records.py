@@ -96,3 +96,9 @@ def test_summary_counts_the_flag_of_the_merge(spark, monkeypatch):
     one = spark.createDataFrame([("fuse", True), ("fuse", False)], "gt_source string, diverge_flag boolean")
     monkeypatch.setattr(record_queries, "_merged", lambda *_: one)
     assert [(r.n, r.n_diverge) for r in record_queries.a6_merge_summary(spark, "").collect()] == [(2, 1)]
+
+
+def test_json_is_walked_to_its_end(spark):
+    deep = '{"a":' * 70 + '{"post_id": "7", "message": "m"}' + "}" * 70
+    rows = spark.createDataFrame([(1, deep)], "k int, doc string")
+    assert [tuple(r) for r in tables.feed_candidates(rows, "k", "doc").collect()] == [(1, "7", "m", None)]
