@@ -2,29 +2,34 @@
 
 Exact, in five steps:
 
-1. Each text's shingle set gives a class (equal sets), a size, a token bitmap and its
-   *prefix*: the first ``n - ceil(0.8 n) + 1`` shingles in one global order. Two sets
-   that link share a prefix shingle, so a shingle's list of classes holds every link.
-   Shingles known to be common come last in that order; which are, is found in a
-   hashed share of the texts and changes the work only, never the links.
-2. In a few lists of each class, the class whose prefix is shared most (the likely
-   original) is paired with the others, and each with the one before; links, checked
-   on the sets, contract most groups of copies. Twice, on different lists.
-3. Lists that still hold two components become signature trees: a leaf is a class, an
-   inner node the OR of its children's bitmaps and the range of their sizes. A dual
-   traversal from (root, root) drops a pair of nodes when both are one component, when
-   their sizes cannot link, or when the most tokens they can share are too few.
-4. Pairs that are left are checked on the sets.
-5. Components of the checked links: stars inside tasks of bounded size, then, if there
-   is more than one such task, alternating star contraction.
-
-Nothing is emitted for pairs inside a component, so a group of g copies costs about g
-links. Lists are split by size class, and a very long open list is dealt out in pairs
-of parts.
+1. Each text's shingle set gives a class (equal sets), a size and a *prefix*: its first
+   ``n - ceil(0.8 n) + 1 + n // 10`` shingles in one global order. Two sets that link
+   share ``1 + n // 10`` prefix shingles at least, n being the smaller size. Shingles
+   known to be common come last in that order; which are, is found in a hashed share of
+   the texts and changes the work only, never the links.
+2. A class stays if enough of its prefix is shared with other classes; common shingles
+   count as shared unseen. Few classes beside groups of copies stay.
+3. The lists of the first ``n - ceil(0.8 n) + 1`` shingles, by size class, hold every
+   link. Each list is filed in the *bin* of the member whose prefix is shared most (the
+   likely original), so that the lists of one group of copies become one bin and a class
+   is sent to few bins, not to each list.
+4. A bin's classes become a signature tree: a leaf is a class, an inner node the OR of
+   its children's bitmaps and the range of their sizes. The original is compared first.
+   Then a dual traversal from (root, root) drops a pair of nodes when both are one
+   component, when their sizes cannot link, or when the most tokens they can share are
+   too few. Pairs that are left are checked on the sets at once, and links join their
+   components, so that a task gives fewer links than it has classes and no pair is
+   ever written that is not a link. First each class goes to its best bin only (a large
+   bin in parts, each with the original); then all bins of lists that still hold two
+   components are compared whole (a large bin in pairs of parts).
+5. Components of the links: stars inside tasks of bounded size, then, if there is more
+   than one such task, alternating star contraction.
 
 Defined results: null and empty texts, and texts without words, have no shingle, link
 with nothing, and their component is their own doc_id; a null doc_id counts only when
-nothing else is in its component; repeated rows each get a row. Extra columns go.
+nothing else is in its component; repeated rows each get a row; very long texts are
+used whole; a similarity of exactly 0.8 links. Extra columns go. Sets are known by
+64-bit hashes of their shingles and a class by a 63-bit hash of those.
 """
 
 from __future__ import annotations
@@ -43,8 +48,8 @@ WORDS = 5
 #: Texts hashed at once, in bytes.
 STEP = 1 << 18
 FAN = 8
-#: Rows of an open list that one task compares; a longer list is dealt out in pairs of parts.
-LIST_ROWS = 20_000
+#: Rows and bytes of sets in a part of a bin; a bin with more is dealt out in parts.
+PART_ROWS, PART_BYTES = 4096, 16 << 20
 #: Links that one task turns into stars.
 LINKS = 250_000
 #: At most so many shingles are ordered last.
@@ -99,18 +104,29 @@ def class_ids(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def prefix_size(n: np.ndarray) -> np.ndarray:
+    """Shingles of which two sets that link share one at least."""
     return n - (4 * n + 4) // 5 + 1
 
 
-def signature(h: np.ndarray, n_bits: int) -> bytes:
-    return np.packbits(np.bincount((h & np.uint64(n_bits - 1)).astype(np.int64), minlength=n_bits) > 0, bitorder="little").tobytes()
-
-
 def size_class(n: np.ndarray) -> np.ndarray:
     """k with 2**k <= n < 2**(k+1), 6 at least."""
     return np.maximum(6, np.frexp(n.astype(float))[1] - 1)
 
 
+def signatures(h: np.ndarray, bounds: np.ndarray, n_bits: int) -> np.ndarray:
+    """A bitmap of n_bits for each set, as rows of 64-bit words."""
+    rows = len(bounds) - 1
+    out = np.zeros((rows, n_bits // 64), np.uint64)
+    at_once = max(1, (16 << 20) // n_bits)
+    for i in range(0, rows, at_once):
+        j = min(rows, i + at_once)
+        part = h[bounds[i] : bounds[j]]
+        bits = np.zeros((j - i, n_bits), bool)
+        bits[np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1])), (part & np.uint64(n_bits - 1)).astype(np.int64)] = True
+        out[i:j] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    return out
+
+
 def common_shingles(documents: DataFrame) -> np.ndarray:
     """Shingles met three times or more in one batch of a hashed eighth of the texts: at most COMMON of them."""
 
@@ -126,7 +142,7 @@ def common_shingles(documents: DataFrame) -> np.ndarray:
 
 
 def profiles(documents: DataFrame) -> DataFrame:
-    """(doc_id, cid, n, keys, bits); keys and bits only for the first row of a class in a batch."""
+    """(doc_id, cid, n, late, keys); keys, the prefix with its ``late`` common shingles last, only for the first row of a class in a batch."""
     common = documents.sparkSession.sparkContext.broadcast(common_shingles(documents))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,69 +153,89 @@ def profiles(documents: DataFrame) -> DataFrame:
                 h, bounds = shingle_sets(part.column("text"))
                 n = np.diff(bounds)
                 cid = class_ids(h, bounds)
-                late = np.zeros(len(h), bool)
+                known = np.zeros(len(h), bool)
                 if len(last):
                     at = np.minimum(np.searchsorted(last, h), len(last) - 1)
-                    late = last[at] == h
-                keys: list = [None] * len(n)
-                bits: list = [None] * len(n)
-                size, take = size_class(n), prefix_size(n)
-                for i, c in enumerate(cid.tolist()):
-                    if c == -1 or c in seen:
-                        continue
-                    seen.add(c)
-                    own = h[bounds[i] : bounds[i + 1]]
-                    rest = late[bounds[i] : bounds[i + 1]]
-                    keys[i] = np.concatenate([own[~rest], own[rest]])[: take[i]].view(np.int64)
-                    bits[i] = signature(own, 4 << int(size[i]))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cid), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())], ["doc_id", "cid", "n", "keys", "bits"])
-
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, cid long, n long, keys array<long>, bits binary")
-
-
-def with_marked_keys(classes: DataFrame, bits: np.ndarray) -> DataFrame:
-    """classes with only the keys whose bit is set; classes left without one go."""
-    sent, names = classes.sparkSession.sparkContext.broadcast(bits), classes.columns
+                    known = last[at] == h
+                new = np.array([c != -1 and c not in seen and not seen.add(c) for c in cid.tolist()], bool)
+                # In each set the common shingles go to its end; both kinds stay in order of their hash.
+                of = np.repeat(np.arange(len(n)), n)
+                order = np.lexsort((known, of))
+                h, known, of = h[order], known[order], of[order]
+                take = np.where(new, np.minimum(n, prefix_size(n) + n // 10), 0)
+                keep = np.arange(len(h)) - bounds[of] < take[of]
+                late = np.bincount(of[keep & known], minlength=len(n))
+                keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(take)]).astype(np.int32)), pa.array(h[keep].view(np.int64)), mask=pa.array(~new))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cid), pa.array(n, pa.int64()), pa.array(late, pa.int64()), keys], ["doc_id", "cid", "n", "late", "keys"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("keys")
-            flat_keys = keys.flatten().to_numpy(zero_copy_only=False)
-            keep = marked(sent.value, flat_keys)
-            of = np.repeat(np.arange(batch.num_rows), keys.value_lengths().to_numpy(zero_copy_only=False))[keep]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=batch.num_rows))]).astype(np.int32)
-            out = batch.set_column(names.index("keys"), "keys", pa.ListArray.from_arrays(pa.array(ends), pa.array(flat_keys[keep])))
-            yield out.filter(pa.array(np.diff(ends) > 0))
-
-    return classes.mapInArrow(run, classes.schema)
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, cid long, n long, late long, keys array<long>")
 
 
-def list_rows(classes: DataFrame, long_lists: dict[int, int]) -> DataFrame:
-    """(list, cid, n, bits, comp, shared): a class in the lists of its keys, by size class.
+def shared_counts(keys: DataFrame) -> DataFrame:
+    """(cid, k): of the rows (key, cid), how many keys of a class another class has too; classes without one are left out.
 
-    A class also goes to the next size class if it can link with a member of that.
-    ``long_lists``: into how many parts a key's list is cut; each pair of parts is a list.
+    The rows of a task come sorted, so a key is judged from its neighbours; nothing is held but a border row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counts(key: np.ndarray, cid: np.ndarray) -> pa.RecordBatch:
+            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            wide = np.repeat(cid[begin] != cid[np.append(begin[1:], len(key)) - 1], np.diff(np.append(begin, len(key))))
+            once = np.concatenate([[True], (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])])
+            x, k = np.unique(cid[wide & once], return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(x), pa.array(k)], ["cid", "k"])
+
+        key, cid = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                out: list[tuple] = []
-                for cid, n, keys, bits, comp, shared in zip(*(batch.slice(start, 256).column(c).to_pylist() for c in ("cid", "n", "keys", "bits", "comp", "shared")), strict=True):
-                    k = int(size_class(np.array([n]))[0])
-                    half = len(bits) // 2
-                    own = (np.frombuffer(bits, np.uint8, half) | np.frombuffer(bits, np.uint8, half, half)).tobytes()
-                    to = [(k, own)] + ([(k + 1, bits)] if 5 * n >= 4 << (k + 1) else [])
-                    for key in keys:
-                        parts = long_lists.get(key, 1)
-                        mine = cid % parts
-                        for other in range(parts):
-                            pair = min(mine, other) * parts + max(mine, other)
-                            out += [(hash((key, c, pair)), cid, n, b, comp, shared) for c, b in to]
-                cols = list(zip(*out, strict=True)) or [[]] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.float64()), strict=True)], ["list", "cid", "n", "bits", "comp", "shared"])
-
-    return classes.select("cid", "n", "keys", "bits", "comp", "shared").mapInArrow(run, "list long, cid long, n long, bits binary, comp long, shared double")
+            key, cid = np.concatenate([key, batch.column("key").to_numpy()]), np.concatenate([cid, batch.column("cid").to_numpy()])
+            if not len(key):
+                continue
+            cut = np.searchsorted(key, key[-1])
+            # Of a key that goes on, its first and last class decide; only its present rows are held.
+            if cut:
+                yield counts(key[:cut], cid[:cut])
+                key, cid = key[cut:], cid[cut:]
+        if len(key):
+            yield counts(key, cid)
+
+    return keys.repartition("key").sortWithinPartitions("key", "cid").mapInArrow(run, "cid long, k long").groupBy("cid").agg(F.sum("k").alias("k"))
+
+
+def stayed(profile: DataFrame) -> DataFrame:
+    """One row per class that may link: (cid, n, keys, rate), keys cut to what two sets that link share one of."""
+    classes = profile.where("keys is not null")
+    rare = classes.select("cid", F.explode(F.expr("slice(keys, 1, size(keys) - cast(late as int))")).alias("key"))
+    counts = shared_counts(rare)
+    enough = F.coalesce("k", F.lit(0)) + F.col("late") >= 1 + F.expr("n * 8 div 100")
+    found = classes.join(counts, "cid", "left").where(enough)
+    one = found.groupBy("cid").agg(F.first("n").alias("n"), F.first(F.expr("slice(keys, 1, cast(n - (4 * n + 4) div 5 + 1 as int))")).alias("keys"), F.first(((F.coalesce("k", F.lit(0)) + F.col("late")) / F.col("n"))).alias("rate"))
+    return save(one, "copies-classes")
+
+
+def list_keys(classes: DataFrame) -> DataFrame:
+    """(cid, n, rate, list, size): a class in the lists of its keys by size class, also the next if it can link with a member of that."""
+    size = F.greatest(F.lit(6), F.floor(F.log2("n")).cast("int"))
+    rows = classes.withColumn("size", size)
+    sizes = F.when(F.expr("5 * n >= 4 * shiftleft(1L, size + 1)"), F.array("size", F.col("size") + 1)).otherwise(F.array("size"))
+    rows = rows.select("cid", "n", "rate", F.explode(sizes).alias("size"), "keys").select("cid", "n", "rate", "size", F.explode("keys").alias("key"))
+    return rows.select("cid", "n", "rate", "size", F.xxhash64("key", "size").alias("list"))
+
+
+def bins(lists: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """(cid, n, bin, original, size, lists): the bins of each class and how many of its lists are in them, for lists of two components or more."""
+    own = lists if comp is None else lists.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    c = "cid" if comp is None else "comp"
+    kinds = own.groupBy("list").agg(F.min(c).alias("low"), F.max(c).alias("high"), F.max(F.struct("rate", "cid")).alias("top")).where("low != high")
+    open_ = save(kinds.select("list", F.col("top.cid").alias("original")), "copies-lists")
+    joined = lists.join(open_, "list").groupBy("cid", "original", "size").agg(F.first("n").alias("n"), F.count("*").alias("lists"))
+    return joined.withColumn("bin", F.xxhash64("original", "size"))
+
+
+def parts_of(rows: DataFrame) -> DataFrame:
+    """rows with ``parts``: into how many parts its bin is cut."""
+    parts = F.ceil(F.greatest(F.count("*") / PART_ROWS, F.sum("n") * 8 / PART_BYTES)).cast("int")
+    large = save(rows.groupBy("bin").agg(parts.alias("parts")).where("parts > 1"), "copies-large")
+    return rows.join(large, "bin", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
 
 
 class Level:
@@ -258,67 +294,103 @@ def dual_traversal(of: np.ndarray, n: np.ndarray, bits: np.ndarray, comp: np.nda
             stack.append((h - 1, a[once], b[once]))
 
 
-def candidate_pairs(rows: DataFrame, contracting: bool) -> DataFrame:
-    """(a, b), a < b: classes of two components that may link, from complete lists.
+class Group:
+    """Classes of some bins, and the components that the bins' links make of them."""
+
+    def __init__(self, of: np.ndarray, cid: np.ndarray, comp: np.ndarray, first: np.ndarray, size: int, h: np.ndarray, bounds: np.ndarray):
+        self.of, self.cid, self.comp, self.first, self.h, self.bounds = of, cid, comp, first, h, bounds
+        self.n = np.diff(bounds)
+        self.bits = signatures(h, bounds, 16 << size)
+        self.parent: dict[int, int] = {}
+        self.links: list[tuple[int, int]] = []
 
-    Contracting, a list gives two pairs per row at most: with the list's first row,
-    which is the one whose prefix is shared most, and with the row before.
+    def root(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = self.parent.get(up, up)
+            x = up
+        return x
+
+    def check(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Join the components of those pairs of rows whose sets link."""
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            p, q = self.root(int(self.comp[a])), self.root(int(self.comp[b]))
+            if p == q:
+                continue
+            x, y = self.h[self.bounds[a] : self.bounds[a + 1]], self.h[self.bounds[b] : self.bounds[b + 1]]
+            both = np.concatenate([x, y])
+            both.sort()
+            k = int(np.count_nonzero(both[1:] == both[:-1]))
+            if 100 * k >= 80 * (len(x) + len(y) - k):
+                self.parent[max(p, q)] = min(p, q)
+                self.links.append((int(self.cid[a]), int(self.cid[b])))
+
+    def run(self) -> list[tuple[int, int]]:
+        rows = np.arange(len(self.of))
+        leaf = Level(self.of, self.bits, self.n, self.n, self.n - np.bitwise_count(self.bits).sum(1, dtype=np.int64), self.comp, self.comp, None)
+        i, j = self.first[rows != self.first], rows[rows != self.first]
+        keep = leaf.linkable(i, j)
+        self.check(i[keep], j[keep])
+        comp = np.array([self.root(c) for c in self.comp.tolist()])
+        low = np.full(self.of.max() + 1, np.iinfo(np.int64).max)
+        high = np.full(self.of.max() + 1, np.iinfo(np.int64).min)
+        np.minimum.at(low, self.of, comp)
+        np.maximum.at(high, self.of, comp)
+        order = np.lexsort((self.n, comp, self.of))
+        order = order[(low != high)[self.of[order]]]
+        if len(order):
+            for i, j in dual_traversal(self.of[order], self.n[order], self.bits[order], comp[order]):
+                self.check(order[i], order[j])
+        return self.links
+
+
+def links_of(rows: DataFrame) -> DataFrame:
+    """(a, b): links that join the components of the rows' bins as all links would.
+
+    rows (bin, size, head, cid, comp, s): complete bins; ``head``, the likely original of its bin.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            t = pa.Table.from_batches(held).combine_chunks()
-            of, cid, n, comp = (t.column(c).to_numpy() for c in ("list", "cid", "n", "comp"))
-            blobs = t.column("bits").to_pylist()
-            width = np.array([len(b) for b in blobs])
-            seen: set[tuple[int, int]] = set()
-            for w in np.unique(width):
-                at = np.flatnonzero(width == w)
-                bits = np.frombuffer(b"".join([blobs[i] for i in at]), np.uint8).reshape(len(at), w).view(np.uint64)
-                if contracting:
-                    leaf = Level(of[at], bits, n[at], n[at], n[at] - np.bitwise_count(bits).sum(1, dtype=np.int64), comp[at], comp[at], None)
-                    begin = np.flatnonzero(np.concatenate([[True], leaf.of[1:] != leaf.of[:-1]]))
-                    first = np.repeat(begin, np.diff(np.append(begin, len(at))))
-                    j = np.flatnonzero(np.arange(len(at)) != first)
-                    i, j = np.concatenate([first[j], j - 1]), np.concatenate([j, j])
-                    ok = leaf.linkable(i, j)
-                    found = iter([(i[ok], j[ok])])
-                else:
-                    found = dual_traversal(of[at], n[at], bits, comp[at])
-                for i, j in found:
-                    a, b = cid[at[i]], cid[at[j]]
-                    seen.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
-            a, b = zip(*seen, strict=True) if seen else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        held, size = [], 0
+        def found(t: pa.Table) -> pa.RecordBatch:
+            at, cid, comp, head, size = (t.column(c).to_numpy() for c in ("bin", "cid", "comp", "head", "size"))
+            blobs = t.column("s")
+            links: list[tuple[int, int]] = []
+            for k in np.unique(size):
+                mine = np.flatnonzero(size == k)
+                of = np.unique(at[mine], return_inverse=True)[1]
+                order = np.lexsort((~head[mine], of))
+                mine, of = mine[order], of[order]
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in blobs.take(pa.array(mine))]
+                bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+                begin = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+                first = np.repeat(begin, np.diff(np.append(begin, len(of))))
+                links += Group(of, cid[mine], comp[mine], first, int(k), np.concatenate(sets), bounds).run()
+            a, b = zip(*links, strict=True) if links else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        rows = size = 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            of = batch.column("list").to_numpy()
-            if size > LIST_ROWS and of[0] != held[-1].column("list")[-1].as_py():
-                yield from pairs(held)
-                held, size = [], 0
-            cut = np.flatnonzero(of[1:] != of[:-1]) + 1
-            if size + len(of) > LIST_ROWS and len(cut):
-                # Close at the last border between lists.
-                yield from pairs([*held, batch.slice(0, cut[-1])])
-                held, size = [batch.slice(cut[-1])], len(of) - cut[-1]
-            else:
-                held.append(batch)
-                size += len(of)
+            for part in steps(batch, "s", 1 << 20):
+                of = part.column("bin").to_numpy()
+                cut = np.flatnonzero(of[1:] != of[:-1]) + 1
+                begin = 0 if not held or held[-1].column("bin")[-1].as_py() != of[0] else int(cut[0]) if len(cut) else len(of)
+                if held and begin < len(of) and (rows > PART_ROWS or size > PART_BYTES):
+                    # Close at a border between bins.
+                    yield found(pa.Table.from_batches([*held, part.slice(0, begin)]).combine_chunks())
+                    held, rows, size, part = [], 0, 0, part.slice(begin)
+                held.append(part)
+                rows += part.num_rows
+                size += part.column("s").nbytes
         if held:
-            yield from pairs(held)
+            yield found(pa.Table.from_batches(held).combine_chunks())
 
-    by = ("list", F.desc("shared"), "cid") if contracting else ("list", "comp", "n", "cid")
-    ordered = rows.repartition("list").sortWithinPartitions(*by).drop("shared")
-    return ordered.mapInArrow(run, "a long, b long").where("a != b").distinct()
+    ordered = rows.select("bin", "size", "head", "cid", "comp", "s").repartition("bin").sortWithinPartitions("bin")
+    return save(ordered.mapInArrow(run, "a long, b long"), "copies-links")
 
 
-def checked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs, a saved table that goes, whose sets link; saved."""
-    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    sent = documents.sparkSession.sparkContext.broadcast(bitmap(ends, "cid"))
+def class_sets(documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cid, s): the shingle sets of the classes, from the texts."""
+    sent = documents.sparkSession.sparkContext.broadcast(bitmap(classes.select("cid"), "cid"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,22 +401,9 @@ def checked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
                 keep = [i for i in np.flatnonzero(marked(sent.value, cid) & (cid >= 0)).tolist() if not (cid[i] in seen or seen.add(cid[i]))]
                 yield pa.RecordBatch.from_arrays([pa.array(cid[keep]), pa.array([h[bounds[i] : bounds[i + 1]].tobytes() for i in keep], pa.binary())], ["cid", "s"])
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("s"), batch.column("t"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(100 * both >= 80 * (len(p) + len(q) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
     # A class comes from at most one row of each batch; of these, any will do.
-    found = documents.select("text").mapInArrow(sets, "cid long, s binary").join(ends, "cid", "left_semi").groupBy("cid").agg(F.first("s").alias("s"))
-    found = save(found, "copies-sets")
-    joined = pairs.join(found.withColumnRenamed("cid", "a"), "a").join(found.select(F.col("cid").alias("b"), F.col("s").alias("t")), "b")
-    out = save(joined.select("a", "b", "s", "t").mapInArrow(link, "a long, b long"), "copies-checked")
-    discard(found, pairs)
-    return out
+    found = documents.select("text").mapInArrow(sets, "cid long, s binary").groupBy("cid").agg(F.first("s").alias("s"))
+    return save(found.join(classes.select("cid"), "cid", "left_semi"), "copies-sets")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -387,44 +446,44 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("cid"), F.col("v").alias("comp")).union(edges.select("v", "v").distinct())
 
 
-def still_open(classes: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """classes with their components and only the keys of lists that hold two; and those lists (key, n)."""
-    own = save(classes.join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "copies-contracted")
-    lists = own.select(F.explode("keys").alias("key"), "comp").groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
-    lists = save(lists.where("low != high").select("key", "n"), "copies-open")
-    open_ = save(with_marked_keys(own, bitmap(lists, "key")), "copies-still-open")
-    discard(own)
-    return open_, lists
-
-
 def near_copies(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of documents (doc_id, text)."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = save(profiles(documents), "copies-profiles")
-    classes = profile.where("keys is not null").groupBy("cid").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
-    classes = save(classes, "copies-classes")
-    shared = save(classes.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1"), "copies-shared")
-    every, classes = classes, save(with_marked_keys(classes, bitmap(shared, "key")).withColumn("shared", F.size("keys") / F.col("n")), "copies-candidates")
-    discard(every, shared)
-
-    # Two rounds of contraction, each on a few lists of every class that is in an open list.
-    links, comp, own = None, None, classes.withColumn("comp", F.col("cid"))
-    for turn in range(2):
-        few = own.withColumn("keys", F.slice("keys", 1, 2) if turn == 0 else F.slice(F.reverse("keys"), 1, 4))
-        more = checked(documents, save(candidate_pairs(list_rows(few, {}), True), "copies-pairs"))
-        links = more if links is None else links.union(more)
-        comp = components(links)
-        own, lists = still_open(classes, comp)
-
-    long_lists = {r["key"]: -(-r["n"] // (LIST_ROWS // 2)) for r in lists.where(F.col("n") > LIST_ROWS).collect()}  # at most all keys / LIST_ROWS
-    more = checked(documents, save(candidate_pairs(list_rows(own, long_lists), False), "copies-pairs"))
+    classes = stayed(profile)
+    sets = class_sets(documents, classes)
+    lists = list_keys(classes)
+
+    # Each class in its best bin; a large bin in parts, each with the original.
+    every = save(bins(lists, None), "copies-bins")
+    best = every.groupBy("cid").agg(F.max(F.struct("lists", "original", "size", "bin", "n")).alias("b")).select("cid", "b.*")
+    best = save(parts_of(best), "copies-best")
+    part = F.pmod(F.xxhash64("cid", F.lit("part")), F.col("parts"))
+    heads = best.select("bin", "size", "parts", F.col("original").alias("cid")).distinct()
+    heads = heads.select("size", "cid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "bin").withColumn("head", F.lit(True))
+    tails = best.where("cid != original").select("size", "cid", part.alias("part"), "bin", F.lit(False).alias("head"))
+    rows = heads.unionByName(tails).withColumn("bin", F.xxhash64("bin", "part")).withColumn("comp", F.col("cid"))
+    links = links_of(rows.join(sets, "cid"))
+    comp = components(links)
+
+    # All bins of lists that hold two components or more; a large bin in pairs of parts.
+    open_ = save(parts_of(bins(lists, comp)), "copies-open")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    pairs = open_.withColumn("part", part).withColumn("other", other).withColumn("bin", F.xxhash64("bin", F.least("part", "other"), F.greatest("part", "other")))
+    pairs = pairs.withColumn("head", F.col("cid") == F.col("original")).join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    more = links_of(pairs.join(sets, "cid"))
     comp = components(links.union(more)) if more.limit(1).count() else comp
-
-    named = save(profile.select("doc_id", "cid", "n").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "copies-named")
-    discard(profile, classes, own)
-    least = named.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    linked = named.where("n > 0").join(least, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return linked.union(named.where("n = 0").select("doc_id", "n", "doc_id"))
+    comp = save(comp, "copies-components")
+    discard(classes, sets, every, best, open_)
+
+    # The smallest doc_id of each class, then of each component; only classes of several rows or links need a name.
+    own = save(profile.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(comp, "cid", "left"), "copies-own")
+    least = save(own.where("comp is not null").groupBy("comp").agg(F.min("least").alias("component_id")), "copies-least")
+    linked = own.where("comp is not null").select("cid", "comp").join(least, "comp").select("cid", "component_id")
+    named = save(linked.union(own.where("comp is null and rows > 1").select("cid", "least")).withColumn("named", F.lit(True)), "copies-named")
+    discard(own, least)
+    component = F.when(F.col("named"), F.col("component_id")).otherwise(F.col("doc_id"))
+    return profile.select("doc_id", "cid", "n").join(named, "cid", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,13 +56,34 @@ def test_near_copies(spark, docs, awkward, real):
     assert Counter((r.doc_id, r.component_id) for r in again) == Counter({(3, 3): 2, (None, None): 1})
 
 
+@pytest.mark.parametrize("part", [4096, 4])
+def test_groups_of_near_copies(docs, monkeypatch, part):
+    """Families without an original, chains, template pages that nothing links, shared passages; also with bins in parts."""
+    monkeypatch.setattr(near_copies, "PART_ROWS", part)
+    rng = np.random.default_rng(part)
+    texts = []
+    for f in range(4):
+        base = [f"f{f}w{i}" for i in range(90)]
+        for _ in range(14):
+            edited = list(base)
+            for at in rng.choice(90, rng.integers(0, 6), replace=False):
+                edited[at] = f"e{rng.integers(1 << 40)}"
+            texts.append(" ".join(edited))
+    page = [f"p{i}" for i in range(25)]
+    texts += [" ".join(page + [f"own{k}x{i}" for i in range(4)]) for k in range(40)]
+    texts += [" ".join([f"long{k}x{i}" for i in range(300)] + page) for k in range(6)]
+    texts += [" ".join(f"c{i}" for i in range(k, k + 70)) for k in range(0, 60, 2)] + texts[:3]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_copies.near_copies(docs(texts)).collect()}
+    assert got == components(dict(enumerate(texts)))
+
+
 def test_tree_equals_all_pairs():
     rng = np.random.default_rng(5)
     sets = [rng.choice(2000, rng.integers(64, 120), replace=False).astype(np.uint64) for _ in range(40)]
     sets += [np.unique(np.concatenate([s[3:], rng.integers(5000, 9000, 3).astype(np.uint64)])) for s in sets]
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
     sets = [sets[i] for i in order]
-    bits = np.stack([np.frombuffer(near_copies.signature(s, 256), np.uint8) for s in sets]).view(np.uint64)
+    bits = near_copies.signatures(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), 256)
     n, of = np.array([len(s) for s in sets]), np.arange(len(sets)) // 50
     found = {(min(a, b), max(a, b)) for i, j in near_copies.dual_traversal(of, n, bits, np.arange(len(sets)), 50) for a, b in zip(i.tolist(), j.tolist(), strict=True)}
     for a in range(len(sets)):
