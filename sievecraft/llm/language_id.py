@@ -11,19 +11,22 @@ about ``max_per_lang`` documents of each language, taken by hash of the id, whic
 bounds the group that one task clusters.
 
 Defined results: null text, or text without a letter, gives `und` with score 0, as
-does any text when nothing was learned; repeated rows each get a row; documents of
-null language are not learned from. Extra columns are ignored.
+does any text when nothing was learned; a letter is a character of Unicode's categories L,
+so digits, Roman numerals and signs are none; repeated rows each get a row; of centroids
+with one cosine the first in order of language wins; very long texts are read whole, in
+steps of their own; documents of null language are not learned from. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +34,7 @@ from .common import flat, fold, share, steps, table
 
 BUCKETS = 4096
 ROWS = 512
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: Letters in lower case and all bytes of other scripts stay, the rest is a blank.
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint32)
 

@@ -129,7 +129,8 @@ class Segment:
 
 
 #: Characters on which splitting at blanks, lower-casing and the pre-tokeniser agree with the
-#: library word by word; a text with any other character goes to the library whole.
+#: library word by word; a text with any other character, or with the string of an added
+#: token, goes to the library whole.
 PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-ɏ]*")
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Words and pieces whose ids a worker remembers before it starts over.
@@ -145,7 +146,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.added = regex.compile("|".join(regex.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()) or r"(?!)", regex.IGNORECASE)
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.as_bytes = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in shown)}
         self.words: dict[str, bytes] = {}
@@ -168,7 +169,7 @@ class WordEncoder:
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        if not PLAIN.fullmatch(text):
+        if not PLAIN.fullmatch(text) or self.added.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
         known = self.words.get
         return np.frombuffer(b"".join([known(w) or self._word(w) for w in text.lower().split()]), "<u4")

@@ -55,10 +55,19 @@ def test_language_of_awkward_texts(docs, awkward):
         got = {r.doc_id: r for r in language_id.predict(df, model, reject=False).collect()}
         assert len(got) == len(awkward)
         for i, t in enumerate(awkward):
-            letters = t is not None and any(c.isalpha() for c in t)
+            letters = t is not None and any(c.isalpha() for c in t)  # isalpha is category L
             assert got[i].lang_pred == ("en" if letters and model.langs else "und") and 0 <= got[i].score <= 1
 
 
+def test_marks_that_are_no_letters(docs):
+    import unicodedata
+
+    texts = ["²", "½ ⅓", "①②", "Ⅷ", "12 _ %", "ª", "٣", "字", "ǅ", "\u0301", "x²"]
+    df = docs(texts)
+    got = {r.doc_id: r for r in language_id.predict(df, language_id.fit(docs(["some words here", "more words there"])), reject=False).collect()}
+    assert [got[i].lang_pred for i in range(len(texts))] == ["en" if any(unicodedata.category(c)[0] == "L" for c in t) else "und" for t in texts]
+
+
 def test_far_texts_are_rejected(spark, docs):
     model = language_id.fit(spark.read.parquet(f"{SF}/documents.parquet"))
     got = language_id.predict(docs(["qqqq zzzz xxxx kkkk wwww " * 20, "the and of ing er on with the that"]), model).orderBy("doc_id").collect()
