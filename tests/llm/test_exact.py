@@ -162,7 +162,9 @@ def test_segments():
 
 
 def test_token_files(docs, awkward):
-    texts = [*awkward, "Ünïcode naïve ﬁ Σίσυφος", "it's <|endoftext|> x²", "á e b"]
+    from tokenizers import Tokenizer
+
+    texts = [*awkward, "Ünïcode naïve ﬁ Σίσυφος", "it's <|endoftext|> x²", "á e b", "<|endoftext|> hi", "a<|startoftext|>b<|EndOfText|>c", "<|endoftext"]
     path = public_tokenizers.path("word_bpe_49k.json")
     got = token_codes.read_segments(token_codes.write_segments(docs(texts), path)).orderBy("doc_id").collect()
     whole, start = Tokenizer.from_file(path), 0
