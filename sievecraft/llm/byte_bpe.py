@@ -1,38 +1,50 @@
 """Byte-level BPE with Spark's higher-order functions.
 
-A text is cut by the tokenizer's pattern. Each piece, as an array of its bytes' ids,
-is folded by ranked merges: every step joins the leftmost neighbours whose joined
-bytes have the lowest rank, until no neighbours have one. The ranks are a literal
-map from pairs of ids to the id of the joined bytes (which is its rank), cut into
-small maps by key, as a map's look-up reads all its keys.
+A text is cut by the tokenizer's pattern. The ranked merges of a piece, as an array of
+bytes, are one fold: all its byte strings that are tokens, in order of rank and then of
+place, are merged one by one; a string is merged if both its ends are borders of tokens
+and exactly one more border lies inside. The borders are the fold's state: the bits of
+one number, or for pieces of over 61 bytes a string of flags. This gives what merging
+the lowest-ranked neighbours again and again gives, as long as the ranks are those of a
+merge list: each token comes out of its own bytes by merges of rising ranks. That is
+checked when the rank file is read; other files are refused.
+
+The ranks are a literal map from bytes to ids, cut into small maps by checksum, as a
+map's look-up reads all its keys.
 
 Distinct pieces are encoded once where that pays: the most frequent ones of a hashed
-sample of documents go into a second map of at most ``cache`` pieces, which bounds
-what is sent to executors. It saves time only: a piece that is not in it is folded
-where it stands, with the same result.
+sample of documents go into a second map of at most ``cache`` pieces, which bounds what
+is sent to executors. It saves time only: a piece that is not in it is folded where it
+stands, with the same result, since joining rare pieces back would shuffle all texts.
 
-Decoding looks each id's bytes up and concatenates them. Ids and bytes travel as hex
+Decoding looks each emitted id's bytes up and concatenates them. Bytes travel as hex
 text inside a row, as arrays of text join in one pass.
 
-Defined results: null and empty texts have no ids and decode to nothing; repeated
-rows each get a row. Extra columns are ignored.
+Defined results: null and empty texts have no ids and decode to nothing; of equal
+strings the leftmost is merged first; repeated rows each get a row; very long texts and
+pieces are encoded whole (a piece of n bytes copies n flags per merge). Extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import save, share, table
+from .common import discard, save, share, table
 from .separator_scan import rank_file
 
 #: Small maps that a literal map is cut into.
-RANK_SLOTS, PIECE_SLOTS = 100_003, 1 << 16
-#: Above every id.
-ID_SPACE = 1 << 16
+SLOTS = 1 << 16
+#: Bytes of a piece whose borders fit one number.
+SHORT = 61
+#: Bits of a candidate's length, and of its place.
+LENGTH_BITS, PLACE_BITS = 8, 32
 #: The pattern in Java's syntax, where \s is ASCII by default; possessive runs never need to give back.
 PATTERN = "(?U)" + public_tokenizers.PATTERN
 
@@ -42,48 +54,42 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def slot(key: Column, slots: int) -> Column:
-    return F.pmod(F.crc32(key.cast("binary")), F.lit(slots)).cast("int")
+def slot(key: Column) -> Column:
+    return F.pmod(F.crc32(key.cast("binary")), F.lit(SLOTS)).cast("int")
 
 
 def rank_literals(spark: SparkSession, path: str) -> DataFrame:
-    """A one-row table: ``pairs``, maps by slot from left * 65536 + right to the joined id; ``bytes``, the id of
-    each byte; ``tokens``, by id its little-endian and its bytes as hex; ``whole``, tokens that merges alone don't make.
+    """A one-row table: ``ids``, maps by slot from a token's bytes to its id; ``tokens``, by id its
+    little-endian and its bytes as hex; ``spans``, by a short piece's size the places and lengths of its strings.
 
     It goes to Spark as an Arrow table: written into the plan, its text would be kept with every query.
     """
     ranks = rank_file(path)
     by_id = sorted(ranks, key=ranks.get)
-    assert len(by_id) == ranks[by_id[-1]] + 1 <= ID_SPACE, "ranks must be dense"
-    joins = [(ranks[t[:i]] * ID_SPACE + ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-    key, value = (np.array(x, np.int64) for x in zip(*joins, strict=True))
-    order = np.argsort(key % RANK_SLOTS, kind="stable")
-    ends = np.searchsorted((key % RANK_SLOTS)[order], np.arange(RANK_SLOTS + 1))
-    pairs = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays([pa.array(key[order]), pa.array(value[order].astype(np.int32))], ["k", "v"]))
-    tokens = pa.StructArray.from_arrays([pa.array([i.to_bytes(4, "little").hex() for i in range(len(by_id))]), pa.array([t.hex() for t in by_id])], ["le", "bytes"])
-    odd = [(t.decode(), r) for t, r in ranks.items() if _is_text(t) and _merged(ranks, t) != [r]]
-    whole = pa.StructArray.from_arrays([pa.array([t for t, _ in odd], pa.string()), pa.array([r for _, r in odd], pa.int32())], ["piece", "id"])
+    longest = max(map(len, by_id))
+    if longest >= 1 << LENGTH_BITS or not all(rising(ranks, t) for t in by_id):
+        raise ValueError(f"the ranks of {path} are not those of a merge list")
+    of = np.array([zlib.crc32(t) % SLOTS for t in by_id])
+    order = np.argsort(of, kind="stable")
+    ends = np.searchsorted(of[order], np.arange(SLOTS + 1))
+    pairs = pa.StructArray.from_arrays([pa.array([by_id[i] for i in order], pa.binary()), pa.array([ranks[by_id[i]] for i in order], pa.int32())], ["k", "v"])
+    maps = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pairs)
+    tokens = pa.StructArray.from_arrays([pa.array([ranks[t].to_bytes(4, "little").hex() for t in by_id]), pa.array([t.hex() for t in by_id])], ["le", "bytes"])
+    spans = pa.array([[i << LENGTH_BITS | k for i in range(n) for k in range(2, min(longest, n - i) + 1)] for n in range(SHORT + 1)], pa.list_(pa.int32()))
     one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    row = pa.table({"pairs": one(pairs), "bytes": one(pa.array([ranks[bytes([i])] for i in range(256)], pa.int32())), "tokens": one(tokens), "whole": one(whole)})
-    return spark.createDataFrame(row).withColumn("pairs", F.transform("pairs", F.map_from_entries))
+    row = pa.table({"ids": one(maps), "tokens": one(tokens), "spans": one(spans), "longest": pa.array([longest], pa.int32())})
+    return spark.createDataFrame(row).withColumn("ids", F.transform("ids", F.map_from_entries))
 
 
-def _merged(ranks: dict[bytes, int], token: bytes) -> list[int]:
-    """Ids that merges alone make of the token's bytes."""
-    parts = [token[i : i + 1] for i in range(len(token))]
+def rising(ranks: dict[bytes, int], token: bytes) -> bool:
+    """Whether merges of rising ranks make the token of its bytes, and every byte is a token."""
+    parts, last = [token[i : i + 1] for i in range(len(token))], -1
     while len(parts) > 1:
         low, at = min((ranks.get(a + b, len(ranks)), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
-        if low == len(ranks):
-            break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return [ranks[p] for p in parts]
-
-
-def _is_text(token: bytes) -> bool:
-    try:
-        return bool(token.decode())
-    except UnicodeDecodeError:
-        return False
+        if low == len(ranks) or low < last:
+            return False
+        parts[at : at + 2], last = [parts[at] + parts[at + 1]], low
+    return parts[0] in ranks
 
 
 def with_literals(df: DataFrame, literals: DataFrame) -> DataFrame:
@@ -96,40 +102,66 @@ def with_literals(df: DataFrame, literals: DataFrame) -> DataFrame:
     return df.withColumn("lit", literals.select(F.struct("*")).scalar())
 
 
-def merges(pairs: Column, byte_ids: Column, piece: Column) -> Column:
+def encode_piece(lit: Column, piece: Column) -> Column:
     """The ids of a piece of text: array<int>."""
+    raw = piece.cast("binary")
+    size = F.octet_length(piece)
+    long = lambda x: F.lit(x).cast("long")
 
-    def pair(left: Column, right: Column) -> Column:
-        key = left.cast("long") * ID_SPACE + right
-        return F.get(pairs, F.pmod(key, F.lit(RANK_SLOTS)).cast("int"))[key]
+    def id_of(start: Column, length: Column) -> Column:
+        return let(F.substring(raw, start + 1, length), lambda t: F.get(lit["ids"], slot(t))[t])
 
-    def begin(p: Column) -> Column:  # r: the rank of each id joined with the next one; the last has none
-        return F.struct(p.alias("p"), F.transform(p, lambda x, i: pair(x, F.get(p, i + 1))).alias("r"))
+    # A candidate is one number, which sorts by rank, then place.
+    place = lambda c: F.shiftright(c, LENGTH_BITS).bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
+    length = lambda c: c.bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)).cast("int")
 
-    def step(a: Column, _: Column) -> Column:
-        p, r = a["p"], a["r"]
+    def candidate(start: Column, n: Column) -> Column:
+        rank = F.shiftleft(id_of(start, n).cast("long"), LENGTH_BITS + PLACE_BITS)
+        return rank.bitwiseOR(F.shiftleft(start.cast("long"), LENGTH_BITS)).bitwiseOR(n.cast("long"))
 
-        def join(at: Column) -> Column:  # at: the place of the lowest rank, from 1
-            low = F.get(r, at - 1)
-            before = F.when(at > 1, F.concat(F.slice(r, F.lit(1), at - 2), F.array(pair(F.get(p, at - 2), low)))).otherwise(F.slice(r, F.lit(1), F.lit(0)))
-            return F.struct(F.concat(F.slice(p, F.lit(1), at - 1), F.array(low), F.slice(p, at + 2, F.size(p))).alias("p"), F.concat(before, F.array(pair(low, F.get(p, at + 1))), F.slice(r, at + 2, F.size(r))).alias("r"))
+    def short() -> Column:
+        found = F.filter(F.transform(F.get(lit["spans"], size), lambda x: candidate(place(x), length(x))), lambda c: c.isNotNull())
 
-        return let(F.array_position(r, F.array_min(r)).cast("int"), lambda at: F.when(at > 0, join(at)).otherwise(a))
+        def step(m: Column, c: Column) -> Column:
+            here = F.call_function("shiftrightunsigned", m, place(c))
+            ends = F.call_function("shiftleft", long(1), length(c)).bitwiseOR(long(1))
+            inside = here.bitwiseAND(F.call_function("shiftleft", long(2), length(c)) - 1)
+            joins = (here.bitwiseAND(ends) == ends) & (F.bit_count(inside) == 3)
+            return F.when(joins, m.bitwiseXOR(F.call_function("shiftleft", inside.bitwiseXOR(ends), place(c)))).otherwise(m)
 
-    chars = F.split(F.decode(piece.cast("binary"), "ISO-8859-1"), "")
-    first = let(F.transform(chars, lambda c: F.get(byte_ids, F.ascii(c))), begin)
-    # A piece of n bytes has n - 1 merges at most.
-    return F.when(F.octet_length(piece) > 1, F.aggregate(F.sequence(F.lit(2), F.octet_length(piece)), first, step, lambda a: a["p"])).otherwise(first["p"])
+        all_borders = F.call_function("shiftleft", long(2), size) - 1
 
+        def ids(m: Column) -> Column:
+            rest = lambda k: F.call_function("shiftrightunsigned", m, k + 1)
+            to_next = lambda k: let(rest(k), lambda x: F.bit_count(x.bitwiseAND(-x) - 1) + 1)
+            starts = F.filter(F.sequence(F.lit(0), size - 1), lambda k: F.call_function("shiftrightunsigned", m, k).bitwiseAND(long(1)) == 1)
+            return F.transform(starts, lambda k: id_of(k, to_next(k)))
 
-def encode_piece(lit: Column, piece: Column) -> Column:
-    """(ids, back): the piece's ids as little-endian hex, and the bytes that they decode to, as hex."""
-    return let(F.transform(merges(lit["pairs"], lit["bytes"], piece), lambda i: F.get(lit["tokens"], i)), lambda t: F.struct(F.array_join(t["le"], "").alias("ids"), decode(t).alias("back")))
+        return let(F.aggregate(F.sort_array(found), all_borders, step), ids)
+
+    def whole() -> Column:
+        # The same fold over flags, one byte for each border.
+        lengths = lambda i: F.sequence(F.lit(2), F.least(lit["longest"], size - i))
+        at = lambda i: F.filter(F.transform(lengths(i), lambda n: candidate(i, n)), lambda c: c.isNotNull())
+        found = F.flatten(F.transform(F.sequence(F.lit(0), size - 2), at))
+
+        def step(m: Column, c: Column) -> Column:
+            part = F.substring(m, place(c) + 1, length(c) + 1).cast("string")
+            joins = part.startswith("1") & part.endswith("1") & (F.replace(part, F.lit("0"), F.lit("")) == "111")
+            return F.when(joins, F.overlay(m, F.repeat(F.lit("0"), length(c) - 1).cast("binary"), place(c) + 2, length(c) - 1)).otherwise(m)
+
+        def ids(m: Column) -> Column:
+            starts = F.filter(F.sequence(F.lit(0), size - 1), lambda k: F.substring(m, k + 1, F.lit(1)) == F.lit("1").cast("binary"))
+            return let(starts, lambda s: F.transform(s, lambda k, i: id_of(k, F.coalesce(F.get(s, i + 1), size) - k)))
+
+        return let(F.aggregate(F.sort_array(found), F.repeat(F.lit("1"), size + 1).cast("binary"), step), ids)
+
+    return F.when(size <= SHORT, short()).otherwise(whole())
 
 
-def decode(tokens: Column) -> Column:
-    """The concatenated bytes, as hex, of looked-up tokens."""
-    return F.array_join(tokens["bytes"], "")
+def decode(tokens: Column, ids: Column) -> Column:
+    """The concatenated bytes, as hex, of the ids."""
+    return F.array_join(F.transform(ids, lambda i: F.get(tokens, i)["bytes"]), "")
 
 
 def pieces(text: Column) -> Column:
@@ -140,30 +172,32 @@ def frequent(documents: DataFrame, literals: DataFrame, cache: int, sample: int)
     """A one-row table: encoded frequent pieces as an array of maps by slot."""
     total = max(1, documents.count())
     found = documents.where(share(F.col("doc_id"), min(1.0, sample / total))).select(F.explode(pieces(F.col("text"))).alias("piece"))
-    whole = literals.select(F.explode("whole").alias("w")).select("w.piece", "w.id")
-    top = save(found.groupBy("piece").count().orderBy(F.desc("count"), "piece").limit(cache).select("piece").join(whole, "piece", "left_anti"), "bpe-frequent")
+    top = save(found.groupBy("piece").count().orderBy(F.desc("count"), "piece").limit(cache).select("piece"), "bpe-frequent")
     # A few thousand pieces a task: the fold is the work, not the read.
     spread = with_literals(top.repartition(64, "piece"), literals)
-    coded = spread.select("piece", let(F.col("lit"), lambda x: encode_piece(x, F.col("piece"))).alias("v"))
-    alone = with_literals(whole, literals).select("piece", let(F.col("lit"), lambda x: let(F.get(x["tokens"], F.col("id")), lambda t: F.struct(t["le"].alias("ids"), t["bytes"].alias("back")))).alias("v"))
-    per = coded.unionByName(alone).groupBy(slot(F.col("piece"), PIECE_SLOTS).alias("slot")).agg(F.collect_list(F.struct("piece", "v")).alias("e"))
-    all_slots = documents.sparkSession.range(PIECE_SLOTS).select(F.col("id").cast("int").alias("slot"))
-    none = F.array().cast("array<struct<piece:string,v:struct<ids:string,back:string>>>")
+    coded = spread.select("piece", let(F.col("lit"), lambda x: encode_piece(x, F.col("piece"))).alias("ids"))
+    per = coded.groupBy(slot(F.col("piece")).alias("slot")).agg(F.collect_list(F.struct("piece", "ids")).alias("e"))
+    all_slots = documents.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"))
+    none = F.array().cast("array<struct<piece:string,ids:array<int>>>")
     filled = save(all_slots.join(per, "slot", "left").select("slot", F.coalesce("e", none).alias("e")), "bpe-slots")
-    return filled.agg(F.array_sort(F.collect_list(F.struct("slot", "e"))).alias("s")).select(F.transform("s", lambda x: F.map_from_entries(x["e"])).alias("known"))
+    one = filled.agg(F.array_sort(F.collect_list(F.struct("slot", "e"))).alias("s")).select(F.transform("s", lambda x: F.map_from_entries(x["e"])).alias("known"))
+    one = save(one, "bpe-known")
+    discard(top, filled)
+    return one
 
 
-def encode(documents: DataFrame, path: str, cache: int = 400_000, sample: int = 40_000, keep: tuple[str, ...] = ()) -> DataFrame:
+def encode(documents: DataFrame, path: str, cache: int = 200_000, sample: int = 40_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, *keep, ids, decoded): binary columns of every row's little-endian ids and what they decode to."""
     literals = save(rank_literals(documents.sparkSession, path), "bpe-ranks")
-    known = save(frequent(documents, literals, cache, sample), "bpe-known")
-    both = known.withColumns({c: literals.select(c).scalar() for c in ("pairs", "bytes", "tokens")})
+    known = frequent(documents, literals, cache, sample)
+    both = known.withColumns({c: literals.select(c).scalar() for c in literals.columns})
 
     def coded(x: Column) -> Column:
-        one = lambda p: F.coalesce(F.get(x["known"], slot(p, PIECE_SLOTS))[p], encode_piece(x, p))
-        return let(F.transform(pieces(F.col("text")), one), lambda c: F.struct(F.array_join(c["ids"], "").alias("ids"), F.array_join(c["back"], "").alias("back")))
+        one = lambda p: F.coalesce(F.get(x["known"], slot(p))[p], encode_piece(x, p))
+        ids = F.flatten(F.transform(pieces(F.col("text")), one))
+        return let(ids, lambda i: F.struct(F.array_join(F.transform(i, lambda k: F.get(x["tokens"], k)["le"]), "").alias("ids"), decode(x["tokens"], i).alias("back")))
 
-    rows = with_literals(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), both)
+    rows = with_literals(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in keep if c not in ("doc_id", "text")]), both)
     return rows.select("doc_id", *keep, let(F.col("lit"), coded).alias("x")).select("doc_id", *keep, F.unhex("x.ids").alias("ids"), F.unhex("x.back").alias("decoded"))
 
 

@@ -195,17 +195,32 @@ def test_separator_scan(spark, docs, awkward):
 
 def test_byte_bpe(docs, awkward):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    texts = [*awkward[:4], awkward[4][:5000], *awkward[5:], "it's 12345 naïve  \n\n x y 日本語 🙂!!", "Æsop'll   go"]
+    rng = np.random.default_rng(4)
+    texts = [*awkward, "it's 12345 naïve  \n\n x y 日本語 🙂!!", "Æsop'll   go", "a" * 63, "é" * 40, "=" * 300 + " " * 90 + "x"]
+    # One piece of 100,000 letters, and pieces around the size at which the fold changes.
+    texts += ["".join(map(chr, rng.integers(97, 123, 100_000)))] + ["".join(map(chr, rng.integers(97, 110, n))) for n in range(58, 66)]
+    texts += ["".join(rng.choice(["an", "in", "the", "q", "é", "ß", "ing", "1", "日"], 30)) for _ in range(200)]
     import tiktoken
 
     enc = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=separator_scan.rank_file(path), special_tokens={})
     # A small cache, so that most pieces are folded where they stand.
-    for r in byte_bpe.encode(docs(texts), path, cache=20, keep=("text",)).collect():
+    got = byte_bpe.encode(docs(texts), path, cache=20, keep=("text",)).collect()
+    assert len(got) == len(texts)
+    for r in got:
         t = r.text or ""
         assert np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(t) and bytes(r.decoded) == t.encode()
     assert byte_bpe.encode(docs([]), path).collect() == []
 
 
+def test_ranks_that_are_no_merge_list(spark, tmp_path):
+    import base64
+
+    ranks = [bytes([i]) for i in range(256)] + [b"abc", b"ab"]
+    (tmp_path / "r").write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(ranks)))
+    with pytest.raises(ValueError):
+        byte_bpe.rank_literals(spark, str(tmp_path / "r"))
+
+
 def test_rule_statistics(docs, awkward, real):
     texts = awkward + list(real.values())[:60] + ["a b c a b c a b", "x x x x x", "l1 a\nl2\nl1 a\n \n \nl1 a"]
     got = quality_rules.document_statistics(docs(texts)).orderBy("doc_id").collect()
