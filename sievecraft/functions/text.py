@@ -217,6 +217,26 @@ def permalink(site: str, group: Column, post: Column) -> Column:
     return F.concat(F.lit(f"{site}/groups/"), group, F.lit("/permalink/"), post, F.lit("/"))
 
 
+def canonical_permalink(site: str, url: Column, group: Column) -> Column:
+    """The clean address of a group's post, or empty.
+
+    Queries and fragments go. Addresses of log-in, check, recovery or media pages, of
+    another group than a given one, and of anything but a post are empty. A story number
+    in the query counts if the page is no photo; its group is the given one, else the
+    query's ``id``.
+    """
+    raw, own = strip(url), strip(group)
+    no_hash = F.substring_index(raw, "#", 1)
+    path = F.substring_index(no_hash, "?", 1)
+    bad = F.lower(raw).rlike("/login|/checkpoint|/recover|/media/")
+    first = lambda text, pattern, i: F.regexp_extract(text, pattern, i)
+    link, post = r"/groups/([0-9]+)/permalink/([0-9]+)", r"/groups/([0-9]+)/posts/(pfbid[0-9A-Za-z]+|[0-9]+)"
+    made = lambda pattern, kind: F.when((own != "") & (first(path, pattern, 1) != own), "").otherwise(F.concat(F.lit(f"{site}/groups/"), first(path, pattern, 1), F.lit(f"/{kind}/"), first(path, pattern, 2), F.lit("/")))
+    story, owner = first(no_hash, r"(?i)[?&]story_fbid=([0-9]+)", 1), F.when(own != "", own).otherwise(first(no_hash, r"[?&]id=([0-9]+)", 1))
+    told = (story != "") & (owner != "") & ~F.lower(path).contains("/photo")
+    return F.when((raw == "") | bad, "").when(path.rlike(link), made(link, "permalink")).when(path.rlike(post), made(post, "posts")).when(told, permalink(site, owner, story)).otherwise("")
+
+
 def choose_link(site: str, group: Column, post: Column, existing: Column) -> Column:
     """The known link if it is on the site and about the post, else the one built from the ids, else the known one."""
     have, g, p = strip(existing), strip(group), strip(post)

@@ -143,14 +143,61 @@ def judge_flags(gate_ok: Column, dropped: Column, retried: Column, source: Colum
     return F.array_sort(F.array_compact(F.array(*[F.when(when, name) for name, when in tests])))
 
 
-def header_lines(text: Column, labels: tuple[str, ...], keep: str = HAN) -> Column:
-    """Struct (header, leaked, review): a page header without label lines; lines of content script leaked into it; whether one of neither kind is left."""
-    all_lines = lines(text)
-    known = F.array(*map(F.lit, labels)) if labels else F.array().cast("array<string>")
-    rest = F.filter(all_lines, lambda x: ~F.array_contains(known, F.lower(strip(x))))
-    leaked = F.filter(rest, lambda x: compact(x, keep) != "")
-    other = F.filter(rest, lambda x: compact(x, keep) == "")
-    return F.struct(F.array_join(other, "\n").alias("header"), F.array_join(leaked, "\n").alias("leaked"), (F.size(other) > 1).alias("review"))
+# Titles of a table of contents, a title that is read in several spellings, and labels of its layout.
+TITLES = ("TRIỀU GIA LONG", "TRIỀU MINH MỆNH")
+LOOSE_TITLE = ("MỤC L", "CHÂU BẢN TRIỀU NGUYỄN", "MỤC LỤC CHÂU BẢN TRIỀU NGUYỄN")
+LAYOUT_LABEL = r"(?iU)^\s*(tr[íi]ch\s+y[ếe]u|m[ụu]c\s+l[ụuựạ]c\s+ch[âa]u\s+b[ảa]n\s+tri[ềe]u\s+nguy[ễe]n)\s*$"
+HEADER_HAN, HEADER_LATIN, WIDE_GAP = r"[\x{3400}-\x{9FFF}]", "[A-Za-zÀ-ỹ]", r"\t+| {3,}"
+
+
+def title(line: Column) -> Column:
+    """The known title that a line is, or null."""
+    upper = F.upper(strip(F.regexp_replace(F.coalesce(line, F.lit("")), r"(?U)\s+", " ")))
+    begin, part, whole = LOOSE_TITLE
+    return F.when(upper.isin(*TITLES), upper).when(upper.startswith(begin) & upper.contains(part), whole)
+
+
+def inspect_header(header: Column) -> Column:
+    """Struct (page_header, raw_header, han, latin, action, suspicious) of a contents page's header.
+
+    Below a known title, layout labels go and other lines are body text that leaked into
+    the header: a line, or each part of a line between wide gaps, goes to the script that
+    alone it holds. If any is of both or of neither, and under an unknown title, all
+    stays as it is, for review.
+    """
+    none = F.lit(None).cast("string")
+
+    def kind(part: Column) -> Column:
+        h, l = part.rlike(HEADER_HAN), part.rlike(HEADER_LATIN)  # noqa: E741
+        return F.struct(F.when(h & ~l, "han").when(l & ~h, "latin").otherwise("mixed").alias("kind"), part.alias("t"))
+
+    def parts(line: Column) -> Column:
+        return F.transform(F.filter(F.transform(F.split(line, WIDE_GAP), strip), lambda x: x != ""), kind)
+
+    def result(head, raw, han, latin, action: str | Column, suspicious: bool) -> Column:
+        text = lambda x: F.lit(x) if isinstance(x, str) else x
+        return F.struct(head.alias("page_header"), raw.alias("raw_header"), text(han).alias("han"), text(latin).alias("latin"), text(action).alias("action"), F.lit(suspicious).alias("suspicious"))
+
+    def judged(x: Column) -> Column:
+        rest = F.filter(F.slice(x["lines"], F.lit(2), F.size(x["lines"])), lambda t: ~t.rlike(LAYOUT_LABEL))
+
+        def leaked(p: Column) -> Column:
+            of = lambda k: F.array_join(F.transform(F.filter(p, lambda q: q["kind"] == k), lambda q: q["t"]), "\n")
+            unclear = F.exists(p, lambda q: q["kind"] == "mixed") | (F.size(p) == 0)
+            return F.when(unclear, result(x["raw"], x["raw"], "", "", "review", True)).otherwise(result(x["title"], x["raw"], of("han"), of("latin"), "recovered_to_orphan", True))
+
+        same = F.when(x["title"] != x["raw"], "normalized").otherwise("none")
+        return (
+            F.when(x["raw"] == "", result(none, none, "", "", "none", False))
+            .when(x["title"].isNull(), result(x["raw"], x["raw"], "", "", "review", True))
+            .when(F.size(x["lines"]) == 1, result(x["title"], x["raw"], "", "", same, False))
+            .when(F.size(rest) == 0, result(x["title"], x["raw"], "", "", "label_dropped", False))
+            .otherwise(let(F.flatten(F.transform(rest, parts)), leaked))
+        )
+
+    clean = strip(header)
+    by_line = F.filter(F.transform(F.split(clean, r"\r\n|[\n\r]"), strip), lambda t: t != "")
+    return let(F.struct(clean.alias("raw"), by_line.alias("lines"), title(F.get(by_line, F.lit(0))).alias("title")), judged)
 
 
 def best_caption(candidates: DataFrame, key: str, name: str, text: str, priority: tuple[str, ...]) -> DataFrame:

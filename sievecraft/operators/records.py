@@ -49,7 +49,7 @@ NOISE_PATTERNS = (
     r"chỉ thành viên (nhóm )?mới (xem|thấy)",
     r"^nhóm\s+(công khai|riêng tư|kín|bí mật)\b",
     r"^(public|private|closed|secret)\s+group\b",
-    r"(lượt thích|people talking|đang nói về|người đang nói|\blikes?\b|followers?|người theo dõi|lượt theo dõi|người đầu tiên bình luận|first to comment)",
+    r"(lượt thích|people talking|đang nói về|người đang nói|\blikes?\b|followers?|người theo dõi|lượt theo dõi|người đầu tiên bình luận|first to comment|這是書法社團|其他都不准貼文|用政治相關寫書法)",
 )
 CONTENT = r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{3040}-\x{30FF}\x{AC00}-\x{D7AF}]"
 DIACRITICS = "[àáạảãâầấậẩẫăằắặẳẵèéẹẻẽêềếệểễìíịỉĩòóọỏõôồốộổỗơờớợởỡùúụủũưừứựửữỳýỵỷỹđ]"
@@ -104,6 +104,33 @@ def deliverable(rows: DataFrame, allow_empty_label: bool = False) -> DataFrame:
     return rows.select("post_id", F.coalesce("caption", F.lit("")).alias("label"), F.col("image_urls").alias("images"), ok.alias("is_valid"), reason.alias("invalid_reason"))
 
 
+def pass_through(rows: DataFrame, batch_seq: int, run_id: str, schema_version: str = "") -> DataFrame:
+    """Rows that are complete already, as the next step's records: valid, with their distinct images and no reason.
+
+    rows: post_id, permalink, caption, image_urls, valid, and, if there, cdn_urls, author, author_hint, posted_at.
+    Only valid rows with a caption and an image that is no video pass.
+    """
+    text = lambda *names: F.coalesce(*[non_empty(F.col(c).cast("string")) for c in names if c in rows.columns], F.lit(""))
+    urls = F.coalesce(*[F.when(F.size(c) > 0, F.col(c)) for c in ("image_urls", "cdn_urls") if c in rows.columns], F.array().cast("array<string>"))
+    posted = F.col("posted_at") if "posted_at" in rows.columns else F.lit(None).cast("string")
+    ready = rows.where(F.coalesce(F.col("valid"), F.lit(False)) & ~blank(F.col("caption"))).withColumn("image_urls", distinct_images(urls)).where(F.size("image_urls") > 0)
+    return ready.select(
+        F.lit(schema_version).alias("schema_version"), F.coalesce(F.col("post_id").cast("string"), F.lit("")).alias("post_id"), text("permalink").alias("permalink"), F.lit(batch_seq).alias("batch_seq"), F.lit(True).alias("valid"),
+        F.lit(None).cast("string").alias("invalid_reason"), text("author", "author_hint").alias("author"), strip(F.col("caption")).alias("caption"), "image_urls", F.col("image_urls").alias("cdn_urls"), posted.alias("posted_at"), F.lit("job1_passthrough").alias("enrich_source"), F.lit(run_id).alias("run_id"),
+    )
+
+
+def text_empty(ground_truth: Column, box_texts: Column) -> Column:
+    """Neither the text nor any box's text holds anything but blanks."""
+    return blank(ground_truth) & ~F.exists(F.coalesce(box_texts, F.array().cast("array<string>")), lambda t: ~blank(t))
+
+
+def in_window(batch_seq: Column, lowest: int, highest: int, unknown: bool) -> Column:
+    """Rows of the batches from lowest to highest; rows of no known batch (null or below 1) only if ``unknown``."""
+    known = F.coalesce(batch_seq, F.lit(0)) >= 1
+    return F.when(known, batch_seq.between(lowest, highest)).otherwise(F.lit(unknown))
+
+
 def usable_image(url: Column, hosts: str = r"cdn|img|static|images", minimum: int = 100) -> Column:
     """An image address of a known kind of host, no video, and not of icon size."""
     side = F.coalesce(F.regexp_extract(url, r"[ps](\d{2,4})x(\d{2,4})", 1).try_cast("int"), F.lit(minimum))
@@ -177,6 +204,19 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: str) -> Da
     return existing.join(last.select(key), key, "left_anti").select(*existing.columns).unionByName(last.select(*existing.columns))
 
 
+def upsert_two_sided(valid: DataFrame, invalid: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
+    """The rows of both sides after an upsert, in numeric order of their key: ``is_valid`` says on which side a row is.
+
+    An incoming row takes its key's place on either side; of one key's incoming rows the
+    last wins. Keys that are no number come first, as 0.
+    """
+    known = valid.withColumn("is_valid", F.lit(True)).unionByName(invalid.withColumn("is_valid", F.lit(False)))
+    arrived = incoming.withColumn("is_valid", F.coalesce("is_valid", F.lit(False)))
+    text = F.col(key).cast("string")
+    number = F.coalesce(F.when(text.rlike("^[0-9]+$"), text.try_cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    return upsert(known.withColumn(order, F.lit(None).cast(incoming.schema[order].dataType)) if order not in known.columns else known, arrived, key, order).orderBy(number, key)
+
+
 def newest(key: str, at: str, *sources: DataFrame) -> DataFrame:
     """The row of latest time of each key; of equal times the later source's."""
     ranked = [s.withColumn("_rank", F.lit(i)) for i, s in enumerate(sources)]
@@ -187,23 +227,40 @@ def newest(key: str, at: str, *sources: DataFrame) -> DataFrame:
     return both.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(at, "_rank")).alias("r")).select("r.*")
 
 
-def merge_fields(rows: DataFrame, key: str, order: str, plain: Sequence[str], lists: Sequence[str], status: str | None = None) -> DataFrame:
+def merge_fields(rows: DataFrame, key: str, order: str, plain: Sequence[str], lists: Sequence[str], status: str | None = None, images: Sequence[str] = (), without: dict[str, str] | None = None) -> DataFrame:
     """One record per key, field by field.
 
-    plain: the last non-blank value; lists: the union in order; status never falls in
-    rank; is_valid is kept once true; first_seen_at is the earliest; attempts the most;
-    exhausted if it ever was. Fields that the rows lack are left out.
+    plain: the last non-blank value; lists: the union in order; images: the same, one
+    address of each base and no videos; ``without``: per list a plain field whose value
+    leaves it (a story's own id its tiles). status never falls in rank; is_valid is kept
+    once true; invalid_reason is the last one from before the record was valid (the
+    first row's counts); first_seen_at is the earliest; attempts the most; exhausted if
+    it ever was. Fields that the rows lack are left out. Rows of one order are taken by
+    their values.
     """
-    aggs = [F.max_by(F.col(c), F.when(~blank(F.col(c).cast("string")), F.col(order))).alias(c) for c in plain]
+    rows = rows.where(F.col(key).isNotNull())
+    filled = lambda c, when=F.lit(True): F.max_by(F.col(c), F.when(~blank(F.col(c).cast("string")) & when, F.struct(F.col(order), F.col(c)))).alias(c)
+    aggs = [filled(c) for c in plain if c != "invalid_reason"]
     ordered = lambda c: F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(c).alias("v"))))
-    aggs += [F.array_distinct(F.flatten(F.transform(ordered(c), lambda x: F.coalesce(x["v"], F.array().cast("array<string>"))))).alias(c) for c in lists]
+    union = lambda c: F.flatten(F.transform(ordered(c), lambda x: F.coalesce(x["v"], F.array().cast("array<string>"))))
+    aggs += [F.array_distinct(union(c)).alias(c) for c in lists] + [distinct_images(union(c)).alias(c) for c in images]
     if status:
         rank = F.array_position(F.array(*map(F.lit, STATUS_RANK)), F.col(status))
         aggs.append(F.max_by(F.col(status), F.struct(rank, F.col(order))).alias(status))
     for name, f in (("is_valid", F.bool_or), ("recheck_exhausted", F.bool_or), ("recheck_attempts", F.max), ("first_seen_at", F.min)):
         if name in rows.columns:
             aggs.append(f(name).alias(name))
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    if "invalid_reason" in rows.columns:
+        if "is_valid" in rows.columns:
+            turn = rows.groupBy(key).agg(F.min(order).alias("_first"), F.min(F.when(F.col("is_valid"), F.col(order))).alias("_valid"))
+            rows = rows.join(turn, key)
+            before = F.col("_valid").isNull() | (F.col(order) < F.col("_valid")) | (F.col(order) == F.col("_first"))
+        else:
+            before = F.lit(True)
+        aggs.append(filled("invalid_reason", before))
+    out = rows.groupBy(key).agg(*aggs)
+    left = lambda c, f: F.filter(c, lambda x: ~F.coalesce(x == F.col(f), F.lit(False)))
+    return out.withColumns({c: left(c, f) for c, f in (without or {}).items()})
 
 
 def rekey(rows: DataFrame, story: str, tile: str) -> DataFrame:
@@ -224,26 +281,34 @@ def distinct_capped(values: Column, limit: int = 500) -> Column:
     return F.slice(F.array_distinct(F.filter(F.transform(values, strip), lambda x: x != "")), 1, limit)
 
 
-def backfill(rows: DataFrame, known: DataFrame, key: str, value: str) -> DataFrame:
-    """Blank values filled from known (one row per key); label_backfill marks them."""
-    k = known.groupBy(key).agg(F.max(value).alias("_known"))
+def backfill(rows: DataFrame, known: DataFrame, key: str, value: str, order: str | None = None) -> DataFrame:
+    """Blank values filled from known; label_backfill marks them. Of a key's known rows the last by ``order`` counts, of equal ones the greatest value."""
+    last = F.struct(*([order] if order else []), value)
+    k = known.groupBy(key).agg(F.max_by(value, last).alias("_known"))
     fill = blank(F.col(value)) & ~blank(F.col("_known"))
     return rows.join(k, key, "left").withColumn("label_backfill", fill).withColumn(value, F.when(fill, F.col("_known")).otherwise(F.col(value))).drop("_known")
 
 
-def merge_sources(universe: DataFrame, fused: DataFrame, legacy: DataFrame, key: str, bag: Column, prefer: str = "fuse_first", warn_below: float = 0.70) -> DataFrame:
-    """One row per key of the universe from two label sources.
+def merge_sources(universe: DataFrame, fused: DataFrame, legacy: DataFrame, key: str, bag: Column, prefer: str = "fuse_first", warn_below: float = 0.70, order: str | None = None, side: Sequence[str] = ()) -> DataFrame:
+    """One row per key of the universe from two label sources, with the ``side`` columns of the row that was chosen.
 
-    ``bag`` scores the columns fuse_gt and legacy_gt; a pair below warn_below is flagged.
+    Of a key's rows in a source the last by ``order`` counts, of equal ones the greatest
+    text. ``bag`` scores the columns fuse_gt and legacy_gt; a pair below warn_below is flagged.
     """
     if prefer not in ("fuse_first", "legacy_first"):
         raise ValueError(f"unsupported prefer {prefer!r}")
-    one = lambda df, name: df.groupBy(key).agg(strip(F.max("ground_truth")).alias(name))
-    rows = universe.join(one(fused, "fuse_gt"), key, "left").join(one(legacy, "legacy_gt"), key, "left").fillna("", ["fuse_gt", "legacy_gt"])
+
+    def one(df: DataFrame, name: str) -> DataFrame:
+        last = df.groupBy(key).agg(F.max_by(F.struct("ground_truth", *side), F.struct(*([order] if order else []), "ground_truth")).alias("_r"))
+        return last.select(key, strip(F.col("_r.ground_truth")).alias(f"{name}_gt"), F.col("_r").alias(f"_{name}"))
+
+    rows = universe.join(one(fused, "fuse"), key, "left").join(one(legacy, "legacy"), key, "left").fillna("", ["fuse_gt", "legacy_gt"])
     has_fuse, has_legacy = F.col("fuse_gt") != "", F.col("legacy_gt") != ""
     first, second = ((has_fuse, "fuse"), (has_legacy, "legacy_ocr")) if prefer == "fuse_first" else ((has_legacy, "legacy_ocr"), (has_fuse, "fuse"))
     rows = rows.withColumn("gt_source", F.when(first[0], first[1]).when(second[0], second[1]).otherwise("pending"))
-    rows = rows.withColumn("ground_truth", F.when(F.col("gt_source") == "fuse", F.col("fuse_gt")).when(F.col("gt_source") == "legacy_ocr", F.col("legacy_gt")).otherwise(""))
+    of = lambda fuse, legacy: F.when(F.col("gt_source") == "fuse", fuse).when(F.col("gt_source") == "legacy_ocr", legacy)
+    rows = rows.withColumn("ground_truth", F.coalesce(of(F.col("fuse_gt"), F.col("legacy_gt")), F.lit("")))
+    rows = rows.withColumns({c: of(F.col(f"_fuse.{c}"), F.col(f"_legacy.{c}")) for c in side}).drop("_fuse", "_legacy")
     both = has_fuse & has_legacy
     return rows.withColumn("both_present", both).withColumn("bag_fuse_vs_legacy", F.when(both, bag)).withColumn("diverge_flag", F.coalesce(F.col("bag_fuse_vs_legacy") < warn_below, F.lit(False)))
 

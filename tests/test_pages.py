@@ -1,5 +1,6 @@
 """Recommendations, relocking, reviews."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from sievecraft.operators import pages
@@ -37,7 +38,20 @@ def test_small_ones(spark, one):
     assert (got.caption, got.image_urls, got.valid, got.counts) == ("春風又綠", ["u1", "u2"], True, True)
     c = spark.createDataFrame([(1, "title", "a longer latin text"), (1, "text", "春"), (2, "x", " ")], "k int, name string, t string")
     assert [tuple(r) for r in pages.best_caption(c, "k", "name", "t", ("title", "text")).collect()] == [(1, "春")]
-    head = one(pages.header_lines(F.lit("Header\n春風\nVol 1"), ("header",)))
-    assert head == {"header": "Vol 1", "leaked": "春風", "review": False}
     flags = one(pages.judge_flags(*[F.lit(v) for v in (True, False, False, "model", "A", True, "x", False, False)]))
     assert flags == ["glm_agree_fuse", "glm_gate_ok", "glm_pick_a"]
+
+
+@pytest.mark.parametrize("text, want", [
+    ("", (None, None, "", "", "none", False)),
+    ("Triều  Gia Long", ("TRIỀU GIA LONG", "Triều  Gia Long", "", "", "normalized", False)),
+    ("TRIỀU MINH MỆNH", ("TRIỀU MINH MỆNH", "TRIỀU MINH MỆNH", "", "", "none", False)),
+    ("Mục lạc châu bản triều Nguyễn\nTrích yếu", ("MỤC LỤC CHÂU BẢN TRIỀU NGUYỄN", "Mục lạc châu bản triều Nguyễn\nTrích yếu", "", "", "label_dropped", False)),
+    ("Trang lạ\n春風", ("Trang lạ\n春風", "Trang lạ\n春風", "", "", "review", True)),
+    ("TRIỀU GIA LONG\n春風   gió xuân\n明月", ("TRIỀU GIA LONG", "TRIỀU GIA LONG\n春風   gió xuân\n明月", "春風\n明月", "gió xuân", "recovered_to_orphan", True)),
+    ("TRIỀU GIA LONG\n春風 gió", ("TRIỀU GIA LONG\n春風 gió", "TRIỀU GIA LONG\n春風 gió", "", "", "review", True)),
+    ("TRIỀU GIA LONG\n1802", ("TRIỀU GIA LONG\n1802", "TRIỀU GIA LONG\n1802", "", "", "review", True)),
+])
+def test_headers(one, text, want):
+    got = one(pages.inspect_header(F.lit(text)))
+    assert tuple(got[k] for k in ("page_header", "raw_header", "han", "latin", "action", "suspicious")) == want

@@ -31,6 +31,44 @@ def test_merge_keeps_valid_and_filled(spark):
     assert (got.t, got.l, got.s, got.is_valid) == ("x", ["u", "v"], "valid", True)
 
 
+def test_merge_of_reasons_images_and_tiles(spark):
+    schema = "k string, o int, is_valid boolean, invalid_reason string, images array<string>, story string, tiles array<string>"
+    rows = spark.createDataFrame([("p", 1, False, "missing_image", ["u?a=1"], None, ["t1", "s"]), ("p", 2, True, None, ["u?b=2", "v"], "s", ["t2"]), ("p", 3, False, "ui_noise_caption", ["w.mp4"], "", None), ("q", 1, True, "odd", [], None, []), ("q", 2, False, "late", None, None, None), ("r", 1, False, "one", [], None, []), ("r", 2, False, "two", [], None, [])], schema)
+    got = {r.k: r for r in records.merge_fields(rows, "k", "o", ["story"], ["tiles"], images=["images"], without={"tiles": "story"}).collect()}
+    assert (got["p"].is_valid, got["p"].invalid_reason, got["p"].images, got["p"].tiles) == (True, "missing_image", ["u?a=1", "v"], ["t1", "t2"])
+    assert got["q"].invalid_reason == "odd" and got["r"].invalid_reason == "two"
+
+
+def test_two_sided_upsert(spark):
+    v = spark.createDataFrame([("10", "a"), ("9", "b"), ("x", "c")], "post_id string, t string")
+    i = spark.createDataFrame([("7", "d")], "post_id string, t string")
+    new = spark.createDataFrame([("10", "e", False, 1), ("7", "f", False, 1), ("7", "g", True, 2), ("100", "h", None, 3)], "post_id string, t string, is_valid boolean, o int")
+    got = [(r.post_id, r.t, r.is_valid) for r in records.upsert_two_sided(v, i, new, "post_id", "o").collect()]
+    assert got == [("x", "c", True), ("7", "g", True), ("9", "b", True), ("10", "e", False), ("100", "h", False)]
+
+
+def test_last_row_of_a_source_counts(spark):
+    u = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    fused = spark.createDataFrame([(1, "zz", "old", 1), (1, "aa", "new", 2), (3, " ", "x", 1)], "k int, ground_truth string, note string, o int")
+    legacy = spark.createDataFrame([(1, "aa", "l1", 1), (3, "cc", "l3", 1)], fused.schema)
+    got = {r.k: (r.gt_source, r.ground_truth, r.note) for r in records.merge_sources(u, fused, legacy, "k", F.lit(1.0), order="o", side=("note",)).collect()}
+    assert got == {1: ("fuse", "aa", "new"), 2: ("pending", "", None), 3: ("legacy_ocr", "cc", "l3")}
+    known = spark.createDataFrame([(1, "zz", 1), (1, "aa", 2)], "k int, label string, o int")
+    assert [r.label for r in records.backfill(u.withColumn("label", F.lit("")), known, "k", "label", "o").orderBy("k").collect()] == ["aa", "", ""]
+
+
+def test_complete_rows_and_blank_texts(spark, one):
+    schema = "post_id string, permalink string, caption string, image_urls array<string>, cdn_urls array<string>, valid boolean, author_hint string"
+    rows = spark.createDataFrame([("1", "l", " c ", ["u?a", "u?b", "v.mp4"], None, True, "h"), ("2", None, "c", [], ["w"], True, None), ("3", "l", "", ["u"], None, True, None), ("4", "l", "c", ["v.mp4"], None, True, None), ("5", "l", "c", ["u"], None, False, None)], schema)
+    got = {r.post_id: (r.caption, r.image_urls, r.author, r.permalink, r.batch_seq, r.valid) for r in records.pass_through(rows, 7, "run").collect()}
+    assert got == {"1": ("c", ["u?a"], "h", "l", 7, True), "2": ("c", ["w"], "", "", 7, True)}
+    empty = lambda gt, *boxes: one(records.text_empty(F.lit(gt), F.array(*map(F.lit, boxes))))
+    assert empty(" \n") and empty("", "", " ") and not empty("x") and not empty("", "y")
+    assert one(records.is_noise(F.lit("其他都不准貼文 今天寫了很多很好看的字請大家來看看這一張作品吧再多寫一些字讓這個標題超過六十四個字元的長度限制好了還有更多更多的字在後面")))
+    inside = lambda seq, unknown: one(records.in_window(F.lit(seq).cast("int"), 2, 4, unknown))
+    assert [inside(x, False) for x in (None, 0, 1, 2, 4, 5)] == [False, False, False, True, True, False] and inside(None, True) and inside(0, True)
+
+
 def test_images_and_windows(one):
     assert one(records.distinct_images(F.array(*map(F.lit, ("u?a=1", "u?b=2", "v", "w.mp4"))))) == ["u?a=1", "v"]
     assert records.retry_window(5) == (1, 5, True) and records.retry_window(5, backfilled=True) == (5, 5, False)

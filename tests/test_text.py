@@ -85,3 +85,18 @@ def test_prepend_and_captions(one):
     assert one(t.strip_caption_noise(C), a="見 https://x.y #標籤 @me 春風abc") == "見 春風"
     use = t.caption_use(C, F.array(*map(F.lit, "春風又綠")))
     assert one(use, a="春風又綠江南岸")["align"] == "quote" and one(use, a="abc")["align"] == "empty" and one(use, a="山水花鳥")["align"] == "unrelated"
+
+
+@pytest.mark.parametrize("url, group, want", [
+    ("https://x.org/groups/12/permalink/34/?comment_id=5#c", "", "https://s.org/groups/12/permalink/34/"),
+    ("https://x.org/groups/12/permalink/34/", "99", ""),
+    ("https://x.org/groups/12/posts/pfbid0Ab/?x", "12", "https://s.org/groups/12/posts/pfbid0Ab/"),
+    ("https://x.org/story.php?story_fbid=7&id=8", "", "https://s.org/groups/8/permalink/7/"),
+    ("https://x.org/story.php?story_fbid=7&id=8", "5", "https://s.org/groups/5/permalink/7/"),
+    ("https://x.org/photo.php?story_fbid=7&id=8", "", ""),
+    ("https://x.org/login/?next=/groups/12/permalink/34/", "", ""),
+    ("https://x.org/story.php?story_fbid=7", "", ""),
+    ("  ", "", ""), (None, "", ""),
+])
+def test_canonical_permalink(one, url, group, want):
+    assert one(t.canonical_permalink("https://s.org", F.lit(url).cast("string"), F.lit(group))) == want
