@@ -3,14 +3,18 @@
 A document's terms are its distinct lower-case words and the words' first four,
 five and six letters, each hashed to one of ``2**HASH_BITS`` buckets. The machine
 scores ``w0 + sum w_i + sum <v_i, v_j>`` over the terms that it keeps, so a pair
-of terms (an insult near a group's name) has a weight of its own.
+of terms (an insult near a group's name) has a weight of its own. A term is kept if it
+stands in three labelled documents or more and the chi-square of its 2 x 2 table with
+the label is TERM_GAIN or more; so is each of two frequent terms that say nothing alone
+and whose meeting has a chi-square of PAIR_GAIN. However many they are, all are kept.
 
 Training reads at most about ``max_per_class`` labelled documents of each class,
 taken by hash of the id; a class's rows are weighted back to its full count.
 Scoring reads every document whole.
 
 Defined results: null or empty text has no terms and gets the intercept's
-score; repeated rows each get a row; with no usable label, or labels of one class
+score; very long texts are read whole; repeated rows each get a row; of an id's labels
+the highest counts; the learner goes by order of doc_id, so ties change nothing; with no usable label, or labels of one class
 only, every score is that class's share (0 without labels). Extra columns of the
 input are ignored.
 """
@@ -31,6 +35,10 @@ from .common import fold, one_label_per_doc, save, share, table
 
 HASH_BITS = 20
 WORD = re.compile(r"\w+")
+#: Least chi-square of a kept term, and of a kept pair of terms that are frequent and neutral alone.
+TERM_GAIN, PAIR_GAIN = 40, 200
+#: A frequent term's share of the labelled documents.
+FREQUENT = 0.1
 #: Words whose buckets a worker remembers before it starts over.
 REMEMBER = 200_000
 
@@ -74,7 +82,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), batch.column("weight"), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "y", "weight", "terms"])
 
 
-def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", max_per_class: int = 6000, max_terms: int = 4096, rank: int = 8, epochs: int = 12, seed: int = 7) -> FactorizationMachine:
+def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", max_per_class: int = 6000, rank: int = 8, epochs: int = 12, seed: int = 7) -> FactorizationMachine:
     """Learn from ``labels`` (doc_id, label 0/1) and the texts of ``documents`` (doc_id, text).
 
     The sample's ids are at most ``2 * max_per_class`` in expectation, which bounds
@@ -95,16 +103,49 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", max_per_c
     if not total["n"] or not total["pos"] or total["pos"] >= total["n"]:
         return FactorizationMachine(30.0 if total["pos"] else -30.0, np.zeros(0, np.int32), np.zeros(0), np.zeros((0, rank)))
     # Association of each bucket with the label: the chi-square of its 2 x 2 table.
-    p = total["pos"] / total["n"]
+    p = float(total["pos"] / total["n"])
     per = terms.select(F.explode("terms").alias("bucket"), "y", "weight").groupBy("bucket").agg(F.count("*").alias("df"), F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("y")).alias("pos"))
     gain = (F.col("pos") - F.col("n") * p) ** 2 / (F.col("n") * p * (1 - p))
-    best = per.where("df >= 3").withColumn("gain", gain).where("gain >= 15").orderBy(F.desc("gain"), "bucket").limit(max_terms).select("bucket").collect()
-    buckets = np.array(sorted(r["bucket"] for r in best), np.int32)
-    kept = F.array_intersect("terms", F.lit(buckets.tolist())) if len(buckets) else F.array().cast("array<int>")
-    sample = terms.select("doc_id", "y", "weight", F.array_sort(kept).alias("terms")).toPandas().sort_values("doc_id", kind="stable")
+    per = per.where("df >= 3").withColumn("gain", gain)
+    kept = {r["bucket"] for r in per.where(F.col("gain") >= TERM_GAIN).select("bucket").collect()}
+    frequent = sorted(r["bucket"] for r in per.where((F.col("gain") < TERM_GAIN) & (F.col("n") >= FREQUENT * total["n"])).select("bucket").collect())
+    tell = F.broadcast(documents.sparkSession.createDataFrame([(b,) for b in sorted(kept.union(frequent))], "bucket int"))
+    own = terms.select("doc_id", F.explode("terms").alias("bucket")).join(tell, "bucket").groupBy("doc_id").agg(F.array_sort(F.collect_set("bucket")).alias("terms"))
+    sample = terms.select("doc_id", "y", "weight").join(own, "doc_id", "left").toPandas().sort_values("doc_id", kind="stable")
+    sample["terms"] = [np.asarray([] if t is None else t, np.int32) for t in sample["terms"]]
+    kept |= meeting_terms(sample, np.array(frequent, np.int32), p)
+    buckets = np.array(sorted(kept), np.int32)
+    sample["terms"] = [t[np.isin(t, buckets)] for t in sample["terms"]]
     return _descend(sample, buckets, rank, epochs, seed)
 
 
+def meeting_terms(sample, frequent: np.ndarray, p: float, block: int = 1024) -> set[int]:
+    """Those of the frequent terms of which two together go with the label far more, or less, than either alone."""
+    y, weight = sample["y"].to_numpy(np.float32), sample["weight"].to_numpy(np.float32)
+    held = [np.searchsorted(frequent, t[np.isin(t, frequent)]) for t in sample["terms"]]
+
+    def columns(start: int, rows: slice) -> np.ndarray:
+        x = np.zeros((rows.stop - rows.start, min(block, len(frequent) - start)), np.float32)
+        for i, h in enumerate(held[rows]):
+            x[i, h[(h >= start) & (h < start + block)] - start] = 1
+        return x
+
+    out: set[int] = set()
+    chi = lambda n, pos: np.where(n > 0, (pos - n * p) ** 2 / np.maximum(n * p * (1 - p), 1e-9), 0)
+    for a in range(0, len(frequent), block):
+        for b in range(a, len(frequent), block):
+            n = pos = na = pa_ = nb = pb = 0.0
+            for start in range(0, len(y), 2048):
+                rows = slice(start, min(len(y), start + 2048))
+                x, z, w, wy = columns(a, rows), columns(b, rows), weight[rows], weight[rows] * y[rows]
+                n, pos = n + (x * w[:, None]).T @ z, pos + (x * wy[:, None]).T @ z
+                na, pa_, nb, pb = na + w @ x, pa_ + wy @ x, nb + w @ z, pb + wy @ z
+            alone = np.maximum(chi(na, pa_)[:, None], chi(nb, pb)[None, :])
+            i, j = np.nonzero((chi(n, pos) >= PAIR_GAIN) & (chi(n, pos) >= 4 * alone))
+            out |= set(frequent[a + i].tolist()) | set(frequent[b + j].tolist())
+    return out
+
+
 def _descend(sample, buckets: np.ndarray, rank: int, epochs: int, seed: int) -> FactorizationMachine:
     """Adagrad on the weighted logistic loss of the bounded sample."""
     rng = np.random.default_rng(seed)

@@ -38,6 +38,15 @@ def test_interactions_are_learned(spark, docs):
     assert [got[i] for i in range(4)] == [1, 0, 0, 0]
 
 
+def test_neutral_words_that_meet(spark, docs):
+    """Toxic is both or none: each word alone says nothing."""
+    texts = [" ".join(w) for w in (("apple", "zorn"), ("apple", "calm"), ("stone", "zorn"), ("stone", "calm"))] * 250
+    labels = spark.createDataFrame([(i, int(i % 4 in (0, 3))) for i in range(1000)], "doc_id long, toxic int")
+    model = toxicity.fit(docs(texts), labels, epochs=60)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs(texts), model).collect()}
+    assert [got[i] for i in range(4)] == [1, 0, 0, 1]
+
+
 @pytest.mark.parametrize("values", [[], [(5, 1)], [(5, 0), (None, 1), (6, None)]])
 def test_missing_classes(spark, docs, awkward, values):
     df = docs(awkward)
