@@ -17,8 +17,9 @@ sample of documents go into a second map of at most ``cache`` pieces, which boun
 is sent to executors. It saves time only: a piece that is not in it is folded where it
 stands, with the same result, since joining rare pieces back would shuffle all texts.
 
-Decoding looks each emitted id's bytes up and concatenates them. Bytes travel as hex
-text inside a row, as arrays of text join in one pass.
+Decoding looks each id's bytes up and concatenates them: piece by piece as the ids are
+made, or from the emitted ids (``decode_ids``). Bytes travel as hex text inside a row, as
+arrays of text join in one pass.
 
 Defined results: null and empty texts have no ids and decode to nothing; of equal
 strings the leftmost is merged first; repeated rows each get a row; very long texts and
@@ -160,10 +161,31 @@ def encode_piece(lit: Column, piece: Column) -> Column:
 
 
 def decode(tokens: Column, ids: Column) -> Column:
-    """The concatenated bytes, as hex, of the ids."""
+    """The concatenated bytes, as hex, of an array of ids."""
     return F.array_join(F.transform(ids, lambda i: F.get(tokens, i)["bytes"]), "")
 
 
+def coded_piece(lit: Column, piece: Column) -> Column:
+    """(ids, back): the piece's ids as little-endian hex, and the bytes that these ids decode to, as hex."""
+    le = lambda i: F.get(lit["tokens"], i)["le"]
+    return let(encode_piece(lit, piece), lambda ids: F.struct(F.array_join(F.transform(ids, le), "").alias("ids"), decode(lit["tokens"], ids).alias("back")))
+
+
+def decode_ids(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
+    """rows with ``decoded``: the bytes of a binary column of little-endian 32-bit ids. Null ids decode to null; an unknown id makes the row's bytes null."""
+    literals = save(rank_literals(rows.sparkSession, path), "bpe-ranks")
+    size = (F.octet_length(F.col(ids)) / 4).cast("int")
+    # Bytes of a binary are taken by place at once; places in a text would be counted from its start.
+    at = lambda k: F.conv(F.concat(*[F.hex(F.substring(F.col(ids), k * 4 + i, F.lit(1))) for i in (4, 3, 2, 1)]), 16, 10).cast("int")
+    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).when(size == 0, F.array().cast("array<int>"))
+
+    def told(x: Column) -> Column:
+        found = F.transform(places, lambda k: F.get(x["tokens"], at(k))["bytes"])
+        return let(found, lambda f: F.when(~F.exists(f, lambda t: t.isNull()), F.array_join(f, "")))
+
+    return with_literals(rows, literals).withColumn("decoded", F.unhex(let(F.col("lit"), told))).drop("lit")
+
+
 def pieces(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(PATTERN), F.lit(0))
 
@@ -175,10 +197,10 @@ def frequent(documents: DataFrame, literals: DataFrame, cache: int, sample: int)
     top = save(found.groupBy("piece").count().orderBy(F.desc("count"), "piece").limit(cache).select("piece"), "bpe-frequent")
     # A few thousand pieces a task: the fold is the work, not the read.
     spread = with_literals(top.repartition(64, "piece"), literals)
-    coded = spread.select("piece", let(F.col("lit"), lambda x: encode_piece(x, F.col("piece"))).alias("ids"))
-    per = coded.groupBy(slot(F.col("piece")).alias("slot")).agg(F.collect_list(F.struct("piece", "ids")).alias("e"))
+    coded = spread.select("piece", let(F.col("lit"), lambda x: coded_piece(x, F.col("piece"))).alias("v"))
+    per = coded.groupBy(slot(F.col("piece")).alias("slot")).agg(F.collect_list(F.struct("piece", "v")).alias("e"))
     all_slots = documents.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"))
-    none = F.array().cast("array<struct<piece:string,ids:array<int>>>")
+    none = F.array().cast("array<struct<piece:string,v:struct<ids:string,back:string>>>")
     filled = save(all_slots.join(per, "slot", "left").select("slot", F.coalesce("e", none).alias("e")), "bpe-slots")
     one = filled.agg(F.array_sort(F.collect_list(F.struct("slot", "e"))).alias("s")).select(F.transform("s", lambda x: F.map_from_entries(x["e"])).alias("known"))
     one = save(one, "bpe-known")
@@ -193,9 +215,8 @@ def encode(documents: DataFrame, path: str, cache: int = 200_000, sample: int =
     both = known.withColumns({c: literals.select(c).scalar() for c in literals.columns})
 
     def coded(x: Column) -> Column:
-        one = lambda p: F.coalesce(F.get(x["known"], slot(p))[p], encode_piece(x, p))
-        ids = F.flatten(F.transform(pieces(F.col("text")), one))
-        return let(ids, lambda i: F.struct(F.array_join(F.transform(i, lambda k: F.get(x["tokens"], k)["le"]), "").alias("ids"), decode(x["tokens"], i).alias("back")))
+        one = lambda p: F.coalesce(F.get(x["known"], slot(p))[p], coded_piece(x, p))
+        return let(F.transform(pieces(F.col("text")), one), lambda c: F.struct(F.array_join(c["ids"], "").alias("ids"), F.array_join(c["back"], "").alias("back")))
 
     rows = with_literals(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in keep if c not in ("doc_id", "text")]), both)
     return rows.select("doc_id", *keep, let(F.col("lit"), coded).alias("x")).select("doc_id", *keep, F.unhex("x.ids").alias("ids"), F.unhex("x.back").alias("decoded"))

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from sievecraft.llm import byte_bpe, decontamination, near_copies, quality_rules, repeats, separator_scan, token_codes
+from sievecraft.llm import byte_bpe, common, decontamination, near_copies, quality_rules, repeats, separator_scan, token_codes
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile("[^\x20\x09-\x0d]+")
@@ -204,8 +204,12 @@ def test_byte_bpe(docs, awkward):
 
     enc = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=separator_scan.rank_file(path), special_tokens={})
     # A small cache, so that most pieces are folded where they stand.
-    got = byte_bpe.encode(docs(texts), path, cache=20, keep=("text",)).collect()
+    coded = common.save(byte_bpe.encode(docs(texts), path, cache=20, keep=("text",)), "test-bpe")
+    got = coded.collect()
     assert len(got) == len(texts)
+    # Decoding knows nothing but the emitted ids.
+    back = byte_bpe.decode_ids(coded.select("doc_id", "ids"), path).collect()
+    assert {r.doc_id: bytes(r.decoded) for r in back} == {i: (t or "").encode() for i, t in enumerate(texts)}
     for r in got:
         t = r.text or ""
         assert np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(t) and bytes(r.decoded) == t.encode()
