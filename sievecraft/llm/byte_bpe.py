@@ -40,8 +40,10 @@ from pyspark.sql import functions as F
 from .common import discard, save, share, table
 from .separator_scan import rank_file
 
-#: Small maps that a literal map is cut into.
-SLOTS = 1 << 16
+#: Small maps that the literal maps of tokens and of pieces are cut into.
+SLOTS, PIECE_SLOTS = 1 << 16, 1 << 17
+#: Bits of a bitmap of the tokens' checksums; most strings of a piece are no token, and one look tells.
+BITS = 1 << 20
 #: Bytes of a piece whose borders fit one number.
 SHORT = 61
 #: Bits of a candidate's length, and of its place.
@@ -55,13 +57,14 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def slot(key: Column) -> Column:
-    return F.pmod(F.crc32(key.cast("binary")), F.lit(SLOTS)).cast("int")
+def slot(key: Column, slots: int = SLOTS) -> Column:
+    return F.crc32(key.cast("binary")).bitwiseAND(F.lit(slots - 1)).cast("int")
 
 
 def rank_literals(spark: SparkSession, path: str) -> DataFrame:
     """A one-row table: ``ids``, maps by slot from a token's bytes to its id; ``tokens``, by id its
-    little-endian and its bytes as hex; ``spans``, by a short piece's size the places and lengths of its strings.
+    little-endian and its bytes as hex; ``spans``, by a short piece's size the places and lengths of its strings;
+    ``bits``, which checksums tokens have.
 
     It goes to Spark as an Arrow table: written into the plan, its text would be kept with every query.
     """
@@ -70,7 +73,9 @@ def rank_literals(spark: SparkSession, path: str) -> DataFrame:
     longest = max(map(len, by_id))
     if longest >= 1 << LENGTH_BITS or not all(rising(ranks, t) for t in by_id):
         raise ValueError(f"the ranks of {path} are not those of a merge list")
-    of = np.array([zlib.crc32(t) % SLOTS for t in by_id])
+    crc = np.array([zlib.crc32(t) for t in by_id])
+    bits = np.packbits(np.bincount(crc % BITS, minlength=BITS) > 0, bitorder="little").view(np.int64)
+    of = crc % SLOTS
     order = np.argsort(of, kind="stable")
     ends = np.searchsorted(of[order], np.arange(SLOTS + 1))
     pairs = pa.StructArray.from_arrays([pa.array([by_id[i] for i in order], pa.binary()), pa.array([ranks[by_id[i]] for i in order], pa.int32())], ["k", "v"])
@@ -78,7 +83,7 @@ def rank_literals(spark: SparkSession, path: str) -> DataFrame:
     tokens = pa.StructArray.from_arrays([pa.array([ranks[t].to_bytes(4, "little").hex() for t in by_id]), pa.array([t.hex() for t in by_id])], ["le", "bytes"])
     spans = pa.array([[i << LENGTH_BITS | k for i in range(n) for k in range(2, min(longest, n - i) + 1)] for n in range(SHORT + 1)], pa.list_(pa.int32()))
     one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    row = pa.table({"ids": one(maps), "tokens": one(tokens), "spans": one(spans), "longest": pa.array([longest], pa.int32())})
+    row = pa.table({"ids": one(maps), "tokens": one(tokens), "spans": one(spans), "bits": one(pa.array(bits)), "longest": pa.array([longest], pa.int32())})
     return spark.createDataFrame(row).withColumn("ids", F.transform("ids", F.map_from_entries))
 
 
@@ -112,6 +117,11 @@ def encode_piece(lit: Column, piece: Column) -> Column:
     def id_of(start: Column, length: Column) -> Column:
         return let(F.substring(raw, start + 1, length), lambda t: F.get(lit["ids"], slot(t))[t])
 
+    def may_be(start: Column, length: Column) -> Column:
+        crc = F.crc32(F.substring(raw, start + 1, length))
+        word = F.get(lit["bits"], F.shiftright(crc, 6).bitwiseAND(F.lit(BITS // 64 - 1)).cast("int"))
+        return F.call_function("shiftright", word, crc.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(long(1)) == 1
+
     # A candidate is one number, which sorts by rank, then place.
     place = lambda c: F.shiftright(c, LENGTH_BITS).bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
     length = lambda c: c.bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)).cast("int")
@@ -121,7 +131,8 @@ def encode_piece(lit: Column, piece: Column) -> Column:
         return rank.bitwiseOR(F.shiftleft(start.cast("long"), LENGTH_BITS)).bitwiseOR(n.cast("long"))
 
     def short() -> Column:
-        found = F.filter(F.transform(F.get(lit["spans"], size), lambda x: candidate(place(x), length(x))), lambda c: c.isNotNull())
+        tried = F.filter(F.get(lit["spans"], size), lambda x: may_be(place(x), length(x)))
+        found = F.filter(F.transform(tried, lambda x: candidate(place(x), length(x))), lambda c: c.isNotNull())
 
         def step(m: Column, c: Column) -> Column:
             here = F.call_function("shiftrightunsigned", m, place(c))
@@ -143,7 +154,8 @@ def encode_piece(lit: Column, piece: Column) -> Column:
     def whole() -> Column:
         # The same fold over flags, one byte for each border.
         lengths = lambda i: F.sequence(F.lit(2), F.least(lit["longest"], size - i))
-        at = lambda i: F.filter(F.transform(lengths(i), lambda n: candidate(i, n)), lambda c: c.isNotNull())
+        tried = lambda i: F.filter(lengths(i), lambda n: may_be(i, n))
+        at = lambda i: F.filter(F.transform(tried(i), lambda n: candidate(i, n)), lambda c: c.isNotNull())
         found = F.flatten(F.transform(F.sequence(F.lit(0), size - 2), at))
 
         def step(m: Column, c: Column) -> Column:
@@ -198,8 +210,8 @@ def frequent(documents: DataFrame, literals: DataFrame, cache: int, sample: int)
     # A few thousand pieces a task: the fold is the work, not the read.
     spread = with_literals(top.repartition(64, "piece"), literals)
     coded = spread.select("piece", let(F.col("lit"), lambda x: coded_piece(x, F.col("piece"))).alias("v"))
-    per = coded.groupBy(slot(F.col("piece")).alias("slot")).agg(F.collect_list(F.struct("piece", "v")).alias("e"))
-    all_slots = documents.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"))
+    per = coded.groupBy(slot(F.col("piece"), PIECE_SLOTS).alias("slot")).agg(F.collect_list(F.struct("piece", "v")).alias("e"))
+    all_slots = documents.sparkSession.range(PIECE_SLOTS).select(F.col("id").cast("int").alias("slot"))
     none = F.array().cast("array<struct<piece:string,v:struct<ids:string,back:string>>>")
     filled = save(all_slots.join(per, "slot", "left").select("slot", F.coalesce("e", none).alias("e")), "bpe-slots")
     one = filled.agg(F.array_sort(F.collect_list(F.struct("slot", "e"))).alias("s")).select(F.transform("s", lambda x: F.map_from_entries(x["e"])).alias("known"))
@@ -208,14 +220,14 @@ def frequent(documents: DataFrame, literals: DataFrame, cache: int, sample: int)
     return one
 
 
-def encode(documents: DataFrame, path: str, cache: int = 200_000, sample: int = 40_000, keep: tuple[str, ...] = ()) -> DataFrame:
+def encode(documents: DataFrame, path: str, cache: int = 300_000, sample: int = 40_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, *keep, ids, decoded): binary columns of every row's little-endian ids and what they decode to."""
     literals = save(rank_literals(documents.sparkSession, path), "bpe-ranks")
     known = frequent(documents, literals, cache, sample)
     both = known.withColumns({c: literals.select(c).scalar() for c in literals.columns})
 
     def coded(x: Column) -> Column:
-        one = lambda p: F.coalesce(F.get(x["known"], slot(p))[p], coded_piece(x, p))
+        one = lambda p: F.coalesce(F.get(x["known"], slot(p, PIECE_SLOTS))[p], coded_piece(x, p))
         return let(F.transform(pieces(F.col("text")), one), lambda c: F.struct(F.array_join(c["ids"], "").alias("ids"), F.array_join(c["back"], "").alias("back")))
 
     rows = with_literals(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in keep if c not in ("doc_id", "text")]), both)
