@@ -49,8 +49,16 @@ def round_robin_shards(rows: DataFrame, n_workers: int, base_seq: int, *order: s
 def select_round_robin(queue: DataFrame, done: DataFrame, seq: str, key: str, target: int, *order: str) -> DataFrame:
     """Rows of the queues not done yet, one of each queue in turn, up to target (all if 0 or less)."""
     pending = queue.where(F.col(key).isNotNull() & (F.trim(key) != "")).join(done.select(key).distinct(), key, "left_anti")
-    turn = pending.withColumn("turn", F.row_number().over(Window.partitionBy(seq).orderBy(*order)))
-    return turn.orderBy("turn", seq).limit(target) if target > 0 else turn
+    ranked = Window.partitionBy(seq).orderBy(*order)
+    if target > 0:
+        # A queue gives no more than target rows: the limit of rank goes below the shuffle, so no task holds a whole queue.
+        return pending.withColumn("turn", F.row_number().over(ranked)).where(F.col("turn") <= target).orderBy("turn", seq).limit(target)
+    return pending.withColumn("turn", F.row_number().over(ranked))
+
+
+def not_done(items: DataFrame, done: DataFrame, key: str, force: bool = False) -> DataFrame:
+    """Items without a finished page; with ``force``, all."""
+    return items if force else items.join(done.select(key).distinct(), key, "left_anti")
 
 
 def first_per_post(images: DataFrame, done: DataFrame, post: str, image: str, limit: int) -> DataFrame:
