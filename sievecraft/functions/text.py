@@ -285,6 +285,53 @@ def json_object_text(text: Column) -> Column:
     return F.nullif(F.regexp_replace(body, r",\s*([}\]])", "$1"), F.lit(""))
 
 
+BODY = "page_header string, printed_page string, ngay_thang string, the_loai string, de_tai string, blocks array<struct<script:string,text:string>>"
+ENTRY = "stt string, ngay_thang string, to_tap string, the_loai string, xuat_xu string, de_tai string, trich_yeu string"
+SCRIPTS = ("han_nom", "quoc_ngu", "mixed")
+
+
+def parse_body(text: Column) -> Column:
+    """Struct (page_header, printed_page, ngay_thang, the_loai, de_tai, blocks, parse_ok) of a model's reply about a page.
+
+    Blocks without text go, an unknown script is mixed, and without any block the whole
+    reply is one. A reply without a JSON object is one block, and not ok.
+    """
+    names = ("page_header", "ngay_thang", "the_loai", "de_tai")
+    one = lambda t: F.array(F.struct(F.lit("mixed").alias("script"), t.alias("text")))
+
+    def block(b: Column) -> Column:
+        script = F.lower(strip(b["script"]))
+        return F.struct(F.when(script.isin(*SCRIPTS), script).otherwise("mixed").alias("script"), strip(b["text"]).alias("text"))
+
+    def made(x: Column) -> Column:
+        j, raw = x["j"], x["raw"]
+        kept = F.filter(F.transform(F.coalesce(j["blocks"], F.array().cast("array<struct<script:string,text:string>>")), block), lambda b: b["text"] != "")
+        blocks = F.when(j.isNull(), one(raw)).when((F.size(kept) == 0) & (raw != ""), one(raw)).otherwise(kept)
+        return F.struct(*[j[n].alias(n) for n in names], optional_int(j["printed_page"]).alias("printed_page"), blocks.alias("blocks"), j.isNotNull().alias("parse_ok"))
+
+    found = json_object_text(text)
+    parsed = F.when(F.call_function("try_parse_json", found).isNotNull(), F.from_json(found, BODY))
+    return let(F.struct(parsed.alias("j"), strip(text).alias("raw")), made)
+
+
+def parse_entries(text: Column) -> Column:
+    """The entries of a contents page in a model's reply, in order of their positive numbers; entries without one go."""
+    found = json_object_text(text)
+    parsed = F.from_json(found, f"entries array<struct<{', '.join(c.strip().replace(' ', ':') for c in ENTRY.split(','))}>>")["entries"]
+    numbered = F.transform(parsed, lambda e: F.struct(optional_int(e["stt"]).alias("number"), *[non_empty(e[c.split()[0]]).alias(c.split()[0]) for c in ENTRY.split(", ")[1:]]))
+    return F.coalesce(F.array_sort(F.filter(numbered, lambda e: e["number"] > 0)), F.array().cast(f"array<struct<number:int,{','.join(c.replace(' ', ':') for c in ENTRY.split(', ')[1:])}>>"))
+
+
+def belongs_to_group(node: Column, group: Column, head: int = 4000) -> Column:
+    """Whether a node's JSON names the group as an owner or target, or names none, within its first characters.
+
+    The limit is the test's own rule: owners stand at a node's head.
+    """
+    owner = r'"(?:owning_profile|to|group|target_group)"\s*:\s*\{[^{}]*"id"\s*:\s*"([0-9]+)"'
+    named = F.regexp_extract_all(F.substring(F.coalesce(node, F.lit("")), 1, head), F.lit(owner), F.lit(1))
+    return (F.size(named) == 0) | F.array_contains(named, group)
+
+
 def optional_int(text: Column) -> Column:
     """The number, else the first run of digits in it, else null."""
     t = strip(text.cast("string"))

@@ -221,3 +221,41 @@ def f7_pick_track(spark, sf_dir):
     i = F.col("event_id") % 3
     a = F.when(i == 0, F.array().cast("array<string>")).when(i == 1, F.array(*map(F.lit, "abcd"))).otherwise(F.array(F.lit("ab"), F.lit("cd")))
     return table(spark, sf_dir, "events").select("event_id", fuse.pick_track(a, F.array(F.lit("ab"), F.lit("cd")), "a-z")["track"].alias("track"))
+
+
+@query("select event_id, '[https://cdn.x/' || event_id || '.jpg, https://cdn.x/in' || user_id || '.png]' as images, strftime(to_timestamp(1500000000 + event_id)::timestamp, '%Y-%m-%dT%H:%M:%S+00:00') as posted_at, case when event_id % 2 = 0 then 'own' else 'u' || user_id end as author from events")
+def t25_nested_media(spark, sf_dir):
+    """Images, time and author of nested objects; a second address of an image and a video are no images of their own."""
+    i, u = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    inner = F.concat(F.lit('{"media": [{"image": {"uri": "https://cdn.x/in'), u, F.lit('.png"}}, {"image": {"uri": "https://cdn.x/'), i, F.lit('.jpg?b=2"}}, {"url": "https://cdn.x/v.mp4"}], "timestamp": 1600000000}'))
+    head = F.when(F.col("event_id") % 2 == 0, '"username": " own ", ').otherwise("")
+    node = F.concat(F.lit("{"), head, F.lit('"actors": [{"name": "u'), u, F.lit('"}], "src": "https://cdn.x/'), i, F.lit('.jpg", "creation_time": '), (F.col("event_id") + 1_500_000_000).cast("string"), F.lit(', "story": '), inner, F.lit("}"))
+    got = tables.nested_media(table(spark, sf_dir, "events").select("event_id", node.alias("node")), "event_id", "node")
+    plain = F.concat(F.lit("["), F.array_join(F.transform("image_urls", lambda x: F.substring_index(x, "?", 1)), ", "), F.lit("]"))
+    return got.select("event_id", plain.alias("images"), "posted_at", "author")
+
+
+@query("select event_id, case event_id % 4 when 3 then false else true end as mine from events")
+def t26_belongs_to_group(spark, sf_dir):
+    i = F.col("event_id") % 4
+    node = F.when(i == 0, '{"a": 1}').when(i == 1, '{"group": {"x": 2, "id": "7"}}').when(i == 2, '{"to": {"id": "8"}, "target_group": {"id": "7"}}').otherwise('{"owning_profile": {"id": "8"}}')
+    return table(spark, sf_dir, "events").select("event_id", t.belongs_to_group(node, F.lit("7")).alias("mine"))
+
+
+@query("select event_id, event_id % 3 <> 2 as parse_ok, case event_id % 3 when 0 then 12 end as printed_page, case event_id % 3 when 0 then 'han_nom:' || event_type when 1 then 'mixed:{\"page_header\": \"h\", \"blocks\": 3}' else 'mixed:no object' end as first from events")
+def t21_parse_body(spark, sf_dir):
+    """A model's replies about pages: with blocks, without, and no object at all."""
+    i = F.col("event_id") % 3
+    good = F.concat(F.lit('<think>{}</think>```json\n{"printed_page": "p. 12", "blocks": [{"script": " HAN_NOM", "text": " '), F.col("event_type"), F.lit(' "}, {"script": "x", "text": ""},]}\n```'))
+    reply = F.when(i == 0, good).when(i == 1, '{"page_header": "h", "blocks": 3}').otherwise(" no object ")
+    x = table(spark, sf_dir, "events").select("event_id", t.parse_body(reply).alias("x"))
+    first = F.get("x.blocks", F.lit(0))
+    return x.select("event_id", "x.parse_ok", "x.printed_page", F.concat(first["script"], F.lit(":"), first["text"]).alias("first"))
+
+
+@query("select event_id, case when event_id % 2 = 0 then '1:a,3:' || event_type else '' end as entries from events")
+def t21_parse_entries(spark, sf_dir):
+    i = F.col("event_id") % 2
+    good = F.concat(F.lit('{"entries": [{"stt": 3, "de_tai": "'), F.col("event_type"), F.lit('"}, {"stt": "x", "de_tai": "b"}, {"stt": "1", "de_tai": " a "}, {"stt": 0}]}'))
+    x = t.parse_entries(F.when(i == 0, good).otherwise("none"))
+    return table(spark, sf_dir, "events").select("event_id", F.array_join(F.transform(x, lambda e: F.concat(e["number"].cast("string"), F.lit(":"), F.trim(e["de_tai"]))), ",").alias("entries"))

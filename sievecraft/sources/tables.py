@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.base import blank
 from ..functions.text import clean_main_text, clean_side_text
+from ..operators.records import distinct_images, usable_image
 from .scratch import save
 
 PUBLIC = ("image", "label", "ground_truth", "side_matter", "boxes", "post_link")
@@ -97,6 +98,36 @@ def feed_candidates(rows: DataFrame, key: str, text: str) -> DataFrame:
     return found.groupBy(key, "post_id").agg(F.min_by("message", "depth").alias("message"), F.min_by("created", "depth").alias("created"))
 
 
+# Names under which nested feeds keep image addresses, times and authors.
+IMAGE_NAMES = ("uri", "url", "src", "image_url", "preview_image")
+TIME_NAMES = ("creation_time", "created_time", "publish_time", "timestamp")
+AUTHOR_NAMES = ("name", "short_name", "username")
+
+
+def nested_media(rows: DataFrame, key: str, text: str, usable=None) -> DataFrame:
+    """(key, image_urls, posted_at, author) of nested JSON texts, one row per key.
+
+    Images: every usable address under a known name, one per base, the outermost first.
+    posted_at: the outermost time in seconds after 2001, as ISO text. author: a name of
+    the object itself, else the first actor's, else the outermost name of 2 to 80
+    characters; empty if there is none. Broken texts give no row.
+    """
+    usable = usable or usable_image
+    nodes = walk_json(rows, key, text)
+    value, name = F.expr("try_variant_get(value, '$', 'string')"), F.lower("name")
+    at = F.struct("depth", "path")
+    seconds = value.try_cast("long")
+    urls = F.transform(F.array_sort(F.collect_list(F.when(name.isin(*IMAGE_NAMES) & usable(value), F.struct("depth", "path", value.alias("u"))))), lambda x: x["u"])
+    told = lambda when: F.min_by(F.trim(value), F.when(when & ~blank(value), at))
+    own = [F.max(F.when((F.col("path") == f"$.{n}") & ~blank(value), F.trim(value))) for n in AUTHOR_NAMES]
+    actor = [F.max(F.when(F.col("path") == f"$.{n}[0].name", F.trim(value))) for n in ("actors", "actors_list")]
+    author = F.coalesce(*own, *actor, told((name == "name") & F.length(value).between(2, 80)), F.lit(""))
+    time = F.min_by(seconds, F.when(name.isin(*TIME_NAMES) & (seconds > 1_000_000_000), at))
+    out = nodes.groupBy(key).agg(distinct_images(urls).alias("image_urls"), time.alias("_t"), author.alias("author"))
+    iso = F.concat(F.date_format(F.timestamp_seconds("_t"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    return out.select(key, "image_urls", iso.alias("posted_at"), "author")
+
+
 def clean_dataset(rows: DataFrame, main: tuple[str, ...] = ("ground_truth", "gt", "text"), side: tuple[str, ...] = ("side_matter", "side"), keep_han_punctuation: bool = True) -> DataFrame:
     """rows with the first of the known text columns cleaned, under their own names."""
     column = lambda names: next((n for n in names if n in rows.columns), None)
