@@ -1,7 +1,6 @@
 """The pipeline against a plain version of its exact stages, and the guard of the entry point."""
 
 import duckdb
-import numpy as np
 import public_tokenizers
 
 import __spark_entry__
@@ -12,15 +11,15 @@ from tests.llm.test_exact import SF, components, removed, shingles
 
 def test_stages_equal_a_plain_version(spark):
     docs = common.table(spark, SF, "documents")
-    plain = None
     for name, stage in corpus_pipeline.STAGES:
         given = docs
         docs = common.save(stage(spark, given, SF), f"test-{name}")
         before = {r.doc_id: r.text for r in given.collect()}
         after = {r.doc_id: r for r in docs.collect()}
         if name == "toxicity":
-            toxic = {r.doc_id for r in common.table(spark, SF, "labels").where("toxic = 1").collect()}
-            assert set(after) <= set(before) and not (set(before) - set(after)) - toxic - {i for i in before if i not in after}
+            labels = {r.doc_id: r.toxic for r in common.table(spark, SF, "labels").where("toxic is not null").collect()}
+            gone, toxic = set(before) - set(after), {i for i, y in labels.items() if y == 1 and i in before}
+            assert set(after) <= set(before) and not any(labels.get(i) == 0 for i in gone) and len(gone & toxic) >= 0.9 * len(toxic) > 0
         elif name == "ngram_jaccard_join":
             assert set(after) == {i for i, (_, c) in components(before).items() if i == c}
         elif name == "suffix_array_dedup":
@@ -36,7 +35,6 @@ def test_stages_equal_a_plain_version(spark):
             assert set(after) == set(before) and all(r.round_trip and r.n_tokens == len(plain.encode_ordinary(before[i] or "")) for i, r in after.items())
         if name != corpus_pipeline.STAGES[-1][0]:
             assert docs.columns == given.columns
-    assert plain is not None
 
 
 def test_registered():
@@ -50,7 +48,6 @@ def test_leaks_equal_sql(spark):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     name = "op3_benchmark_decontamination"
     assert sorted(map(tuple, queries.QUERIES[name](spark, SF).collect())) == sorted(con.sql(queries.ORACLE_SQL[name]).fetchall())
-    assert np is not None
 
 
 def test_rows_of_repeated_and_null_ids(spark, tables):
@@ -64,3 +61,22 @@ def test_rows_of_repeated_and_null_ids(spark, tables):
     folder = tables(benchmark=spark.createDataFrame([(1, words("b")), (2, words("c"))], "item_id long, text string"))
     left = corpus_pipeline.drop_leaks(spark, docs, folder).collect()
     assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted(((i, t) for i, t in rows if not (t or "").startswith(("b", "c"))), key=repr)
+
+
+def test_every_query_on_awkward_tables(spark, docs, awkward, tables):
+    """Null, repeated and missing ids, ties, columns with clashing names: each query gives its rows."""
+    texts = [t for t in awkward if len(t or "") < 10_000] + ["w1 w2 w3 w4 w5 w6 w7", "idiot scum w1", "w1 w2 w3 w4 w5 w6 w7", "w1 w2 w3 w4 w5 w6 w7"]
+    ids = [*range(len(texts) - 4), 3, None, None, 3]
+    labels = spark.createDataFrame([(k, k % 2, (k + 1) % 2, 1) for k in range(8)] + [(None, 1, 1, 2), (3, None, None, 3)], "doc_id long, quality int, toxic int, n int")
+    items = spark.createDataFrame([(1, "w1 w2 w3 w4 w5 w6", 5), (None, None, 6), (2, "", 7)], "item_id long, text string, n_item int")
+    full = tables(documents=docs(texts, ids), labels=labels, benchmark=items)
+    empty = tables(documents=docs([]), labels=labels.limit(0), benchmark=items.limit(0))
+    for name, query in queries.QUERIES.items():
+        rows = query(spark, full).collect()
+        assert query(spark, empty).collect() == []
+        if name == "op3_benchmark_decontamination":
+            assert sorted(((r.doc_id, r.item_id) for r in rows), key=repr) == [(3, 1), (None, 1)] or {(r.doc_id, r.item_id) for r in rows} >= {(3, 1)}
+        else:
+            assert sorted((r.doc_id for r in rows), key=repr) == sorted(ids, key=repr), name
+    got = corpus_pipeline.run(spark, full).collect()
+    assert corpus_pipeline.run(spark, empty).collect() == [] and {r.doc_id for r in got} <= set(ids) and all(r.round_trip for r in got)
