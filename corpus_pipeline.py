@@ -38,7 +38,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = near_copies.near_copies(docs.select(F.col("row").alias("doc_id"), "text"))
     rows = found.groupBy(F.col("doc_id").alias("row")).agg(F.first("component_id").alias("component"), F.count("*").alias("n"))
     rows = common.save(rows.join(docs.select("row", F.col("doc_id").alias("id")).distinct(), "row"), "pipeline-components")
-    kept = rows.groupBy("component").agg(F.min_by("row", F.struct(F.col("id").isNull(), "id", "row")).alias("kept"))
+    # Saved, so that a large component is a skewed side that the join may split.
+    kept = common.save(rows.groupBy("component").agg(F.min_by("row", F.struct(F.col("id").isNull(), "id", "row")).alias("kept")), "pipeline-kept")
     judged = rows.join(kept, "component")
     gone = judged.where("row != kept").select("row")
     again = judged.where("row = kept and n > 1").select("row")
