@@ -48,8 +48,10 @@ BITS = 1 << 20
 SHORT = 61
 #: Bits of a candidate's length, and of its place.
 LENGTH_BITS, PLACE_BITS = 8, 32
-#: The pattern in Java's syntax, where \s is ASCII by default; possessive runs never need to give back.
-PATTERN = "(?U)" + public_tokenizers.PATTERN
+_ALTERNATIVES = public_tokenizers.PATTERN.split("|")
+_WORDS = [x for x in _ALTERNATIVES if x in (r" ?\p{L}+", r" ?\p{N}+")]
+#: The pattern in Java's syntax, where \s is ASCII by default. Words and numbers are tried first: no other alternative can begin where one of these matches, but for blanks, which come after them anyway.
+PATTERN = "(?U)" + "|".join(_WORDS + [x for x in _ALTERNATIVES if x not in _WORDS])
 
 
 def let(value: Column, body) -> Column:
@@ -57,8 +59,12 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def slot(key: Column, slots: int = SLOTS) -> Column:
-    return F.crc32(key.cast("binary")).bitwiseAND(F.lit(slots - 1)).cast("int")
+def slot(key: Column) -> Column:
+    return F.crc32(key.cast("binary")).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
+
+def piece_slot(piece: Column) -> Column:
+    return F.xxhash64(piece).bitwiseAND(F.lit(PIECE_SLOTS - 1)).cast("int")
 
 
 def rank_literals(spark: SparkSession, path: str) -> DataFrame:
@@ -210,7 +216,7 @@ def frequent(documents: DataFrame, literals: DataFrame, cache: int, sample: int)
     # A few thousand pieces a task: the fold is the work, not the read.
     spread = with_literals(top.repartition(64, "piece"), literals)
     coded = spread.select("piece", let(F.col("lit"), lambda x: coded_piece(x, F.col("piece"))).alias("v"))
-    per = coded.groupBy(slot(F.col("piece"), PIECE_SLOTS).alias("slot")).agg(F.collect_list(F.struct("piece", "v")).alias("e"))
+    per = coded.groupBy(piece_slot(F.col("piece")).alias("slot")).agg(F.collect_list(F.struct("piece", "v")).alias("e"))
     all_slots = documents.sparkSession.range(PIECE_SLOTS).select(F.col("id").cast("int").alias("slot"))
     none = F.array().cast("array<struct<piece:string,v:struct<ids:string,back:string>>>")
     filled = save(all_slots.join(per, "slot", "left").select("slot", F.coalesce("e", none).alias("e")), "bpe-slots")
@@ -227,7 +233,7 @@ def encode(documents: DataFrame, path: str, cache: int = 300_000, sample: int =
     both = known.withColumns({c: literals.select(c).scalar() for c in literals.columns})
 
     def coded(x: Column) -> Column:
-        one = lambda p: F.coalesce(F.get(x["known"], slot(p, PIECE_SLOTS))[p], coded_piece(x, p))
+        one = lambda p: F.coalesce(F.get(x["known"], piece_slot(p))[p], coded_piece(x, p))
         return let(F.transform(pieces(F.col("text")), one), lambda c: F.struct(F.array_join(c["ids"], "").alias("ids"), F.array_join(c["back"], "").alias("back")))
 
     rows = with_literals(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in keep if c not in ("doc_id", "text")]), both)
