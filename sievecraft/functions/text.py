@@ -33,11 +33,8 @@ VARIANTS, VARIANT_OF = "脩爲裏着恒啓羣眞麪峯綫牀敎舘説", "修為
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
-def _private(code: int) -> str:
-    return chr(0xE000 + code)
-
-
-_OPEN, _CLOSE, _COLON, _DASH, _DOT = map(_private, range(5))
+#: Noncharacters, which no text for interchange holds, in place of a connector.
+_COLON, _DASH, _DOT = map(chr, (0xFDD0, 0xFDD1, 0xFDD2))
 
 
 def strip_noise(text: Column) -> Column:
@@ -58,11 +55,11 @@ def strip_noise(text: Column) -> Column:
 
 
 def protect_verses(text: Column) -> Column:
-    """Connectors inside verse references as private characters."""
-    t = F.regexp_replace(text, f"(?U)({VERSE})", f"{_OPEN}$1{_CLOSE}")
-    for connectors, mark in (("[:：]", _COLON), ("[-–—]", _DASH), (r"\.", _DOT)):
-        t = F.regexp_replace(t, f"(?<={_OPEN}[^{_CLOSE}]{{0,200}}){connectors}", mark)
-    return F.translate(t, _OPEN + _CLOSE, "")
+    """Connectors inside verse references, however long, as characters that no text holds."""
+    verse = f"(?U)(?:{VERSE})"
+    marked = lambda v: F.translate(v, ":：-–—.", _COLON * 2 + _DASH * 3 + _DOT)
+    both = F.struct(F.split(text, verse).alias("between"), F.regexp_extract_all(text, F.lit(verse), F.lit(0)).alias("verses"))
+    return let(both, lambda x: F.array_join(F.transform(x["between"], lambda p, i: F.concat(p, F.coalesce(marked(F.get(x["verses"], i)), F.lit("")))), ""))
 
 
 def restore_verses(text: Column) -> Column:

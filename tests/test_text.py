@@ -15,6 +15,12 @@ def test_han_punctuation_stays(one):
     assert one(t.clean_main_text(C), a="竹雨松風，琴韻。\n茶煙梧月書聲！") == {"text": "竹雨松風，琴韻。\n茶煙梧月書聲！", "log": "unchanged"}
 
 
+def test_long_verses_and_private_characters(one):
+    long = "詩篇" + "甲乙丙" * 100 + "：8"
+    assert one(t.clean_main_text(C), a=f"{long}\n甲-乙\n12–13 1.5 \ue002春\ue000")["text"] == f"{long}\n甲-乙\n12-13 1.5 \ue002春\ue000"
+    assert one(t.restore_verses(t.protect_verses(C)), a="3:4 x:y 5-6") == "3：4 x:y 5-6"
+
+
 def test_icons_latin_and_western_marks_go(one):
     got = one(t.clean_main_text(C), a="竹雨松風琴韻❤★\nHello茶煙梧月？OK!")
     assert "茶煙梧月？" in got["text"] and not set("❤★!HelloOK") & set(got["text"])
