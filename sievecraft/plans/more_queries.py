@@ -259,3 +259,26 @@ def t21_parse_entries(spark, sf_dir):
     good = F.concat(F.lit('{"entries": [{"stt": 3, "de_tai": "'), F.col("event_type"), F.lit('"}, {"stt": "x", "de_tai": "b"}, {"stt": "1", "de_tai": " a "}, {"stt": 0}]}'))
     x = t.parse_entries(F.when(i == 0, good).otherwise("none"))
     return table(spark, sf_dir, "events").select("event_id", F.array_join(F.transform(x, lambda e: F.concat(e["number"].cast("string"), F.lit(":"), F.trim(e["de_tai"]))), ",").alias("entries"))
+
+
+_EVALUATED = """
+  select event_id, array_to_string(list_filter([a, b, case when user_id % 4 = 0 and coalesce(a, '') <> 'col_order_reversed' and coalesce(b, '') <> 'col_order_reversed' then 'col_order_reversed' end], lambda x: x is not null), ',') as codes, conf, given
+  from (select *, case when i in ('ocr_garbage', 'col_order_reversed', 'needs_hitl', 'semantic_break') and i <> coalesce(a, '') then i end as b
+        from (select event_id, user_id, case event_id % 5 when 0 then 'caption_conflict' when 1 then 'order_splice' when 2 then 'semantic_break' end as a,
+                     case event_id % 7 when 0 then 'ocr_garbage' when 1 then 'col_order_reversed' when 2 then 'needs_hitl' when 3 then 'semantic_break' else 'odd' end as i,
+                     round_even(greatest(0, least(1, value / 20)), 4)::double as conf, case event_id % 3 when 0 then 'ok' when 1 then 'merged' else 'what' end as given from events))
+"""
+_DERIVED = "case when contains(codes, 'ocr_garbage') then 'needs_re_ocr' when contains(codes, 'needs_hitl') or (conf <= 0.5 and contains(codes, 'semantic_break')) or (contains(codes, 'caption_conflict') and conf < 0.6) then 'needs_hitl' when contains(codes, 'order_splice') or contains(codes, 'semantic_break') or contains(codes, 'col_order_reversed') then 'refined' else 'ok' end"
+
+
+@query(f"select event_id, codes, case when given = 'what' or d = 'needs_re_ocr' or (d = 'needs_hitl' and given = 'ok') then d else given end as status from (select *, {_DERIVED} as d from ({_EVALUATED}))")
+def f17_evaluate(spark, sf_dir):
+    """Judgements of pages: flags and issues united, reversed columns noticed, states by precedence."""
+    i, j = F.col("event_id") % 5, F.col("event_id") % 7
+    flags = F.array(F.when(i == 0, "caption_conflict").when(i == 1, "order_splice").when(i == 2, "semantic_break").otherwise("nothing"))
+    issues = F.array(F.when(j == 0, "ocr_garbage").when(j == 1, "col_order_reversed").when(j == 2, "needs_hitl").when(j == 3, "semantic_break").otherwise("odd"))
+    given = F.when(F.col("event_id") % 3 == 0, "ok").when(F.col("event_id") % 3 == 1, "merged").otherwise("what")
+    order = F.when(F.col("user_id") % 2 == 0, "rtl_columns").otherwise("grid")
+    truth = F.when(F.col("user_id") % 4 == 0, "ab cd").otherwise("cdab")
+    x = fuse.evaluate(flags, issues, given, F.col("value") / 20, order, F.lit("ab-cd"), truth, "a-z")
+    return table(spark, sf_dir, "events").select("event_id", x.alias("x")).select("event_id", F.array_join("x.codes", ",").alias("codes"), "x.status")
