@@ -275,30 +275,69 @@ def merge_passes(a: Column, b: Column, at_least: float = 0.25, keep: str = HAN)
     return F.aggregate(a, start.cast(state), step, finish)
 
 
-def text_rows(boxes: Column) -> Column:
-    """Horizontal lines of text: boxes whose centres lie within 0.6 of the median height share a line.
+def _grouped(boxes: Column, at, near: Column, key) -> Column:
+    """Boxes in order of the key, in arrays: one joins the last array if its place is near the mean of that array's places."""
+    state = f"array<struct<total:double,boxes:array<{BOX}>>>"
 
-    In a line boxes go left to right, with a blank where the gap is over 0.35 of that height.
-    """
-    height = upper_median(F.transform(boxes, lambda b: F.greatest(b["ymax"] - b["ymin"], F.lit(1))))
-    state = f"array<struct<y:double,boxes:array<{BOX}>>>"
+    def step(rows: Column, b: Column) -> Column:
+        last = F.get(rows, F.size(rows) - 1)
+        joins = (F.size(rows) > 0) & (F.abs(at(b) - last["total"] / F.size(last["boxes"])) <= near)
+        grown = F.struct((last["total"] + at(b)).alias("total"), F.concat(last["boxes"], F.array(b)).alias("boxes"))
+        fresh = F.struct(at(b).alias("total"), F.array(b).alias("boxes"))
+        return F.when(joins, F.concat(F.slice(rows, F.lit(1), F.size(rows) - 1), F.array(grown))).otherwise(F.concat(rows, F.array(fresh))).cast(state)
 
-    def place(h: Column):
-        def step(rows: Column, b: Column) -> Column:
-            last = F.get(rows, F.size(rows) - 1)
-            near = (F.size(rows) > 0) & (F.abs(cy(b) - last["y"] / F.size(last["boxes"])) <= 0.6 * h)
-            grown = F.struct((last["y"] + cy(b)).alias("y"), F.concat(last["boxes"], F.array(b)).alias("boxes"))
-            fresh = F.struct(cy(b).alias("y"), F.array(b).alias("boxes"))
-            return F.when(near, F.concat(F.slice(rows, F.lit(1), F.size(rows) - 1), F.array(grown))).otherwise(F.concat(rows, F.array(fresh))).cast(state)
+    return F.aggregate(in_order(boxes, key), F.array().cast(state), step)
 
-        return step
 
-    def line(bs: Column, h: Column) -> Column:
-        word = lambda b, i: F.concat(F.when((i > 0) & (b["xmin"] - F.get(bs, i - 1)["xmax"] > 0.35 * h), " ").otherwise(""), strip(b["text"]))
+def placed_rows(boxes: Column) -> Column:
+    """Array of (y, text): horizontal lines. Boxes whose centres lie within 0.6 of the median height, 4 at least, share one.
+
+    In a line boxes go left to right, with a blank where the gap is over 0.35 of the height of the box before.
+    """
+    tall = lambda b: F.greatest(b["ymax"] - b["ymin"], F.lit(1))
+
+    def line(bs: Column) -> Column:
+        def word(b: Column, i: Column) -> Column:
+            before = F.get(bs, i - 1)
+            return F.concat(F.when((i > 0) & (b["xmin"] - before["xmax"] > 0.35 * tall(before)), " ").otherwise(""), strip(b["text"]))
+
         return F.array_join(F.transform(bs, word), "")
 
     def read(h: Column) -> Column:
-        rows = F.aggregate(in_order(boxes, lambda b: (cy(b), b["xmin"])), F.array().cast(state), place(h))
-        return F.transform(rows, lambda r: let(in_order(r["boxes"], lambda b: (b["xmin"],)), lambda bs: line(bs, h)))
+        rows = _grouped(boxes, cy, F.greatest(0.6 * h, F.lit(4.0)), lambda b: (cy(b), b["xmin"]))
+        return F.transform(rows, lambda r: F.struct((r["total"] / F.size(r["boxes"])).alias("y"), let(in_order(r["boxes"], lambda b: (b["xmin"],)), line).alias("text")))
+
+    return F.when(F.size(boxes) == 0, F.array().cast("array<struct<y:double,text:string>>")).otherwise(let(upper_median(F.transform(boxes, tall)), read))
+
+
+def text_rows(boxes: Column) -> Column:
+    """The texts of the horizontal lines."""
+    return F.transform(placed_rows(boxes), lambda r: r["text"])
+
+
+def placed_columns(boxes: Column) -> Column:
+    """Array of (y, text): vertical boxes by column from the left, each from its top. Centres within 0.75 of the median width, 24 at least, share a column."""
+    wide = lambda b: F.greatest(b["xmax"] - b["xmin"], F.lit(1))
+
+    def read(w: Column) -> Column:
+        found = _grouped(boxes, cx, F.greatest(0.75 * w, F.lit(24.0)), lambda b: (cx(b), b["ymin"]))
+        return F.flatten(F.transform(found, lambda r: F.transform(in_order(r["boxes"], lambda b: (b["ymin"],)), lambda b: F.struct(cy(b).alias("y"), strip(b["text"]).alias("text")))))
+
+    return F.when(F.size(boxes) == 0, F.array().cast("array<struct<y:double,text:string>>")).otherwise(let(upper_median(F.transform(boxes, wide)), read))
+
+
+def page_text(boxes: Column, keep: str = HAN) -> Column:
+    """A page's text: horizontal lines and vertical boxes (over 1.4 times as high as wide, two fifths of them content script) from the top down.
+
+    Boxes without text are left out; of equal heights lines come first, then columns from the left.
+    """
+
+    def is_vertical(b: Column) -> Column:
+        return (F.greatest(b["ymax"] - b["ymin"], F.lit(1)) > F.greatest(b["xmax"] - b["xmin"], F.lit(1)) * 1.4) & (script_ratios(b["text"], keep)["content"] >= 0.4)
+
+    def read(bs: Column) -> Column:
+        every = F.concat(placed_rows(F.filter(bs, lambda b: ~is_vertical(b))), placed_columns(F.filter(bs, is_vertical)))
+        keyed = F.transform(every, lambda r, i: F.struct(r["y"].alias("y"), i.alias("i"), r["text"].alias("text")))
+        return F.array_join(F.filter(F.transform(F.array_sort(keyed), lambda r: r["text"]), lambda t: strip(t) != ""), "\n")
 
-    return F.when(F.size(boxes) == 0, F.array().cast("array<string>")).otherwise(let(height, read))
+    return let(F.filter(boxes, lambda b: strip(b["text"]) != ""), read)

@@ -63,3 +63,9 @@ def l11_merge_passes(spark, sf_dir):
 @query()
 def l12_text_rows(spark, sf_dir):
     return pages(spark, sf_dir).select("page", F.array_join(layout.text_rows(F.col("boxes")), "\n").alias("lines"))
+
+
+@query()
+def l12_page_text(spark, sf_dir):
+    """Pages whose tall boxes of digits are columns and whose other boxes are lines."""
+    return pages(spark, sf_dir).select("page", layout.page_text(F.col("boxes"), "0-9").alias("text"))

@@ -50,3 +50,49 @@ def test_rows_of_text(spark):
 def test_empty_page(spark):
     p = page(spark).select(y.reading_order(F.col("boxes")).alias("o"), y.column_lines(F.col("boxes")).alias("l"), y.weighted_confidence(F.col("boxes")).alias("c"))
     assert tuple(p.first()) == ([], [], 0.0)
+
+
+def plain_page_text(boxes):
+    """Lines and columns of boxes as lists, for comparison."""
+    tall = [b for b in boxes if b["ymax"] - b["ymin"] > 1.4 * (b["xmax"] - b["xmin"])]
+    wide = [b for b in boxes if b not in tall]
+    mid = lambda b, a: (b[a + "min"] + b[a + "max"]) / 2
+
+    def grouped(bs, axis, near, other):
+        out = []
+        for b in sorted(bs, key=lambda b: (mid(b, axis), b[other])):
+            if out and abs(mid(b, axis) - sum(mid(x, axis) for x in out[-1]) / len(out[-1])) <= near:
+                out[-1].append(b)
+            else:
+                out.append([b])
+        return out
+
+    median = lambda v: sorted(v)[len(v) // 2]
+    placed = []
+    if wide:
+        for row in grouped(wide, "y", max(0.6 * median([b["ymax"] - b["ymin"] for b in wide]), 4), "xmin"):
+            row.sort(key=lambda b: b["xmin"])
+            text = row[0]["text"]
+            for p, b in zip(row, row[1:], strict=False):
+                text += (" " if b["xmin"] - p["xmax"] > 0.35 * (p["ymax"] - p["ymin"]) else "") + b["text"]
+            placed.append((sum(mid(b, "y") for b in row) / len(row), text))
+    if tall:
+        for column in grouped(tall, "x", max(0.75 * median([b["xmax"] - b["xmin"] for b in tall]), 24), "ymin"):
+            placed += [(mid(b, "y"), b["text"]) for b in sorted(column, key=lambda b: b["ymin"])]
+    return "\n".join(t for _, t in sorted(placed, key=lambda p: p[0]))
+
+
+def test_page_text_equals_a_plain_version(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = []
+    for k in range(60):
+        boxes = []
+        for i in range(rng.randint(1, 12)):
+            top, left = rng.randint(0, 800), rng.randint(0, 800)
+            boxes.append({"text": f"春{i}風", "ymin": top, "xmin": left, "ymax": top + rng.choice((10, 20, 40, 200)), "xmax": left + rng.choice((15, 30, 120)), "kind": "ink_text", "confidence": 1.0})
+        rows.append((k, boxes))
+    df = spark.createDataFrame(rows, f"k int, boxes array<{y.BOX}>")
+    for r in df.select("boxes", y.page_text(F.col("boxes")).alias("t")).collect():
+        assert r.t == plain_page_text([b.asDict() for b in r.boxes])
