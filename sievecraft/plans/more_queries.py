@@ -242,7 +242,7 @@ def t26_belongs_to_group(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", t.belongs_to_group(node, F.lit("7")).alias("mine"))
 
 
-@query("select event_id, event_id % 3 <> 2 as parse_ok, case event_id % 3 when 0 then 12 end as printed_page, case event_id % 3 when 0 then 'han_nom:' || event_type when 1 then 'mixed:{\"page_header\": \"h\", \"blocks\": 3}' else 'mixed:no object' end as first from events")
+@query("select event_id, event_id % 3 <> 2 as parse_ok, case event_id % 3 when 0 then 12 else -1 end as printed_page, case event_id % 3 when 0 then 'han_nom:' || event_type when 1 then 'mixed:{\"page_header\": \"h\", \"blocks\": 3}' else 'mixed:no object' end as first from events")
 def t21_parse_body(spark, sf_dir):
     """A model's replies about pages: with blocks, without, and no object at all."""
     i = F.col("event_id") % 3
@@ -250,7 +250,7 @@ def t21_parse_body(spark, sf_dir):
     reply = F.when(i == 0, good).when(i == 1, '{"page_header": "h", "blocks": 3}').otherwise(" no object ")
     x = table(spark, sf_dir, "events").select("event_id", t.parse_body(reply).alias("x"))
     first = F.get("x.blocks", F.lit(0))
-    return x.select("event_id", "x.parse_ok", "x.printed_page", F.concat(first["script"], F.lit(":"), first["text"]).alias("first"))
+    return x.select("event_id", "x.parse_ok", F.coalesce("x.printed_page", F.lit(-1)).alias("printed_page"), F.concat(first["script"], F.lit(":"), first["text"]).alias("first"))
 
 
 @query("select event_id, case when event_id % 2 = 0 then '1:a,3:' || event_type else '' end as entries from events")
