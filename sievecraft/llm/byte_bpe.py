@@ -42,8 +42,8 @@ from .separator_scan import rank_file
 
 #: Small maps that the literal maps of tokens and of pieces are cut into.
 SLOTS, PIECE_SLOTS = 1 << 16, 1 << 17
-#: Bits of a bitmap of the tokens' checksums; most strings of a piece are no token, and one look tells.
-BITS = 1 << 20
+#: Flags of the tokens' checksums; most strings of a piece are no token, and one look tells.
+FLAGS = 1 << 20
 #: Bytes of a piece whose borders fit one number.
 SHORT = 61
 #: Bits of a candidate's length, and of its place.
@@ -70,7 +70,7 @@ def piece_slot(piece: Column) -> Column:
 def rank_literals(spark: SparkSession, path: str) -> DataFrame:
     """A one-row table: ``ids``, maps by slot from a token's bytes to its id; ``tokens``, by id its
     little-endian and its bytes as hex; ``spans``, by a short piece's size the places and lengths of its strings;
-    ``bits``, which checksums tokens have.
+    ``flags``, which checksums tokens have.
 
     It goes to Spark as an Arrow table: written into the plan, its text would be kept with every query.
     """
@@ -80,16 +80,17 @@ def rank_literals(spark: SparkSession, path: str) -> DataFrame:
     if longest >= 1 << LENGTH_BITS or not all(rising(ranks, t) for t in by_id):
         raise ValueError(f"the ranks of {path} are not those of a merge list")
     crc = np.array([zlib.crc32(t) for t in by_id])
-    bits = np.packbits(np.bincount(crc % BITS, minlength=BITS) > 0, bitorder="little").view(np.int64)
+    flags = pa.array(np.bincount(crc % FLAGS, minlength=FLAGS) > 0)
     of = crc % SLOTS
     order = np.argsort(of, kind="stable")
     ends = np.searchsorted(of[order], np.arange(SLOTS + 1))
     pairs = pa.StructArray.from_arrays([pa.array([by_id[i] for i in order], pa.binary()), pa.array([ranks[by_id[i]] for i in order], pa.int32())], ["k", "v"])
     maps = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pairs)
     tokens = pa.StructArray.from_arrays([pa.array([ranks[t].to_bytes(4, "little").hex() for t in by_id]), pa.array([t.hex() for t in by_id])], ["le", "bytes"])
-    spans = pa.array([[i << LENGTH_BITS | k for i in range(n) for k in range(2, min(longest, n - i) + 1)] for n in range(SHORT + 1)], pa.list_(pa.int32()))
+    places = [[(i + 1, k, i << LENGTH_BITS | k) for i in range(n) for k in range(2, min(longest, n - i) + 1)] for n in range(SHORT + 1)]
+    spans = pa.array([[{"at": a, "n": k, "code": c} for a, k, c in x] for x in places], pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("code", pa.int64())])))
     one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    row = pa.table({"ids": one(maps), "tokens": one(tokens), "spans": one(spans), "bits": one(pa.array(bits)), "longest": pa.array([longest], pa.int32())})
+    row = pa.table({"ids": one(maps), "tokens": one(tokens), "spans": one(spans), "flags": one(flags), "longest": pa.array([longest], pa.int32())})
     return spark.createDataFrame(row).withColumn("ids", F.transform("ids", F.map_from_entries))
 
 
@@ -116,29 +117,31 @@ def with_literals(df: DataFrame, literals: DataFrame) -> DataFrame:
 
 def encode_piece(lit: Column, piece: Column) -> Column:
     """The ids of a piece of text: array<int>."""
-    raw = piece.cast("binary")
-    size = F.octet_length(piece)
+    return let(piece.cast("binary"), lambda raw: _encode_bytes(lit, raw))
+
+
+def _encode_bytes(lit: Column, raw: Column) -> Column:
+    """The ids of a piece's bytes. Few nodes per string: the fold is interpreted, and its nodes are the work."""
+    size = F.octet_length(raw)
     long = lambda x: F.lit(x).cast("long")
 
-    def id_of(start: Column, length: Column) -> Column:
-        return let(F.substring(raw, start + 1, length), lambda t: F.get(lit["ids"], slot(t))[t])
+    def id_at(at: Column, length: Column) -> Column:  # at: from 1
+        part = F.substring(raw, at, length)
+        return F.get(lit["ids"], slot(part))[part]
 
-    def may_be(start: Column, length: Column) -> Column:
-        crc = F.crc32(F.substring(raw, start + 1, length))
-        word = F.get(lit["bits"], F.shiftright(crc, 6).bitwiseAND(F.lit(BITS // 64 - 1)).cast("int"))
-        return F.call_function("shiftright", word, crc.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(long(1)) == 1
+    def may_be(at: Column, length: Column) -> Column:
+        return F.get(lit["flags"], F.crc32(F.substring(raw, at, length)).bitwiseAND(F.lit(FLAGS - 1)).cast("int"))
 
     # A candidate is one number, which sorts by rank, then place.
     place = lambda c: F.shiftright(c, LENGTH_BITS).bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
     length = lambda c: c.bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)).cast("int")
 
-    def candidate(start: Column, n: Column) -> Column:
-        rank = F.shiftleft(id_of(start, n).cast("long"), LENGTH_BITS + PLACE_BITS)
-        return rank.bitwiseOR(F.shiftleft(start.cast("long"), LENGTH_BITS)).bitwiseOR(n.cast("long"))
+    def candidate(at: Column, n: Column, code: Column) -> Column:
+        return F.shiftleft(id_at(at, n).cast("long"), LENGTH_BITS + PLACE_BITS).bitwiseOR(code)
 
     def short() -> Column:
-        tried = F.filter(F.get(lit["spans"], size), lambda x: may_be(place(x), length(x)))
-        found = F.filter(F.transform(tried, lambda x: candidate(place(x), length(x))), lambda c: c.isNotNull())
+        tried = F.filter(F.get(lit["spans"], size), lambda x: may_be(x["at"], x["n"]))
+        found = F.filter(F.transform(tried, lambda x: candidate(x["at"], x["n"], x["code"])), lambda c: c.isNotNull())
 
         def step(m: Column, c: Column) -> Column:
             here = F.call_function("shiftrightunsigned", m, place(c))
@@ -153,15 +156,16 @@ def encode_piece(lit: Column, piece: Column) -> Column:
             rest = lambda k: F.call_function("shiftrightunsigned", m, k + 1)
             to_next = lambda k: let(rest(k), lambda x: F.bit_count(x.bitwiseAND(-x) - 1) + 1)
             starts = F.filter(F.sequence(F.lit(0), size - 1), lambda k: F.call_function("shiftrightunsigned", m, k).bitwiseAND(long(1)) == 1)
-            return F.transform(starts, lambda k: id_of(k, to_next(k)))
+            return F.transform(starts, lambda k: let(to_next(k), lambda n: id_at(k + 1, n)))
 
         return let(F.aggregate(F.sort_array(found), all_borders, step), ids)
 
     def whole() -> Column:
         # The same fold over flags, one byte for each border.
         lengths = lambda i: F.sequence(F.lit(2), F.least(lit["longest"], size - i))
-        tried = lambda i: F.filter(lengths(i), lambda n: may_be(i, n))
-        at = lambda i: F.filter(F.transform(tried(i), lambda n: candidate(i, n)), lambda c: c.isNotNull())
+        tried = lambda i: F.filter(lengths(i), lambda n: may_be(i + 1, n))
+        code = lambda i, n: F.shiftleft(i.cast("long"), LENGTH_BITS).bitwiseOR(n.cast("long"))
+        at = lambda i: F.filter(F.transform(tried(i), lambda n: candidate(i + 1, n, code(i, n))), lambda c: c.isNotNull())
         found = F.flatten(F.transform(F.sequence(F.lit(0), size - 2), at))
 
         def step(m: Column, c: Column) -> Column:
@@ -171,7 +175,7 @@ def encode_piece(lit: Column, piece: Column) -> Column:
 
         def ids(m: Column) -> Column:
             starts = F.filter(F.sequence(F.lit(0), size - 1), lambda k: F.substring(m, k + 1, F.lit(1)) == F.lit("1").cast("binary"))
-            return let(starts, lambda s: F.transform(s, lambda k, i: id_of(k, F.coalesce(F.get(s, i + 1), size) - k)))
+            return let(starts, lambda s: F.transform(s, lambda k, i: let(F.coalesce(F.get(s, i + 1), size) - k, lambda n: id_at(k + 1, n))))
 
         return let(F.aggregate(F.sort_array(found), F.repeat(F.lit("1"), size + 1).cast("binary"), step), ids)
 
@@ -226,7 +230,7 @@ def frequent(documents: DataFrame, literals: DataFrame, cache: int, sample: int)
     return one
 
 
-def encode(documents: DataFrame, path: str, cache: int = 300_000, sample: int = 40_000, keep: tuple[str, ...] = ()) -> DataFrame:
+def encode(documents: DataFrame, path: str, cache: int = 200_000, sample: int = 40_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, *keep, ids, decoded): binary columns of every row's little-endian ids and what they decode to."""
     literals = save(rank_literals(documents.sparkSession, path), "bpe-ranks")
     known = frequent(documents, literals, cache, sample)
