@@ -5,8 +5,9 @@ five and six letters, each hashed to one of ``2**HASH_BITS`` buckets. The machin
 scores ``w0 + sum w_i + sum <v_i, v_j>`` over the terms that it keeps, so a pair
 of terms (an insult near a group's name) has a weight of its own. A term is kept if it
 stands in three labelled documents or more and the chi-square of its 2 x 2 table with
-the label is TERM_GAIN or more; so is each of two frequent terms that say nothing alone
-and whose meeting has a chi-square of PAIR_GAIN. However many they are, all are kept.
+the label is TERM_GAIN or more (chance gives that to one term in ten thousand); so is
+each of two frequent terms that say nothing alone and whose meeting has a chi-square of
+PAIR_GAIN. However many they are, all are kept.
 
 Training reads at most about ``max_per_class`` labelled documents of each class,
 taken by hash of the id; a class's rows are weighted back to its full count.
@@ -36,7 +37,7 @@ from .common import fold, one_label_per_doc, save, share, table
 HASH_BITS = 20
 WORD = re.compile(r"\w+")
 #: Least chi-square of a kept term, and of a kept pair of terms that are frequent and neutral alone.
-TERM_GAIN, PAIR_GAIN = 40, 200
+TERM_GAIN, PAIR_GAIN = 15, 200
 #: A frequent term's share of the labelled documents.
 FREQUENT = 0.1
 #: Words whose buckets a worker remembers before it starts over.
@@ -169,7 +170,7 @@ def _descend(sample, buckets: np.ndarray, rank: int, epochs: int, seed: int) ->
             sq = np.bincount(of, (v[idx] ** 2).sum(1), len(part))
             logit = bias + np.bincount(of, w[idx], len(part)) + 0.5 * ((s * s).sum(1) - sq)
             err = weight[part] * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[part]) / len(part)
-            d0, dw, dv = err.sum(), np.bincount(idx, err[of], len(w)), np.zeros_like(v)
+            d0, dw, dv = err.sum(), np.bincount(idx, err[of], len(w)).astype(float), np.zeros_like(v)
             np.add.at(dv, idx, err[of, None] * (s[of] - v[idx]))
             dw += decay * w / len(part)
             dv += decay * v / len(part)
