@@ -24,10 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/sievecraft-{spark.sparkContext.applicationId}"
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again."""
+def save(df: DataFrame, name: str, by: tuple[str, ...] = (), compression: str = "snappy") -> DataFrame:
+    """Write df to the shared folder, in a folder for each value of the columns ``by``, and read it again."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(by), compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
