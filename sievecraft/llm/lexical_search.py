@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, save, table
+from .common import discard, save, steps, table
 
 #: Documents that an item gets.
 TOP = 50
@@ -50,8 +50,8 @@ FULL = 255
 BLOCK = 2048
 #: One in so many documents leads.
 LEAD = 64
-#: Bounds that one step holds at once.
-STEP = 1 << 22
+#: Bytes of text that one step indexes, index rows that one step searches, and bounds' parts that it holds at once.
+STEP_BYTES, STEP_ROWS, STEP = 1 << 20, 1024, 1 << 19
 SCALE, LENGTH, HALF = 1_000_000_000, 20, 50
 
 #: Letters to lower case, what is no part of a term to blanks; bytes above 127 are parts of terms.
@@ -67,7 +67,7 @@ def coordinates(found: list[bytes]) -> np.ndarray:
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (step for whole in batches for step in steps(whole, limit=STEP_BYTES)):
         size, sketches, words, counts = [], [], [], []
         for raw in batch.column("text").to_pylist():
             held = Counter(terms(raw or b""))
@@ -198,7 +198,7 @@ def _search(queries: Queries, documents: int, length: int, floors: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [Best(f) for f in floors]
-        for batch in batches:
+        for batch in (whole.slice(k, STEP_ROWS) for whole in batches for k in range(0, whole.num_rows, STEP_ROWS)):
             ids, words, counts, sketches = (batch.column(c).to_pylist() for c in ("doc_id", "terms", "counts", "sketch"))
             m = 100 - HALF + (HALF * batch.column("n").to_numpy() * documents) // length
             size = np.array([len(s) for s in sketches])
@@ -208,7 +208,8 @@ def _search(queries: Queries, documents: int, length: int, floors: list[int]):
                 for rows in (same[i : i + step] for i in range(0, len(same), step)):
                     upper = bounds([sketches[i] for i in rows], m[rows])
                     exact: dict[int, np.ndarray] = {}
-                    for q, mine in enumerate(best):
+                    for q in np.flatnonzero(upper.max(0) >= [x.floor for x in best]).tolist():
+                        mine = best[q]
                         may = np.flatnonzero(upper[:, q] >= mine.floor)
                         for k in may[np.argsort(-upper[may, q], kind="stable")].tolist():
                             if upper[k, q] < mine.floor:
