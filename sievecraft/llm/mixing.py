@@ -50,12 +50,11 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     The level at which no target is above its limit is found by whole sums over the
     sources, one small job a round; a round limits at least one more source.
     """
-    spark = sized.sparkSession
     per = sized.groupBy("absent", "name").agg(F.sum("size").alias("source_size"))
     placed, _ = global_index(per, "absent", "name")
     weight = F.get(F.array(*[F.lit(w) for w in weights]), (F.col("idx") % len(weights)).cast("int")).cast("decimal(20,0)")
     sources = save(placed.select("absent", "name", "source_size", weight.alias("w"), (F.col("source_size").cast("decimal(20,0)") * most).cast("decimal(20,0)").alias("most")), "mix-sources")
-    total = spark.createDataFrame([(0,)], "x int").join(sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)).cast("decimal(20,0)").alias("t"))).first()["t"]
+    total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)).cast("decimal(20,0)")).first()[0]
     # Share a weight of 1 gets: left / free, of those that are not at their limit.
     left, free, n = total, sources.agg(F.sum("w")).first()[0] or 0, 0
     at_limit = lambda: F.col("most") * F.lit(int(free)).cast("decimal(18,0)") <= F.col("w") * F.lit(int(left)).cast("decimal(20,0)")
