@@ -1,23 +1,27 @@
 """Similarity of two texts, as columns over a table of pairs.
 
 Texts are compared in the form of ``text.norm``. Scores are rounded before any
-threshold is tested, half to even. All but the two block-matching ratios are SQL
-expressions; those two run in one Arrow-batched function each. Both take whole texts
-of any length: long ones are searched by the hashes of their windows.
+threshold is tested, half to even. All are SQL expressions but the two block-matching
+ratios and the distance between lists of lines, which run over whole Arrow batches
+(see ``matching``). All take whole texts of any length.
 """
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
+import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from .base import chars, let
-from .text import HAN, compact, norm, to_traditional
+from .matching import block_sizes, distance
+from .text import HAN, SIMPLIFIED, TRADITIONAL, VARIANT_OF, VARIANTS, compact, norm, to_traditional
+
+#: Characters in all matching blocks of a pair, and in its longest one.
+BLOCKS = StructType([StructField("matched", LongType()), StructField("longest", LongType())])
 
 
 def edit_distance(a: Column, b: Column) -> Column:
@@ -30,20 +34,33 @@ def cer(reference: Column, other: Column, keep: str = HAN) -> Column:
     return let(both, lambda x: F.when((x["a"] == "") & (x["b"] == ""), 0.0).when(x["a"] == "", 1.0).when(x["a"] == x["b"], 0.0).otherwise(F.bround(F.levenshtein(x["a"], x["b"]) / F.length(x["a"]), 4)))
 
 
-def line_wer(reference: Column, other: Column, keep: str = HAN) -> Column:
-    """Edit distance between two arrays of lines, over the number of reference lines.
+@F.pandas_udf(LongType())
+def _line_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    def coded(p, q) -> int:
+        known: dict[str, int] = {}
+        code = lambda lines: np.array([known.setdefault(t, len(known)) for t in lines], np.int64)
+        return distance(code(p), code(q))
 
-    Each distinct line becomes one character, so the lines' distance is a text's.
-    """
-    kept = lambda x: F.filter(F.transform(F.coalesce(x, F.array().cast("array<string>")), lambda t: norm(t, keep)), lambda t: t != "")
+    return pd.Series([coded(p, q) for p, q in zip(a, b, strict=True)])
+
+
+@F.pandas_udf(LongType())
+def _char_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    coded = lambda t: np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return pd.Series([distance(coded(p), coded(q)) for p, q in zip(a, b, strict=True)], dtype="int64")
 
-    def scored(x: Column) -> Column:
-        known = F.array_distinct(F.concat(x["a"], x["b"]))
-        code = lambda t: F.decode(F.unhex(F.hex(F.array_position(known, t) + 19967)), "UTF-16BE")
-        word = lambda side: F.array_join(F.transform(x[side], code), "")
-        return F.when((F.size(x["a"]) == 0) & (F.size(x["b"]) == 0), 0.0).when(F.size(x["a"]) == 0, 1.0).otherwise(F.bround(F.levenshtein(word("a"), word("b")) / F.size(x["a"]), 4))
 
-    return let(F.struct(kept(reference).alias("a"), kept(other).alias("b")), scored)
+def page_cer(reference: Column, other: Column, keep: str = HAN) -> Column:
+    """``cer`` of whole pages, whose lengths' product is too much for a table of the distances."""
+    a, b = norm(reference, keep), norm(other, keep)
+    return F.when((a == "") & (b == ""), 0.0).when(a == "", 1.0).otherwise(F.bround(_char_distance(a, b) / F.length(a), 4))
+
+
+def line_wer(reference: Column, other: Column, keep: str = HAN) -> Column:
+    """Edit distance between two arrays of lines, over the number of reference lines. Both empty: 0; only the reference empty: 1."""
+    kept = lambda x: F.filter(F.transform(F.coalesce(x, F.array().cast("array<string>")), lambda t: norm(t, keep)), lambda t: t != "")
+    a, b = kept(reference), kept(other)
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), 0.0).when(F.size(a) == 0, 1.0).otherwise(F.bround(_line_distance(a, b) / F.size(a), 4))
 
 
 def shared_chars(a: Column, b: Column) -> Column:
@@ -63,141 +80,88 @@ def bag_of_norms(x: Column, y: Column) -> Column:
     return let(F.struct(x.alias("a"), y.alias("b")), lambda x: F.when(total(x) == 0, 1.0).otherwise(F.bround(2.0 * shared_chars(x["a"], x["b"]) / total(x), 4)))
 
 
-#: Product of two lengths up to which difflib's own search is faster than hashes.
-SMALL = 1 << 17
-_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-
-
-class Windows:
-    """Two texts, for the longest common substring of any of their parts.
-
-    Its length is found by halving, on 64-bit hashes of all windows of a length; the
-    windows that are found are compared as texts, so that the result is exact.
-    """
-
-    def __init__(self, x: str, y: str):
-        self.x, self.y = x, y
-        self.power = np.concatenate([[np.uint64(1)], np.full(max(len(x), len(y)), _BASE)]).cumprod(dtype=np.uint64)
-        self.sums = [self._sums(x), self._sums(y)]
-
-    def _sums(self, text: str) -> np.ndarray:
-        code = (np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)) * _MIX
-        return np.concatenate([[np.uint64(0)], ((code ^ (code >> np.uint64(29))) * self.power[: len(code)]).cumsum(dtype=np.uint64)])
-
-    def _hashes(self, side: int, low: int, high: int, n: int) -> np.ndarray:
-        s = self.sums[side]
-        # Brought to one power, so that equal windows are equal wherever they stand.
-        return (s[low + n : high + 1] - s[low : high - n + 1]) * self.power[::-1][low : high - n + 1]
-
-    def longest(self, a: int, b: int, c: int, d: int, most: int) -> tuple[int, int, int]:
-        """(i, j, n) as difflib's find_longest_match has it for x[a:b] and y[c:d]; n is ``most`` at most."""
-        low, high = 0, min(most, b - a, d - c)
-        while low < high:
-            n = (low + high + 1) // 2
-            low, high = (n, high) if np.isin(self._hashes(0, a, b, n), self._hashes(1, c, d, n)).any() else (low, n - 1)
-        if not low:
-            return a, c, 0
-        p, q = self._hashes(0, a, b, low), self._hashes(1, c, d, low)
-        i = int(np.isin(p, q).argmax())
-        j = int((q == p[i]).argmax())
-        if self.x[a + i : a + i + low] != self.y[c + j : c + j + low]:  # equal hashes of other texts
-            m = SequenceMatcher(None, self.x[a:b], self.y[c:d], autojunk=False).find_longest_match()
-            return a + m.a, c + m.b, m.size
-        return a + i, c + j, low
-
-
-def matched(x: str, y: str) -> int:
-    """Characters in the matching blocks of two texts, as difflib finds them."""
-    if x == y:
-        return len(x)
-    w, total, todo = None, 0, [(0, len(x), 0, len(y), len(x))]
-    while todo:
-        a, b, c, d, most = todo.pop()
-        if a == b or c == d:
-            continue
-        if (b - a) * (d - c) <= SMALL:
-            total += sum(m.size for m in SequenceMatcher(None, x[a:b], y[c:d], autojunk=False).get_matching_blocks())
-            continue
-        w = w or Windows(x, y)
-        i, j, n = w.longest(a, b, c, d, most)
-        if n:
-            total += n
-            todo += [(a, i, c, j, n), (i + n, b, j + n, d, n)]
-    return total
-
-
-def longest_block(x: str, y: str) -> int:
-    """Length of the longest common substring."""
-    if x in y or y in x:
-        return min(len(x), len(y))
-    if len(x) * len(y) <= SMALL:
-        return SequenceMatcher(None, x, y, autojunk=False).find_longest_match().size
-    return Windows(x, y).longest(0, len(x), 0, len(y), len(x))[2]
-
-
-def longer_block(x: str, y: str, floor: int) -> int:
-    """Length of the longest common substring if it is longer than floor, else 0."""
-    half = floor // 2 + 1
-    # A common string of floor + 1 characters holds one of x's blocks of half as many.
-    if half > len(x) or not any(x[k : k + half] in y for k in range(0, len(x) - half + 1, half)):
-        return 0
-    n = longest_block(x, y)
-    return n if n > floor else 0
-
-
-@F.pandas_udf(DoubleType())
-def _block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([round(2.0 * matched(x, y) / max(len(x) + len(y), 1) * 100, 2) for x, y in zip(a, b, strict=True)], dtype=float)
-
-
-@F.pandas_udf(IntegerType())
-def _longest_block(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([longest_block(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
-
-
-def decisive_block(x: str, y: str) -> int:
-    """Length of the longest common substring if its share of the shorter text can pass the bags' Dice, else 0."""
-    if not x or not y:
-        return 0
-    bag = 2.0 * sum(min(x.count(c), y.count(c)) for c in set(x)) / (len(x) + len(y))
-    return longer_block(x, y, max(0, int((bag - 0.0001) * min(len(x), len(y)) - 0.001)))
-
-
-@F.pandas_udf(IntegerType())
-def _decisive_block(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([decisive_block(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
+@F.pandas_udf(BLOCKS)
+def _blocks(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    matched, longest = block_sizes(a.tolist(), b.tolist())
+    return pd.DataFrame({"matched": matched, "longest": longest})
+
+
+@F.pandas_udf(ArrayType(BLOCKS))
+def block_lists(a: pd.Series, b: pd.Series) -> pd.Series:
+    """For each pair of two lists of texts, the sizes of all its blocks and of the longest; all pairs of a batch in one search."""
+    flat = lambda lists: [t or "" for x in lists for t in x]
+    matched, longest = block_sizes(flat(a), flat(b))
+    pairs = [{"matched": m, "longest": n} for m, n in zip(matched.tolist(), longest.tolist(), strict=True)]
+    ends = np.cumsum([0, *map(len, a)])
+    return pd.Series([pairs[s:e] for s, e in zip(ends[:-1], ends[1:], strict=True)], dtype=object)
+
+
+@F.pandas_udf(LongType())
+def _longest(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(block_sizes(a.tolist(), b.tolist(), all_blocks=False)[1])
+
+
+def ratio_of(x: Column, y: Column, matched: Column) -> Column:
+    return F.when(x == y, 100.0).when((x == "") | (y == ""), 0.0).otherwise(F.bround(2.0 * matched / F.greatest(F.length(x) + F.length(y), F.lit(1)) * 100, 2))
+
+
+def partial_of(x: Column, y: Column, longest: Column) -> Column:
+    return F.when(x == y, 100.0).when((x == "") | (y == ""), 0.0).otherwise(F.bround(100.0 * longest / F.least(F.length(x), F.length(y)), 2))
 
 
 def sequence_ratio(a: Column, b: Column, keep: str = HAN) -> Column:
     """Ratcliff-Obershelp similarity, 0 to 100."""
     x, y = norm(a, keep), norm(b, keep)
-    return F.when(x == y, 100.0).when((x == "") | (y == ""), 0.0).otherwise(_block_ratio(x, y))
-
-
-def longest_common(a: Column, b: Column, keep: str = HAN, caps: tuple[int, int] | None = None) -> Column:
-    """Length of the longest common substring of the content characters; caps cut both sides first."""
-    x, y = compact(a, keep), compact(b, keep)
-    if caps:
-        x, y = F.substring(x, 1, caps[0]), F.substring(y, 1, caps[1])
-    return F.when((x == "") | (y == ""), 0).when(x == y, F.length(x)).otherwise(_longest_block(x, y))
+    return ratio_of(x, y, _blocks(x, y)["matched"])
 
 
 def partial_ratio(a: Column, b: Column, keep: str = HAN) -> Column:
     """Longest common substring over the shorter text, 0 to 100."""
     x, y = norm(a, keep), norm(b, keep)
-    short = F.when(F.length(x) <= F.length(y), x).otherwise(y)
-    long = F.when(F.length(x) <= F.length(y), y).otherwise(x)
-    return F.when(x == y, 100.0).when((x == "") | (y == ""), 0.0).otherwise(F.bround(100.0 * _longest_block(short, long) / F.length(short), 2))
+    return partial_of(x, y, _longest(x, y))
+
+
+def with_ratios(rows: DataFrame, a: Column, b: Column, keep: str = HAN, ratio: str = "ratio", partial: str = "partial_ratio") -> DataFrame:
+    """rows with sequence_ratio and partial_ratio of two columns, from one search."""
+    rows = rows.withColumns({"_x": norm(a, keep), "_y": norm(b, keep)}).withColumn("_blocks", _blocks("_x", "_y"))
+    x, y = F.col("_x"), F.col("_y")
+    return rows.withColumns({ratio: ratio_of(x, y, F.col("_blocks.matched")), partial: partial_of(x, y, F.col("_blocks.longest"))}).drop("_x", "_y", "_blocks")
+
+
+def register(spark: SparkSession, keep: str = HAN) -> None:
+    """The two ratios as functions of SQL text: ``select sequence_ratio(a, b), partial_ratio(a, b)``. Null counts as empty."""
+    class_ = re.compile("[^" + re.sub(r"\\x\{(\w+)\}", lambda m: f"\\U{int(m[1], 16):08x}", keep) + "]")
+    table = {ord(s): t for s, t in zip(SIMPLIFIED, TRADITIONAL, strict=True)}
+    fold = {ord(s): t for s, t in zip(VARIANTS, VARIANT_OF, strict=True)}
 
+    def prepared(texts: pd.Series) -> list[str]:
+        return [class_.sub("", (t or "").translate(table)).translate(fold) for t in texts.tolist()]
 
-def best_score(x: Column, y: Column) -> Column:
-    """The highest of sequence_ratio, partial_ratio and a hundred times bag_dice, of two texts in the form of ``norm``.
+    def rounded(share: np.ndarray, x: list[str], y: list[str]) -> pd.Series:
+        none = np.array([not p or not q for p, q in zip(x, y, strict=True)])
+        same = np.array([p == q for p, q in zip(x, y, strict=True)])
+        return pd.Series(np.where(same, 100.0, np.where(none, 0.0, np.round(share, 2))))
 
-    Matching blocks hold no more characters than the bags share, so the first never
-    passes the last; the longest block is looked for only where it can pass it.
-    """
-    bag, low = bag_of_norms(x, y) * 100, F.least(F.length(x), F.length(y))
-    return F.when(x == y, 100.0).when((x == "") | (y == ""), bag).otherwise(F.greatest(bag, F.bround(100.0 * _decisive_block(x, y) / low, 2)))
+    @F.pandas_udf(DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        x, y = prepared(a), prepared(b)
+        return rounded(200.0 * block_sizes(x, y)[0] / np.maximum(1, [len(p) + len(q) for p, q in zip(x, y, strict=True)]), x, y)
+
+    @F.pandas_udf(DoubleType())
+    def partial(a: pd.Series, b: pd.Series) -> pd.Series:
+        x, y = prepared(a), prepared(b)
+        return rounded(100.0 * block_sizes(x, y, all_blocks=False)[1] / np.maximum(1, [min(len(p), len(q)) for p, q in zip(x, y, strict=True)]), x, y)
+
+    spark.udf.register("sequence_ratio", ratio)
+    spark.udf.register("partial_ratio", partial)
+
+
+def longest_common(a: Column, b: Column, keep: str = HAN, caps: tuple[int, int] | None = None) -> Column:
+    """Length of the longest common substring of the content characters; caps cut both sides first."""
+    x, y = compact(a, keep), compact(b, keep)
+    if caps:
+        x, y = F.substring(x, 1, caps[0]), F.substring(y, 1, caps[1])
+    return F.when((x == "") | (y == ""), 0).when(x == y, F.length(x)).otherwise(_longest(x, y).cast("int"))
 
 
 def has_invented(raw: Column, refined: Column, keep: str = HAN) -> Column:

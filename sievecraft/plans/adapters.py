@@ -19,15 +19,12 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("post_id"), "doc_id", F.col("text").alias("caption"), F.col("source").alias("author"), F.coalesce(image, F.array().cast("array<string>")).alias("image_urls"))
 
 
-def tracks(spark: SparkSession, sf_dir: str, longest: int = 12) -> DataFrame:
-    """Documents as pages with two readings: b is a with every fifth kind of slip.
-
-    A page is the text's paragraphs up to that many; longer texts are several pages.
-    """
-    a = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(lines(F.col("text"))).alias("n", "line"))
-    a = a.groupBy(F.concat_ws("-", F.col("doc_id").cast("string"), F.floor(F.col("n") / longest).cast("string")).alias("image"), F.col("doc_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]).alias("a"))
+def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pages with two readings, their paragraphs: b is a with every fifth kind of slip."""
+    a = lines(F.col("text"))
+    a = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("image"), "doc_id", a.alias("a")).where(F.size("a") > 0)
     slip = F.col("doc_id") % 5
-    b = F.when(slip == 0, F.col("a")).when(slip == 1, F.transform("a", lambda x: F.concat(F.substring(x, 1, 3), F.substring(x, 5, 100_000)))).when(slip == 2, F.reverse("a")).when(slip == 3, F.slice("a", F.lit(1), F.greatest(F.size("a") - 1, F.lit(1)))).otherwise(F.transform("a", lambda x: F.substring(x, 1, F.greatest(F.length(x) / 2, F.lit(1)).cast("int"))))
+    b = F.when(slip == 0, F.col("a")).when(slip == 1, F.transform("a", lambda x: F.concat(F.substring(x, 1, 3), F.substring(x, F.lit(5), F.length(x))))).when(slip == 2, F.reverse("a")).when(slip == 3, F.slice("a", F.lit(1), F.greatest(F.size("a") - 1, F.lit(1)))).otherwise(F.transform("a", lambda x: F.substring(x, 1, F.greatest(F.length(x) / 2, F.lit(1)).cast("int"))))
     return a.withColumn("b", b)
 
 

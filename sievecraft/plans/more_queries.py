@@ -157,10 +157,10 @@ def t23_prepend_once(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", t.prepend_once(F.col("text"), leak).alias("body"))
 
 
-@query("select page_id, levenshtein(substr(url, 1, 200), substr(url, 3, 200)) as d from pages")
+@query("select page_id, levenshtein(url, substr(url, 3)) as d from pages")
 def m1_edit_distance(spark, sf_dir):
     url = F.col("url")
-    return table(spark, sf_dir, "pages").select("page_id", m.edit_distance(F.substring(url, 1, 200), F.substring(url, 3, 200)).cast("long").alias("d"))
+    return table(spark, sf_dir, "pages").select("page_id", m.edit_distance(url, F.substring(url, F.lit(3), F.length(url))).cast("long").alias("d"))
 
 
 @query("select event_id, case when value < 25 then 'abcd' when event_id % 2 = 0 then 'abcx' end as pick from events")

@@ -4,9 +4,13 @@ import random
 from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from sievecraft.functions import matching
 from sievecraft.functions import pairs as m
+from sievecraft.operators import alignment
 from sievecraft.plans import catalogue
 
 A, B = F.col("a"), F.col("b")
@@ -51,19 +55,70 @@ def test_caption_vote(one):
     assert one(m.caption_pick(A, B, F.lit("山")), a="春風", b="春雨") is None
 
 
-def test_long_texts_equal_difflib():
+def plain_blocks(x, y):
+    plain = SequenceMatcher(None, x, y, autojunk=False)
+    return sum(b.size for b in plain.get_matching_blocks()), plain.find_longest_match().size
+
+
+@pytest.mark.parametrize("whole", [matching.WHOLE, 20])
+def test_blocks_equal_difflib(monkeypatch, whole):
+    """Whole batches; with few cells a table, long problems are searched by windows."""
+    monkeypatch.setattr(matching, "WHOLE", whole)
     rng = random.Random(5)
-    for size, letters in ((500, "ab"), (900, "abcdefghij"), (1500, "abcdefghijklmnopqrstuvwxyz")):
-        x = "".join(rng.choices(letters, k=size))
-        cut = x[size // 2 :] + x[: size // 3]
-        slips = "".join(c if rng.random() > 0.03 else rng.choice(letters) for c in x)
-        for y in (x, cut, slips, x[::-1], "".join(rng.choices(letters, k=size + 70))):
-            plain = SequenceMatcher(None, x, y, autojunk=False)
-            longest = plain.find_longest_match()
-            assert m.matched(x, y) == sum(b.size for b in plain.get_matching_blocks())
-            assert m.longest_block(x, y) == longest.size and m.Windows(x, y).longest(0, len(x), 0, len(y), len(x)) == tuple(longest)
-            for floor in (0, 1, 2, longest.size - 1, longest.size, size - 1):
-                assert m.longer_block(x, y, floor) == (longest.size if longest.size > floor else 0)
+    xs, ys = ["", "a", "", "same", "a" * 700 + "b" * 300, "\U0001f600b"], ["", "", "a", "same", "a" * 600 + "cb" * 200 + "b" * 260, "b\U0001f600"]
+    for size, letters in ((7, "ab"), (40, "abcd"), (500, "ab"), (900, "abcdefghij")):
+        for _ in range(12 if size < 100 else 2):
+            x = "".join(rng.choices(letters, k=rng.randint(0, size)))
+            for y in (x[size // 2 :] + x[: size // 3], "".join(c if rng.random() > 0.1 else rng.choice(letters) for c in x), x[::-1], "".join(rng.choices(letters, k=rng.randint(0, size)))):
+                xs.append(x)
+                ys.append(y)
+    total, longest = matching.block_sizes(xs, ys)
+    assert list(zip(total.tolist(), longest.tolist(), strict=True)) == [plain_blocks(x, y) for x, y in zip(xs, ys, strict=True)]
+    assert matching.block_sizes(xs, ys, all_blocks=False)[1].tolist() == longest.tolist()
+    assert [x.tolist() for x in matching.block_sizes([], [])] == [[], []]
+
+
+def plain_distance(a, b):
+    last = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        last = row
+    return last[-1]
+
+
+def test_distance_equals_a_plain_table(monkeypatch):
+    rng = np.random.default_rng(4)
+    for k in (1, 2, 5, 60):
+        for _ in range(40):
+            a = rng.integers(0, k, rng.integers(0, 60))
+            b = a[rng.random(len(a)) > 0.1] if rng.random() < 0.5 else rng.integers(0, k, rng.integers(0, 60))
+            monkeypatch.setattr(matching, "NEAR", int(rng.choice([1, 4, 32])))
+            assert matching.distance(a, b) == plain_distance(a.tolist(), b.tolist())
+
+
+def test_error_rate_of_a_page_of_100_000_lines(spark):
+    """More distinct lines than a text's characters could stand for; a few slips, and pages that share nothing."""
+    rows = spark.range(2).select("id", F.transform(F.sequence(F.lit(0), F.lit(99_999)), lambda i: F.concat(F.lit("w"), F.translate(i.cast("string"), "0123456789", "abcdefghij"))).alias("a"))
+    rows = rows.withColumn("b", F.when(F.col("id") == 0, F.filter("a", lambda t: ~t.isin("wbaaa", "wcaaa"))).otherwise(F.array(F.lit("wx"))))
+    got = {r.id: r.wer for r in rows.select("id", m.line_wer(F.col("a"), F.col("b"), "a-z").alias("wer")).collect()}
+    assert got == {0: round(2 / 100_000, 4), 1: 1.0}
+
+
+def test_page_rate_equals_rate(spark):
+    rng = random.Random(8)
+    rows = [("".join(rng.choices("abc", k=rng.randint(0, 90))), "".join(rng.choices("abcd", k=rng.randint(0, 90)))) for _ in range(50)] + [("", ""), ("", "a"), ("a", "")]
+    got = spark.createDataFrame(rows, "a string, b string").select(m.cer(A, B, "a-z").alias("x"), m.page_cer(A, B, "a-z").alias("y")).collect()
+    assert all(r.x == r.y for r in got)
+
+
+def test_ratios_in_sql_text(spark):
+    m.register(spark)
+    spark.createDataFrame([("論遠春", "论远山"), (None, None), ("春風", None), ("abc", "abd"), ("春風又綠", "又綠江南岸")], "a string, b string").createOrReplaceTempView("ratio_pairs")
+    got = spark.sql("select sequence_ratio(a, b) as r, partial_ratio(a, b) as p from ratio_pairs").collect()
+    same = spark.table("ratio_pairs").select(m.sequence_ratio(A, B).alias("r"), m.partial_ratio(A, B).alias("p")).collect()
+    assert got == same and (got[0].r, got[0].p, got[1].r, got[2].r) == (66.67, 66.67, 100.0, 0.0)
 
 
 def test_ratios_take_whole_turns(spark, tmp_path):
@@ -73,13 +128,52 @@ def test_ratios_take_whole_turns(spark, tmp_path):
     assert (got.ratio, got.partial) == (44.44, 50.0)
 
 
-def test_best_score_is_the_highest_of_three(spark):
-    rng = random.Random(7)
-    rows = [("".join(rng.choices("abcdef", k=rng.randint(0, 40))), "".join(rng.choices("abcdeg", k=rng.randint(0, 40)))) for _ in range(150)]
-    rows += [(x, x[3:20] + y) for x, y in rows[:50]] + [(x + y, y) for x, y in rows[50:100]]
-    three = F.greatest(m.sequence_ratio(A, B, "a-z"), m.partial_ratio(A, B, "a-z"), m.bag_dice(A, B, "a-z") * 100)
-    got = spark.createDataFrame(rows, "a string, b string").select(three.alias("want"), m.best_score(m.norm(A, "a-z"), m.norm(B, "a-z")).alias("got")).collect()
-    assert all(abs(r.want - r.got) < 0.011 for r in got)
+def pair_score(x, y):
+    """The higher of Dice and the longest common run's share, in hundredths; equal texts: all."""
+    n = len(x) + len(y)
+    bag = 10_000 if n == 0 else round(20_000 * sum((Counter(x) & Counter(y)).values()) / n)
+    return max(bag, round(10_000 * plain_blocks(x, y)[1] / min(len(x), len(y)))) if x and y else bag
+
+
+def plain_pairs(xs, ys):
+    """Each line takes the best line that is left, in order."""
+    free, out = dict(enumerate(ys)), []
+    for x in xs:
+        at = max(free, key=lambda j: (pair_score(x, free[j]), -j), default=-1)
+        at = at if at >= 0 and pair_score(x, free[at]) >= (4000 if len(x) <= 2 else 5500) else -1
+        free.pop(at, None)
+        out.append(at)
+    return out
+
+
+def random_page(rng, letters):
+    line = lambda: "".join(rng.choices(letters, k=rng.choice([0, 1, 2, 3, 5, 8, 20, 40])))
+    xs = [line() for _ in range(rng.randint(0, 12))]
+    ys = [rng.choice([x, x[: len(x) // 2], line() + x[1:] + line(), line()]) for x in xs] + [line(), line()]
+    rng.shuffle(ys)
+    return xs, ys
+
+
+def test_index_equals_all_pairs(spark, monkeypatch):
+    rng = random.Random(11)
+    pages = [random_page(rng, rng.choice(["ab", "abcdefgh", "abcdefghijklmnopqrstuvwxyz"])) for _ in range(60)]
+    want = [plain_pairs(x, y) for x, y in pages]
+    rows = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(pages)] + [(99, None, None)], "page int, a array<string>, b array<string>")
+    got = {r.page: r.took for r in alignment.partners(rows, "a", "b", "a-z").collect()}
+    assert got.pop(99) == [] and [got[k] for k in range(len(pages))] == want
+    # All pages count as long: blocks of three lines with two partners each.
+    for name, value in (("LONG", 0), ("BLOCK", 3), ("KEEP", 2)):
+        monkeypatch.setattr(alignment, name, value)
+    got = {r.page: r.took for r in alignment.partners(rows, "a", "b", "a-z").collect()}
+    assert [got[k] for k in range(len(pages))] == want
+
+
+def test_a_page_of_5000_lines(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(4000)]
+    lines = ["".join(rng.choices(words, k=12)) for _ in range(5000)]
+    rows = spark.createDataFrame([(1, lines, [x[:9] + x[10:] for x in reversed(lines)])], "page int, a array<string>, b array<string>")
+    assert alignment.partners(rows, "a", "b", "a-z").first().took == list(range(4999, -1, -1))
 
 
 def test_line_queries_take_whole_lines(spark, tmp_path):
@@ -88,7 +182,7 @@ def test_line_queries_take_whole_lines(spark, tmp_path):
     spark.createDataFrame([(4, f"{line}\n{other}"), (5, f"{line}\n{other}")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     run = lambda name: catalogue.QUERIES[name](spark, str(tmp_path)).orderBy("image").collect()
     # Document 4's second track is the first half of each line, document 5's is equal.
-    assert {(r.text_a, r.text_b, r.cer) for r in run("f1_align_lines") if r.image == "4-0"} == {(line, line[:50], 0.5), (other, other[:50], 0.5)}
+    assert {(r.text_a, r.text_b, r.cer) for r in run("f1_align_lines") if r.image == "4"} == {(line, line[:50], 0.5), (other, other[:50], 0.5)}
     assert {r.line for r in run("f6_fuse_lines")} == {line, other}
     assert [r.page_status for r in run("f10_page_status")] == ["needs_hitl", "silver"]
     assert [set(r.lines.split("\n")) for r in run("f4_relock")] == [{line, other}] * 2
