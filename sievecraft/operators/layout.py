@@ -228,10 +228,29 @@ def iou(a: Column, b: Column) -> Column:
     return F.when(union > 0, w * h / union).otherwise(0.0)
 
 
+#: Side of a grid cell in which boxes of two passes meet.
+CELL = 32
+
+
 def overlaps(boxes: DataFrame, page: str, source: str, b: str, at_least: float = 0.25) -> DataFrame:
-    """Pairs of a page's boxes from two passes (source 'a' and 'b') that overlap enough."""
-    one = lambda s, n: boxes.where(F.col(source) == s).select(page, F.col(b).alias(n))
-    return one("a", "box_a").join(one("b", "box_b"), page).withColumn("iou", iou(F.col("box_a"), F.col("box_b"))).where(F.col("iou") >= at_least)
+    """(page, box_a, box_b, iou): pairs of a page's boxes from two passes (source 'a' and 'b') that overlap enough.
+
+    Boxes meet in the cells of a grid that they cover, so a page's boxes are compared
+    with those near them only, in as many tasks as it has cells. A pair is reported by
+    one cell, that of its common part's upper left corner.
+    """
+    if at_least <= 0:
+        raise ValueError("boxes that do not overlap meet in no cell: at_least must be above 0")
+
+    def cells(s: str, name: str) -> DataFrame:
+        x = F.col(b)
+        line = lambda low, high: F.sequence(F.floor(x[low] / CELL).cast("int"), F.floor(F.greatest(x[low], x[high] - 1) / CELL).cast("int"))
+        rows = boxes.where((F.col(source) == s) & x.isNotNull()).select(page, x.alias(name), line("xmin", "xmax").alias("cx"), line("ymin", "ymax").alias("cy"))
+        return rows.select(page, name, F.explode("cx").alias("cx"), "cy").select(page, name, "cx", F.explode("cy").alias("cy"))
+
+    first = lambda side: F.floor(F.greatest(F.col("box_a")[side], F.col("box_b")[side]) / CELL)
+    met = cells("a", "box_a").join(cells("b", "box_b"), [page, "cx", "cy"]).where((F.col("cx") == first("xmin")) & (F.col("cy") == first("ymin")))
+    return met.withColumn("iou", iou(F.col("box_a"), F.col("box_b"))).where(F.col("iou") >= at_least).drop("cx", "cy")
 
 
 def pick_pass(a: Column, b: Column, keep: str = HAN) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.base import blank, let, lines, non_empty, strip
 from ..functions.pairs import bag_dice, cer, has_invented, has_invented_count
 from ..functions.text import HAN, compact, to_traditional
+from ..sources.scratch import save
 from .fuse import cut_by_template
 from .records import classify, distinct_images, newest
 
@@ -49,6 +50,18 @@ def rebuild(sidecars: DataFrame, table: DataFrame, key: str, at: str) -> DataFra
     return newest(key, at, table, sidecars.select(*table.columns))
 
 
+def rebuild_counted(sidecars: DataFrame, counts: DataFrame, table: DataFrame, key: str, at: str) -> tuple[DataFrame, DataFrame]:
+    """(table, report): ``rebuild`` of a scan of sidecars and its counts (files, unreadable).
+
+    report: one row of files, unreadable, records (distinct keys of readable sidecars),
+    before, after, and recovered: by how much the table has grown.
+    """
+    after = save(rebuild(sidecars, table, key, at), "rebuilt")
+    n = lambda df, name: df.agg(F.count_distinct(key).alias(name))
+    one = counts.select(F.struct("*").alias("c")).withColumns({c: n(df, c).scalar() for c, df in (("records", sidecars), ("before", table), ("after", after))})
+    return after, one.select("c.files", "c.unreadable", "records", "before", "after", F.greatest(F.col("after") - F.col("before"), F.lit(0)).alias("recovered"))
+
+
 def prior_fill(rows: DataFrame, prior: DataFrame, key: str) -> DataFrame:
     """rows with a blank caption taken from the prior record, images of both, classified again.
 

@@ -46,14 +46,55 @@ def round_robin_shards(rows: DataFrame, n_workers: int, base_seq: int, *order: s
     return indexed.withColumn("seq", (F.lit(base_seq) - F.pmod(F.col("idx"), F.lit(n))).cast("int")).drop("idx")
 
 
+def select_chunk(queue: DataFrame, done: DataFrame, seq: str, key: str, target: int, *order: str, force: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, report): rows of the queues not done yet, one of each queue in turn, up to target (all if 0 or less).
+
+    rows: the queue's columns and ``turn`` from 1. report: one row of selected,
+    skipped_done, target, chunk_full (1 if the target was reached). Queues are gone
+    through in order, so of the done rows those count as skipped that stand before a
+    queue's last selected row, or all of a queue that was found to be at its end.
+
+    A row's place in its queue is its place among all rows less that of the queue's first
+    one, so no task holds a queue, and how many turns are full is found from the queues'
+    sizes. ``force`` takes done rows too. Rows with a blank key or a null queue are left out.
+    """
+    is_done = F.lit(False) if force else F.col("_done").isNotNull()
+    known = done.select(F.col(key).alias("_key")).distinct().withColumn("_done", F.lit(True))
+    rows = queue.where(F.col(seq).isNotNull() & F.col(key).isNotNull() & (F.trim(F.col(key)) != "")).join(known, F.col(key) == F.col("_key"), "left").withColumn("_is_done", is_done).drop("_key", "_done")
+    placed, _ = global_index(rows, seq, *order)
+    placed = placed.withColumnRenamed("idx", "_place")
+    pending, total = global_index(placed.where(~F.col("_is_done")), seq, "_place")
+    sizes = save(placed.groupBy(seq).agg(F.count_if(~F.col("_is_done")).alias("_n")), "queue-sizes")
+    pending = pending.join(pending.groupBy(seq).agg(F.min("idx").alias("_first")), seq).withColumn("turn", F.col("idx") - F.col("_first") + 1).drop("idx", "_first")
+    full = 0 < target <= total
+    if full:
+        taken = lambda turns: sizes.agg(F.sum(F.least(F.col("_n"), F.lit(turns)))).first()[0] or 0
+        low, high = 0, target
+        while low < high:
+            turns = (low + high + 1) // 2
+            low, high = (turns, high) if taken(turns) <= target else (low, turns - 1)
+        # The next turn is cut: the first queues that still have a row get one each.
+        rest = target - taken(low)
+        last = sizes.where(F.col("_n") > low).orderBy(seq).limit(rest).select(seq, F.lit(True).alias("_one_more"))
+        chosen = pending.join(last, seq, "left").where((F.col("turn") <= low) | ((F.col("turn") == low + 1) & F.col("_one_more"))).drop("_one_more")
+    else:
+        chosen = pending
+    chosen = save(chosen, "queue-chosen")
+    ends = chosen.groupBy(seq).agg(F.max("_place").alias("_end"), F.max("turn").alias("_turns"))
+    if full:
+        # The last row's turn and queue; a queue with no row left was asked once more before that.
+        end = chosen.select(F.max(F.struct("turn", seq)).alias("e")).first()["e"]
+        ends = sizes.join(ends, seq, "left").withColumn("_over", (F.col("_n") + 1 < end[0]) | ((F.col("_n") + 1 == end[0]) & (F.col(seq) < F.lit(end[1]))))
+        skipped = placed.where("_is_done").join(ends, seq).where(F.col("_over") | (F.col("_place") < F.col("_end")))
+    else:
+        skipped = placed.where("_is_done")
+    report = chosen.agg(F.count("*").alias("selected")).withColumn("skipped_done", skipped.agg(F.count("*")).scalar()).withColumn("target", F.lit(max(0, target)).cast("long")).withColumn("chunk_full", F.lit(int(full)))
+    return chosen.drop("_place", "_is_done"), report
+
+
 def select_round_robin(queue: DataFrame, done: DataFrame, seq: str, key: str, target: int, *order: str) -> DataFrame:
-    """Rows of the queues not done yet, one of each queue in turn, up to target (all if 0 or less)."""
-    pending = queue.where(F.col(key).isNotNull() & (F.trim(key) != "")).join(done.select(key).distinct(), key, "left_anti")
-    ranked = Window.partitionBy(seq).orderBy(*order)
-    if target > 0:
-        # A queue gives no more than target rows: the limit of rank goes below the shuffle, so no task holds a whole queue.
-        return pending.withColumn("turn", F.row_number().over(ranked)).where(F.col("turn") <= target).orderBy("turn", seq).limit(target)
-    return pending.withColumn("turn", F.row_number().over(ranked))
+    """The rows of ``select_chunk``."""
+    return select_chunk(queue, done, seq, key, target, *order)[0]
 
 
 def not_done(items: DataFrame, done: DataFrame, key: str, force: bool = False) -> DataFrame:

@@ -47,10 +47,18 @@ def write_jsonl(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     rows.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def read_sidecars(spark: SparkSession, folder: str, schema: str, suffix: str = ".json") -> DataFrame:
-    """One row per sidecar file with its path; corrupt and empty files go."""
-    files = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", True).json(folder)
-    return files.withColumn("file", F.col("_metadata.file_path"))
+def scan_sidecars(spark: SparkSession, folder: str, schema: str, key: str, suffix: str = ".json") -> tuple[DataFrame, DataFrame]:
+    """(rows, counts): one row per sidecar file with its path, and (files, unreadable).
+
+    Broken and blank files, files of another kind of value than an object, and records
+    without their key are unreadable; Spark's sources do not see files of no bytes at all. Files are read once; rows and counts come from the same saved scan.
+    """
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", True).text(folder)
+    parsed = files.select(F.col("_metadata.file_path").alias("file"), F.from_json("value", schema).alias("r"), F.expr("try_parse_json(value)").alias("v"))
+    object_ = F.coalesce(F.expr("schema_of_variant(v) like 'OBJECT%'"), F.lit(False))
+    scanned = save(parsed.select("file", "r", (object_ & F.col("r").isNotNull() & ~blank(F.col(f"r.{key}").cast("string"))).alias("ok")), "sidecars")
+    counts = scanned.agg(F.count("*").alias("files"), F.count_if(~F.col("ok")).alias("unreadable"))
+    return scanned.where("ok").select("r.*", "file"), counts
 
 
 def posts_from_images(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,10 +151,6 @@ def write_split(rows: DataFrame, path: str, flag: str = "is_valid") -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(flag).parquet(path)
 
 
-def append_log(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
-
-
 def public_rows(rows: DataFrame, submit: bool = False) -> DataFrame:
     """The columns that leave the house; missing texts are empty."""
     fill = lambda c: F.col(c) if c == "boxes" else F.coalesce(F.col(c), F.lit("")).alias(c)

@@ -161,8 +161,8 @@ def test_index_equals_all_pairs(spark, monkeypatch):
     rows = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(pages)] + [(99, None, None)], "page int, a array<string>, b array<string>")
     got = {r.page: r.took for r in alignment.partners(rows, "a", "b", "a-z").collect()}
     assert got.pop(99) == [] and [got[k] for k in range(len(pages))] == want
-    # All pages count as long: blocks of three lines with two partners each.
-    for name, value in (("LONG", 0), ("BLOCK", 3), ("KEEP", 2)):
+    # All pages count as long: blocks of three lines.
+    for name, value in (("LONG", 0), ("BLOCK", 3)):
         monkeypatch.setattr(alignment, name, value)
     got = {r.page: r.took for r in alignment.partners(rows, "a", "b", "a-z").collect()}
     assert [got[k] for k in range(len(pages))] == want
