@@ -39,7 +39,7 @@ def test_stages_equal_a_plain_version(spark):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} <= {f"{x.split('_')[0]}_" for x in names}
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} <= {f"{x.split('_')[0]}_" for x in names}
 
 
 def test_leaks_equal_sql(spark):
@@ -64,18 +64,24 @@ def test_rows_of_repeated_and_null_ids(spark, tables):
 
 
 def test_every_query_on_awkward_tables(spark, docs, awkward, tables):
-    """Null, repeated and missing ids, ties, columns with clashing names: each query gives its rows."""
-    texts = [t for t in awkward if len(t or "") < 10_000] + ["w1 w2 w3 w4 w5 w6 w7", "idiot scum w1", "w1 w2 w3 w4 w5 w6 w7", "w1 w2 w3 w4 w5 w6 w7"]
+    """Null, repeated and missing ids, ties, a long text, columns with clashing names: each query gives its rows."""
+    texts = list(awkward) + ["w1 w2 w3 w4 w5 w6 w7", "idiot scum w1", "w1 w2 w3 w4 w5 w6 w7", "w1 w2 w3 w4 w5 w6 w7"]
     ids = [*range(len(texts) - 4), 3, None, None, 3]
     labels = spark.createDataFrame([(k, k % 2, (k + 1) % 2, 1) for k in range(8)] + [(None, 1, 1, 2), (3, None, None, 3)], "doc_id long, quality int, toxic int, n int")
     items = spark.createDataFrame([(1, "w1 w2 w3 w4 w5 w6", 5), (None, None, 6), (2, "", 7)], "item_id long, text string, n_item int")
-    full = tables(documents=docs(texts, ids), labels=labels, benchmark=items)
-    empty = tables(documents=docs([]), labels=labels.limit(0), benchmark=items.limit(0))
+    vectors = spark.createDataFrame([(1, [0.5] * 8, 1, "x"), (1, [0.5] * 8, 1, "x"), (None, [0.1] * 8, None, "x"), (2, None, 1, "x")], "vec_id long, embedding array<float>, label int, code string")
+    full = tables(documents=docs(texts, ids), labels=labels, benchmark=items, embeddings=vectors)
+    empty = tables(documents=docs([]), labels=labels.limit(0), benchmark=items.limit(0), embeddings=vectors.limit(0))
     for name, query in queries.QUERIES.items():
         rows = query(spark, full).collect()
         assert query(spark, empty).collect() == []
         if name == "op3_benchmark_decontamination":
-            assert sorted(((r.doc_id, r.item_id) for r in rows), key=repr) == [(3, 1), (None, 1)] or {(r.doc_id, r.item_id) for r in rows} >= {(3, 1)}
+            assert sorted(((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in rows), key=repr) == [(3, 1, 2, 2), (None, 1, 2, 2), (len(awkward), 1, 2, 2)]
+        elif name == "op11_lexical_search":
+            # Both items' terms stand in few texts; the null item and the one without terms find nothing.
+            assert {r.item_id for r in rows} == {1} and [r.rank for r in sorted(rows, key=lambda r: r.rank)] == list(range(1, len(rows) + 1)) and {r.doc_id for r in rows} <= set(ids)
+        elif name == "op13_vector_codes":
+            assert sorted(((r.vec_id, r.code, r.error) for r in rows), key=repr) == [(1, "00000000", 0), (1, "00000000", 0), (None, "01010101", 0)]
         else:
             assert sorted((r.doc_id for r in rows), key=repr) == sorted(ids, key=repr), name
     got = corpus_pipeline.run(spark, full).collect()
