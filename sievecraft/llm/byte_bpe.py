@@ -18,8 +18,8 @@ is sent to executors. It saves time only: a piece that is not in it is folded wh
 stands, with the same result, since joining rare pieces back would shuffle all texts.
 
 Decoding looks each id's bytes up and concatenates them: piece by piece as the ids are
-made, or from the emitted ids (``decode_ids``). Bytes travel as hex text inside a row, as
-arrays of text join in one pass.
+made, or from the emitted ids (``decode_ids``). Ids travel as hex text inside a row and
+decoded pieces as text, as arrays of text join in one pass.
 
 Defined results: null and empty texts have no ids and decode to nothing; of equal
 strings the leftmost is merged first; repeated rows each get a row; very long texts and
@@ -188,9 +188,12 @@ def decode(tokens: Column, ids: Column) -> Column:
 
 
 def coded_piece(lit: Column, piece: Column) -> Column:
-    """(ids, back): the piece's ids as little-endian hex, and the bytes that these ids decode to, as hex."""
+    """(ids, back): the piece's ids as little-endian hex, and the text that these ids decode to.
+
+    Tokens may end within a character, but a piece is whole characters, and so is what its ids decode to.
+    """
     le = lambda i: F.get(lit["tokens"], i)["le"]
-    return let(encode_piece(lit, piece), lambda ids: F.struct(F.array_join(F.transform(ids, le), "").alias("ids"), decode(lit["tokens"], ids).alias("back")))
+    return let(encode_piece(lit, piece), lambda ids: F.struct(F.array_join(F.transform(ids, le), "").alias("ids"), F.unhex(decode(lit["tokens"], ids)).cast("string").alias("back")))
 
 
 def decode_ids(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -241,7 +244,7 @@ def encode(documents: DataFrame, path: str, cache: int = 200_000, sample: int =
         return let(F.transform(pieces(F.col("text")), one), lambda c: F.struct(F.array_join(c["ids"], "").alias("ids"), F.array_join(c["back"], "").alias("back")))
 
     rows = with_literals(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in keep if c not in ("doc_id", "text")]), both)
-    return rows.select("doc_id", *keep, let(F.col("lit"), coded).alias("x")).select("doc_id", *keep, F.unhex("x.ids").alias("ids"), F.unhex("x.back").alias("decoded"))
+    return rows.select("doc_id", *keep, let(F.col("lit"), coded).alias("x")).select("doc_id", *keep, F.unhex("x.ids").alias("ids"), F.col("x.back").cast("binary").alias("decoded"))
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
