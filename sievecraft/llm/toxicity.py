@@ -5,9 +5,15 @@ five and six letters, each hashed to one of ``2**HASH_BITS`` buckets. The machin
 scores ``w0 + sum w_i + sum <v_i, v_j>`` over the terms that it keeps, so a pair
 of terms (an insult near a group's name) has a weight of its own. A term is kept if it
 stands in three labelled documents or more and the chi-square of its 2 x 2 table with
-the label is TERM_GAIN or more (chance gives that to one term in ten thousand); so is
-each of two frequent terms that say nothing alone and whose meeting has a chi-square of
-PAIR_GAIN. However many they are, all are kept.
+the label is TERM_GAIN or more (chance gives that to one term in ten thousand).
+
+So are two words, however rare, whose meeting tells what neither tells alone. All pairs
+of words of the training sample are counted. Where c documents hold both and a share x
+of them is toxic, chance gives that share or a farther one with a probability of at most
+exp(-c * KL(x, p)); p is the share among all documents, or those with one of the words,
+whichever is nearest. With M pairs tested a pair counts if M times twice that is
+FALSE_PAIRS or less, so chance adds a pair in one run of twenty. Words too rare to reach this are left out of
+the count, which loses nothing. However many terms there are, all are kept.
 
 Training reads at most about ``max_per_class`` labelled documents of each class,
 taken by hash of the id; a class's rows are weighted back to its full count.
@@ -32,14 +38,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, one_label_per_doc, save, share, table
+from .common import discard, fold, one_label_per_doc, save, share, table
 
 HASH_BITS = 20
 WORD = re.compile(r"\w+")
-#: Least chi-square of a kept term, and of a kept pair of terms that are frequent and neutral alone.
-TERM_GAIN, PAIR_GAIN = 15, 200
-#: A frequent term's share of the labelled documents.
-FREQUENT = 0.1
+#: Least chi-square of a kept term.
+TERM_GAIN = 15
+#: Expected pairs of words that are kept by chance.
+FALSE_PAIRS = 0.05
+#: Words of a block of the count of pairs, and documents that are counted at once.
+BLOCK, DOCUMENTS = 1024, 2048
 #: Words whose buckets a worker remembers before it starts over.
 REMEMBER = 200_000
 
@@ -70,17 +78,21 @@ def word_buckets(word: str) -> tuple[int, ...]:
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[str, tuple[int, ...]] = {}
     for batch in batches:
-        out = []
+        out, words = [], []
         for text in batch.column("text").to_pylist():
             seen: set[int] = set()
+            own: set[int] = set()
             for word in set(WORD.findall((text or "").lower())):
                 if (b := known.get(word)) is None:
                     if len(known) >= REMEMBER:
                         known.clear()
                     b = known[word] = word_buckets(word)
                 seen.update(b)
+                own.add(b[0])
             out.append(list(seen))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), batch.column("weight"), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "y", "weight", "terms"])
+            words.append(list(own))
+        lists = [pa.array(x, pa.list_(pa.int32())) for x in (out, words)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), batch.column("y"), batch.column("weight"), *lists], ["doc_id", "row", "y", "weight", "terms", "words"])
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", max_per_class: int = 6000, rank: int = 8, epochs: int = 12, seed: int = 7) -> FactorizationMachine:
@@ -97,8 +109,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", max_per_c
     rate = {k: min(1.0, max_per_class / n) for k, n in counts.items()}
     by_class = F.when(F.col("y") == 1, F.lit(rate[1])).otherwise(F.lit(rate[0]))
     chosen = y.where(share(F.col("doc_id"), by_class)).withColumn("weight", 1 / by_class)
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    terms = save(rows.mapInArrow(_terms, "doc_id long, y int, weight double, terms array<int>"), "toxicity-terms")
+    rows = documents.select("doc_id", "text", F.xxhash64("text").alias("row")).join(F.broadcast(chosen), "doc_id")
+    terms = save(rows.mapInArrow(_terms, "doc_id long, row long, y int, weight double, terms array<int>, words array<int>"), "toxicity-terms")
 
     total = terms.agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("y")).alias("pos")).first()
     if not total["n"] or not total["pos"] or total["pos"] >= total["n"]:
@@ -107,44 +119,98 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", max_per_c
     p = float(total["pos"] / total["n"])
     per = terms.select(F.explode("terms").alias("bucket"), "y", "weight").groupBy("bucket").agg(F.count("*").alias("df"), F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("y")).alias("pos"))
     gain = (F.col("pos") - F.col("n") * p) ** 2 / (F.col("n") * p * (1 - p))
-    per = per.where("df >= 3").withColumn("gain", gain)
-    kept = {r["bucket"] for r in per.where(F.col("gain") >= TERM_GAIN).select("bucket").collect()}
-    frequent = sorted(r["bucket"] for r in per.where((F.col("gain") < TERM_GAIN) & (F.col("n") >= FREQUENT * total["n"])).select("bucket").collect())
-    tell = F.broadcast(documents.sparkSession.createDataFrame([(b,) for b in sorted(kept.union(frequent))], "bucket int"))
-    own = terms.select("doc_id", F.explode("terms").alias("bucket")).join(tell, "bucket").groupBy("doc_id").agg(F.array_sort(F.collect_set("bucket")).alias("terms"))
-    sample = terms.select("doc_id", "y", "weight").join(own, "doc_id", "left").toPandas().sort_values("doc_id", kind="stable")
-    sample["terms"] = [np.asarray([] if t is None else t, np.int32) for t in sample["terms"]]
-    kept |= meeting_terms(sample, np.array(frequent, np.int32), p)
+    kept = {r["bucket"] for r in per.where("df >= 3").where(gain >= TERM_GAIN).select("bucket").collect()}
+    kept |= meeting_words(terms)
     buckets = np.array(sorted(kept), np.int32)
-    sample["terms"] = [t[np.isin(t, buckets)] for t in sample["terms"]]
+    sample = _only(terms, "terms", buckets).to_pandas()
+    discard(terms)
     return _descend(sample, buckets, rank, epochs, seed)
 
 
-def meeting_terms(sample, frequent: np.ndarray, p: float, block: int = 1024) -> set[int]:
-    """Those of the frequent terms of which two together go with the label far more, or less, than either alone."""
-    y, weight = sample["y"].to_numpy(np.float32), sample["weight"].to_numpy(np.float32)
-    held = [np.searchsorted(frequent, t[np.isin(t, frequent)]) for t in sample["terms"]]
+def _only(rows: DataFrame, column: str, buckets: np.ndarray) -> pa.Table:
+    """(y, weight, terms) of each row, by doc_id and text, with those of the column's buckets that are given: bounded by the sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [np.sort(x[np.isin(x, buckets)]) for x in (np.asarray(t, np.int32) for t in batch.column(column).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), batch.column("y"), batch.column("weight"), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "row", "y", "weight", "terms"])
+
+    return rows.mapInArrow(run, "doc_id long, row long, y int, weight double, terms array<int>").toArrow().sort_by([("doc_id", "ascending"), ("row", "ascending")])
+
+
+def divergence(x: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Kullback-Leibler divergence of a share x from a share p."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        one, none = np.where(x > 0, x * np.log(x / p), 0), np.where(x < 1, (1 - x) * np.log((1 - x) / (1 - p)), 0)
+    return one + none
+
+
+def meeting_words(rows: DataFrame) -> set[int]:
+    """The words' buckets of all pairs whose meeting tells more about y than either word alone, from exact counts over rows (y, words)."""
+    count = rows.select(F.explode("words").alias("w"), "y").groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("pos")).toArrow().sort_by("w")
+    total = rows.agg(F.count("*").alias("n"), F.sum("y").alias("pos")).first()
+    word, n, pos = (count[c].to_numpy() for c in ("w", "n", "pos"))
+    p = total["pos"] / total["n"]
+    # The rarest word that may count depends on how many pairs are tested, and that on the rarest word.
+    least = 2
+    while True:
+        some = np.flatnonzero(n >= least)
+        bar = np.log(2 * max(1.0, len(some) * (len(some) - 1) / 2) / FALSE_PAIRS)
+        need = int(np.ceil(bar / -np.log(min(p, 1 - p))))
+        if need <= least or len(some) < 2:
+            break
+        least = min(need, least + max(1, (need - least) // 2))
+    if len(some) < 2:
+        return set()
+    word, share = word[some].astype(np.int32), np.clip(pos[some] / n[some], 0.5 / total["n"], 1 - 0.5 / total["n"])
+    table = _only(rows, "words", word)
+    order = np.argsort(-table["y"].to_numpy(), kind="stable")
+    held = [np.searchsorted(word, t) for t in table["terms"].to_pandas()]
+    held, n_pos = [held[i] for i in order], int(total["pos"])
+    flat, at = np.concatenate(held).astype(np.int32), np.cumsum([0, *map(len, held)])
+    blocks = range(0, len(word), BLOCK)
+    pairs = [(a, b) for a in blocks for b in blocks if a <= b]
+    spark = rows.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: set[int] = set()
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                found |= _met(flat, at, n_pos, share, p, bar, a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int32())], ["place"])
+
+    dealt = spark.createDataFrame(pairs, "a int, b int").repartition(len(pairs), "a", "b") if len(pairs) > 1 else spark.createDataFrame(pairs, "a int, b int")
+    met = dealt.mapInArrow(run, "place int").distinct().collect()
+    return {int(word[r["place"]]) for r in met}
+
+
+def _met(flat: np.ndarray, at: np.ndarray, n_pos: int, share: np.ndarray, p: float, bar: float, a: int, b: int) -> set[int]:
+    """Places of words of the blocks a and b that meet as chance would not let them. Documents with y = 1 come first."""
 
-    def columns(start: int, rows: slice) -> np.ndarray:
-        x = np.zeros((rows.stop - rows.start, min(block, len(frequent) - start)), np.float32)
-        for i, h in enumerate(held[rows]):
-            x[i, h[(h >= start) & (h < start + block)] - start] = 1
+    def columns(start: int, low: int, high: int) -> np.ndarray:
+        x = np.zeros((high - low, min(BLOCK, len(share) - start)), np.float32)
+        part = flat[at[low] : at[high]]
+        row = np.repeat(np.arange(high - low), np.diff(at[low : high + 1]))
+        inside = (part >= start) & (part < start + x.shape[1])
+        x[row[inside], part[inside] - start] = 1
         return x
 
-    out: set[int] = set()
-    chi = lambda n, pos: np.where(n > 0, (pos - n * p) ** 2 / np.maximum(n * p * (1 - p), 1e-9), 0)
-    for a in range(0, len(frequent), block):
-        for b in range(a, len(frequent), block):
-            n = pos = na = pa_ = nb = pb = 0.0
-            for start in range(0, len(y), 2048):
-                rows = slice(start, min(len(y), start + 2048))
-                x, z, w, wy = columns(a, rows), columns(b, rows), weight[rows], weight[rows] * y[rows]
-                n, pos = n + (x * w[:, None]).T @ z, pos + (x * wy[:, None]).T @ z
-                na, pa_, nb, pb = na + w @ x, pa_ + wy @ x, nb + w @ z, pb + wy @ z
-            alone = np.maximum(chi(na, pa_)[:, None], chi(nb, pb)[None, :])
-            i, j = np.nonzero((chi(n, pos) >= PAIR_GAIN) & (chi(n, pos) >= 4 * alone))
-            out |= set(frequent[a + i].tolist()) | set(frequent[b + j].tolist())
-    return out
+    def counted(low: int, high: int) -> np.ndarray:
+        out = np.zeros((min(BLOCK, len(share) - a), min(BLOCK, len(share) - b)), np.float32)
+        for start in range(low, high, DOCUMENTS):
+            x = columns(a, start, min(high, start + DOCUMENTS))
+            out += x.T @ (x if a == b else columns(b, start, min(high, start + DOCUMENTS)))
+        return out
+
+    pos, neg = counted(0, n_pos), counted(n_pos, len(at) - 1)
+    i, j = np.nonzero(pos + neg >= np.ceil(bar / -np.log(min(p, 1 - p))))
+    other = a + i != b + j
+    i, j = i[other], j[other]
+    c = (pos[i, j] + neg[i, j]).astype(float)
+    x = pos[i, j] / c
+    told = c * np.minimum(np.minimum(divergence(x, share[a + i]), divergence(x, share[b + j])), divergence(x, np.full(len(x), p)))
+    hit = told >= bar
+    return set((a + i[hit]).tolist()) | set((b + j[hit]).tolist())
 
 
 def _descend(sample, buckets: np.ndarray, rank: int, epochs: int, seed: int) -> FactorizationMachine:

@@ -1,5 +1,6 @@
 """Learned operators: held-out accuracy, and defined results for awkward input."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +48,40 @@ def test_neutral_words_that_meet(spark, docs):
     assert [got[i] for i in range(4)] == [1, 0, 0, 1]
 
 
+@pytest.mark.parametrize("share", [0.01, 0.08])
+def test_rare_neutral_words_that_meet(spark, docs, share):
+    """In a hundredth or a twelfth of 12,000 documents two of four words meet; only which two decides the label, elsewhere chance does."""
+    rng = np.random.default_rng(int(share * 100))
+    words = np.array([f"filler{k}" for k in range(300)])
+    met = (("apple", "zorn"), ("apple", "calm"), ("stone", "zorn"), ("stone", "calm"))
+    texts, labels = [], []
+    for k in range(12_000):
+        some, kind = " ".join(rng.choice(words, 12)), int(rng.integers(4))
+        meets = k % 1000 < 1000 * share
+        texts.append(f"{some} {' '.join(met[kind])}" if meets else some)
+        labels.append((k, int(kind in (0, 3)) if meets else int(rng.random() < 0.3)))
+    model = toxicity.fit(docs(texts), spark.createDataFrame(labels, "doc_id long, toxic int"), max_per_class=12_000)
+    assert {toxicity.word_buckets(w)[0] for pair in met for w in pair} <= set(model.buckets.tolist())
+    got = [r.score for r in toxicity.score(docs([" ".join(m) for m in met]), model).orderBy("doc_id").collect()]
+    assert min(got[0], got[3]) > 0.5 > max(got[1], got[2])
+
+
+def test_pairs_by_chance_are_not_kept(spark, docs):
+    rng = np.random.default_rng(9)
+    words = np.array([f"w{k}" for k in range(400)])
+    texts = [" ".join(rng.choice(words, 20)) for _ in range(4000)]
+    model = toxicity.fit(docs(texts), spark.createDataFrame([(k, int(rng.random() < 0.4)) for k in range(4000)], "doc_id long, toxic int"))
+    assert len(model.buckets) <= 3
+
+
+def test_rows_of_one_id_are_rows(spark, docs):
+    """The words of two texts with the same id do not meet."""
+    rows = docs(["apple", "zorn"] * 60 + ["apple zorn"] * 60, [0, 0] * 60 + list(range(1, 61)))
+    model = toxicity.fit(rows, spark.createDataFrame([(0, 0)] + [(k, 1) for k in range(1, 61)], "doc_id long, toxic int"), epochs=60)
+    got = [r.predicted for r in toxicity.score(docs(["apple", "zorn", "apple zorn"]), model).orderBy("doc_id").collect()]
+    assert got == [0, 0, 1]
+
+
 @pytest.mark.parametrize("values", [[], [(5, 1)], [(5, 0), (None, 1), (6, None)]])
 def test_missing_classes(spark, docs, awkward, values):
     df = docs(awkward)
