@@ -359,8 +359,3 @@ def canonical(value: Column, aliases: dict[str, str], fallback: Column | None =
     v = F.lower(strip(value))
     out = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), v), fallback if fallback is not None else F.nullif(v, F.lit("")))
     return out
-
-
-def first_of(*columns: Column) -> Column:
-    """The first that is not blank."""
-    return F.coalesce(*[non_empty(c) for c in columns])

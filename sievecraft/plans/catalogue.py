@@ -26,4 +26,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import layout_queries, more_queries, page_queries, pair_queries, record_queries, run_queries, stream_queries, text_queries  # noqa: E402, F401
+from . import layout_queries, more_queries, page_queries, pair_queries, record_queries, run_queries, small_queries, stream_queries, text_queries  # noqa: E402, F401

@@ -49,7 +49,7 @@ def s5_posts_of_paths(spark, sf_dir):
 
 
 @query("select event_type <> 'error' as is_valid, count(*) as n, sum(event_id) as ids from events group by 1")
-def s8_split_sink(spark, sf_dir):
+def s9_split_sink(spark, sf_dir):
     """Valid and invalid rows written below one folder each, and read back."""
     folder = _folder(spark, "split")
     rows = table(spark, sf_dir, "events").select("event_id", (F.col("event_type") != "error").alias("is_valid"))

@@ -29,9 +29,3 @@ def save(df: DataFrame, name: str, by: tuple[str, ...] = (), compression: str =
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path, partitionBy=list(by), compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def clear_shared(spark: SparkSession) -> None:
-    """Delete what ``save`` has written in this application; call it when all results are consumed."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

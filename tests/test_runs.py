@@ -164,3 +164,17 @@ def test_judge_log(spark):
     assert m.vote.vote_score == round(0.35 + 0.2 + 0.18 + 0.15 + 0.1, 4) and "glm_mix" in m.judge_flags and "glm_disagree_fuse" in m.judge_flags
     assert (got["gone"].gate_ok, got["gone"].recommend, got["gone"].vote.review_bucket, got["gone"].metrics.rec_vs_fuse_bag) == (False, "", "review_weak", None)
     assert got["both"].vote.concat_reject == 1.0 and not got["both"].gate_ok and got["none"].vote.review_bucket == "review_empty"
+
+
+def test_posts_of_image_folders(spark, tmp_path):
+    for name in ("p1/a.jpg", "p1/b.PNG", "p1/note.txt", "p2/c.webp"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    assert sorted(tuple(r) for r in tables.posts_from_images(spark, str(tmp_path)).collect()) == [("p1", ["a.jpg", "b.PNG"]), ("p2", ["c.webp"])]
+
+
+def test_a_dataset_is_cleaned_under_its_own_names(spark):
+    rows = spark.createDataFrame([(1, "竹❤雨", "[seal]\n款")], "id int, gt string, side string")
+    assert tuple(tables.clean_dataset(rows).first()) == (1, "竹雨", "款")
+    with pytest.raises(ValueError):
+        tables.clean_dataset(rows.select("id"))
