@@ -10,7 +10,8 @@ Exact, in five steps:
 2. A class stays if enough of its prefix is shared with other classes; common shingles
    count as shared unseen. Few classes beside groups of copies stay.
 3. The lists of the first ``n - ceil(0.8 n) + 1`` shingles, by size class, hold every
-   link. Each list is filed in the *bin* of the member whose prefix is shared most (the
+   link. A class leaves a list if too few of its shingles follow the list's for a link
+   that shares none before it (such a link is in another list). Each list is filed in the *bin* of the member whose prefix is shared most (the
    likely original), so that the lists of one group of copies become one bin and a class
    is sent to few bins, not to each list.
 4. A bin's classes become a signature tree: a leaf is a class, an inner node the OR of
@@ -213,12 +214,23 @@ def stayed(profile: DataFrame) -> DataFrame:
 
 
 def list_keys(classes: DataFrame) -> DataFrame:
-    """(cid, n, rate, list, size): a class in the lists of its keys by size class, also the next if it can link with a member of that."""
+    """(cid, n, rate, list, size, rest): a class in the lists of its keys by size class, also the next if it can link with a member of that; rest, its shingles from the key on."""
     size = F.greatest(F.lit(6), F.floor(F.log2("n")).cast("int"))
     rows = classes.withColumn("size", size)
     sizes = F.when(F.expr("5 * n >= 4 * shiftleft(1L, size + 1)"), F.array("size", F.col("size") + 1)).otherwise(F.array("size"))
-    rows = rows.select("cid", "n", "rate", F.explode(sizes).alias("size"), "keys").select("cid", "n", "rate", "size", F.explode("keys").alias("key"))
-    return rows.select("cid", "n", "rate", "size", F.xxhash64("key", "size").alias("list"))
+    rows = rows.select("cid", "n", "rate", F.explode(sizes).alias("size"), "keys").select("cid", "n", "rate", "size", F.posexplode("keys").alias("at", "key"))
+    return rows.select("cid", "n", "rate", "size", F.xxhash64("key", "size").alias("list"), (F.col("n") - F.col("at")).alias("rest"))
+
+
+def possible(lists: DataFrame) -> DataFrame:
+    """The rows of lists that may hold the first key that two linked classes share.
+
+    Such a pair shares no more than what is left in both from that key on, and it shares
+    4/9 of the two sizes together; so a row goes if less is left than 4/9 of its size and
+    the smallest one of its list. Pages of one template that share but their last key empty its list.
+    """
+    least = lists.groupBy("list").agg(F.min("n").alias("least"), F.min("cid").alias("low"), F.max("cid").alias("high")).where("low != high").select("list", "least")
+    return save(lists.join(least, "list").where(9 * F.col("rest") >= 4 * (F.col("n") + F.col("least"))).drop("least", "rest"), "copies-possible")
 
 
 def bins(lists: DataFrame, comp: DataFrame | None) -> DataFrame:
@@ -452,7 +464,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     profile = save(profiles(documents), "copies-profiles")
     classes = stayed(profile)
     sets = class_sets(documents, classes)
-    lists = list_keys(classes)
+    lists = possible(list_keys(classes))
 
     # Each class in its best bin; a large bin in parts, each with the original.
     every = save(bins(lists, None), "copies-bins")
@@ -474,7 +486,7 @@ def near_copies(documents: DataFrame) -> DataFrame:
     more = links_of(pairs.join(sets, "cid"))
     comp = components(links.union(more)) if more.limit(1).count() else comp
     comp = save(comp, "copies-components")
-    discard(classes, sets, every, best, open_)
+    discard(classes, sets, lists, every, best, open_)
 
     # The smallest doc_id of each class, then of each component; only classes of several rows or links need a name.
     own = save(profile.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(comp, "cid", "left"), "copies-own")

@@ -75,6 +75,17 @@ def test_groups_of_near_copies(docs, monkeypatch, part):
     assert got == components(dict(enumerate(texts)))
 
 
+def test_template_pages_leave_their_lists(docs):
+    """Pages that share all but four words link with nothing, and a list of their last key is empty; copies of them still link."""
+    page = [f"p{i}" for i in range(21)]
+    texts = [" ".join(page + [f"own{k}x{i}" for i in range(4)]) for k in range(200)]
+    given = docs(texts + [" ".join([*page, "own3x0", "own3x1", "own3x2", "other"])]).select("doc_id", "text")
+    lists = near_copies.list_keys(near_copies.stayed(common.save(near_copies.profiles(given), "test-profiles")))
+    left = near_copies.possible(lists)
+    assert left.select("cid").distinct().count() <= 3 < lists.select("cid").distinct().count()
+    assert {r.component_id for r in near_copies.near_copies(given).where("doc_id in (3, 200)").collect()} == {3}
+
+
 def test_tree_equals_all_pairs():
     rng = np.random.default_rng(5)
     sets = [rng.choice(2000, rng.integers(64, 120), replace=False).astype(np.uint64) for _ in range(40)]
