@@ -36,9 +36,15 @@ def l13_weighted_confidence(spark, sf_dir):
     return pages(spark, sf_dir).select("page", layout.weighted_confidence(F.col("boxes"), "0-9").alias("conf"))
 
 
-@query()
+@query(f"""
+with o as (select page, list((ymin + ymax) / 2 order by (ymin + ymax) / 2) as c, list(greatest(ymax - ymin, 1) order by greatest(ymax - ymin, 1)) as h from ({_BOX}) group by page),
+     g as (select page, len(c) as n, [c[i + 1] - c[i] for i in range(1, len(c))] as gaps, greatest(120.0, 1.5 * h[len(h) // 2 + 1]) as need from o),
+     w as (select page, n, need, list_max(gaps) as widest, list_position(gaps, list_max(gaps)) as k from g)
+select page, case when n >= 4 and widest > 0 and widest >= need and k >= 2 and n - k >= 2 then k || ',' || (n - k) else cast(n as varchar) end as sizes from w
+""")
 def l6_tiers(spark, sf_dir):
-    return pages(spark, sf_dir).select("page", F.transform(layout.tiers(F.col("boxes")), F.size).alias("sizes"))
+    sizes = F.transform(layout.tiers(F.col("boxes")), lambda x: F.size(x).cast("string"))
+    return pages(spark, sf_dir).select("page", F.array_join(sizes, ",").alias("sizes"))
 
 
 @query()
