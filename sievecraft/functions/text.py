@@ -330,9 +330,9 @@ def belongs_to_group(node: Column, group: Column, head: int = 4000) -> Column:
 
 
 def optional_int(text: Column) -> Column:
-    """The number, else the first run of digits in it, else null."""
+    """The number, else the first run of digits in it, else null; numbers beyond 64 bits are null."""
     t = strip(text.cast("string"))
-    return F.coalesce(t.try_cast("int"), F.regexp_extract(t, r"(\d+)", 1).try_cast("int"))
+    return F.coalesce(t.try_cast("long"), F.regexp_extract(t, r"(\d+)", 1).try_cast("long"))
 
 
 def prepend_once(text: Column, leak: Column) -> Column:

@@ -242,7 +242,7 @@ def t26_belongs_to_group(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", t.belongs_to_group(node, F.lit("7")).alias("mine"))
 
 
-@query("select event_id, event_id % 3 <> 2 as parse_ok, case event_id % 3 when 0 then 12 else -1 end as printed_page, case event_id % 3 when 0 then 'han_nom:' || event_type when 1 then 'mixed:{\"page_header\": \"h\", \"blocks\": 3}' else 'mixed:no object' end as first from events")
+@query("select event_id, event_id % 3 <> 2 as parse_ok, cast(case event_id % 3 when 0 then 12 else -1 end as bigint) as printed_page, case event_id % 3 when 0 then 'han_nom:' || event_type when 1 then 'mixed:{\"page_header\": \"h\", \"blocks\": 3}' else 'mixed:no object' end as first from events")
 def t21_parse_body(spark, sf_dir):
     """A model's replies about pages: with blocks, without, and no object at all."""
     i = F.col("event_id") % 3

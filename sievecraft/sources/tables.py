@@ -18,8 +18,6 @@ from .scratch import save
 
 PUBLIC = ("image", "label", "ground_truth", "side_matter", "boxes", "post_link")
 SUBMIT = ("image", "label", "ground_truth", "boxes", "post_link")
-#: Levels of a nested value that are planned at once; the next one is saved.
-LEVELS = 16
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -76,19 +74,17 @@ def posts_from_paths(paths: DataFrame) -> DataFrame:
 def walk_json(rows: DataFrame, key: str, text: str) -> DataFrame:
     """(key, depth, path, name, value): every value of the JSON texts, as a variant; broken texts go.
 
-    One explode per level of nesting, until no nested value is left. Each level is
-    planned only if the level above has objects or arrays. Each LEVELS levels one is
-    saved, which bounds the plan.
+    One explode per level of nesting, until no nested value is left. Each level is saved
+    as it is made, so the look for objects and arrays and the level below read it, and
+    not the text and all levels above again.
     """
     level = rows.select(F.col(key), F.lit(0).alias("depth"), F.lit("$").alias("path"), F.lit(None).cast("string").alias("name"), F.expr(f"try_parse_json({text})").alias("value")).where("value is not null")
-    out = level
+    level = out = save(level, "json-level")
     for d in count(1):
         inner = level.where("schema_of_variant(value) like 'OBJECT%' or schema_of_variant(value) like 'ARRAY%'")
         if not inner.limit(1).count():
             break
-        level = _explode(inner, key, d)
-        if d % LEVELS == 0:
-            level = save(level, "json-level")
+        level = save(_explode(inner, key, d), "json-level")
         out = out.unionByName(level)
     return out
 

@@ -82,7 +82,7 @@ def test_links(one):
 def test_json_in_replies(one):
     assert one(t.json_object_text(C), a='<think>{"a":1}</think>\n```json\n{"a": [1, 2,],}\n```') == '{"a": [1, 2]}'
     assert one(t.json_object_text(C), a="none") is None
-    assert one(t.optional_int(C), a="page 12 of 3") == 12
+    assert one(t.optional_int(C), a="page 12 of 3") == 12 and one(t.optional_int(C), a="70000000001") == 70_000_000_001 and one(t.optional_int(C), a="9" * 30) is None
 
 
 def test_prepend_and_captions(one):
