@@ -124,6 +124,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", max_per_c
     buckets = np.array(sorted(kept), np.int32)
     sample = _only(terms, "terms", buckets).to_pandas()
     discard(terms)
+    pa.default_memory_pool().release_unused()
     return _descend(sample, buckets, rank, epochs, seed)
 
 
@@ -165,9 +166,9 @@ def meeting_words(rows: DataFrame) -> set[int]:
     word, share = word[some].astype(np.int32), np.clip(pos[some] / n[some], 0.5 / total["n"], 1 - 0.5 / total["n"])
     table = _only(rows, "words", word)
     order = np.argsort(-table["y"].to_numpy(), kind="stable")
-    held = [np.searchsorted(word, t) for t in table["terms"].to_pandas()]
-    held, n_pos = [held[i] for i in order], int(total["pos"])
-    flat, at = np.concatenate(held).astype(np.int32), np.cumsum([0, *map(len, held)])
+    held, n_pos = table["terms"].take(pa.array(order)).combine_chunks(), int(total["pos"])
+    flat, at = np.searchsorted(word, held.flatten().to_numpy()).astype(np.int32), np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    del table, held
     blocks = range(0, len(word), BLOCK)
     pairs = [(a, b) for a in blocks for b in blocks if a <= b]
     spark = rows.sparkSession
