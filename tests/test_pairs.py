@@ -12,6 +12,7 @@ from sievecraft.functions import matching
 from sievecraft.functions import pairs as m
 from sievecraft.operators import alignment
 from sievecraft.plans import catalogue
+from sievecraft.plans.adapters import tracks
 
 A, B = F.col("a"), F.col("b")
 
@@ -186,3 +187,25 @@ def test_line_queries_take_whole_lines(spark, tmp_path):
     assert {r.line for r in run("f6_fuse_lines")} == {line, other}
     assert [r.page_status for r in run("f10_page_status")] == ["needs_hitl", "silver"]
     assert [set(r.lines.split("\n")) for r in run("f4_relock")] == [{line, other}] * 2
+
+
+def test_pages_of_one_file_are_dealt_out(spark, tmp_path):
+    spark.range(40).select(F.col("id").alias("doc_id"), F.lit("one line\nanother").alias("text")).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    assert tracks(spark, str(tmp_path)).select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+def test_runs_and_distances_of_texts():
+    rng = random.Random(5)
+    for _ in range(400):
+        x = "".join(rng.choices("ab", k=rng.randint(1, 30)))
+        y = rng.choice([x[1:] + "a", x[: len(x) // 2], "b" + x, x[:3] + x[4:], "".join(rng.choices("ab", k=20))])
+        run = max([n for n in range(1, len(x) + 1) for i in range(len(x) - n + 1) if x[i : i + n] in y], default=0)
+        for least in range(1, len(x) + 1):
+            got = matching.longest_run(x, y, least)
+            assert got == run if run >= least else got < least
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            row, old = [i], row
+            for j, d in enumerate(y, 1):
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (c != d)))
+        assert matching.text_distance(x, y) == row[-1]
