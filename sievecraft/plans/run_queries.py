@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import judging, layout, pages, queues
 from ..sources import logs, tables
-from ..sources.scratch import shared_dir
+from ..sources.scratch import shared_dir, spread
 from ..streaming import feed
 from .adapters import boxes
 from .catalogue import query, table
@@ -85,7 +85,9 @@ def _sidecars(spark, sf_dir) -> str:
     whole = F.to_json(F.struct(F.concat(F.lit("s"), k.cast("string")).alias("image"), F.col("s_name").alias("text"), F.lit(2).alias("at")))
     broken = F.when(k % 28 == 0, "").when(k % 28 == 7, F.substring(whole, 1, 9)).when(k % 28 == 14, F.concat(F.lit("["), whole, F.lit("]"))).otherwise('{"image": " ", "at": 2}')
     folder = _folder(spark, "sidecars")
-    table(spark, sf_dir, "supplier").select(k.alias("file"), F.when(k % 7 == 0, broken).otherwise(whole).alias("value")).repartition("file").write.partitionBy("file").text(folder)
+    values = spread(table(spark, sf_dir, "supplier").select(F.when(k % 7 == 0, broken).otherwise(whole).alias("value")))
+    # Tasks put their files in place themselves; the driver would move them one by one.
+    values.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
     return folder
 
 

@@ -54,7 +54,8 @@ def scan_sidecars(spark: SparkSession, folder: str, schema: str, key: str, suffi
     files = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", True).text(folder)
     parsed = files.select(F.col("_metadata.file_path").alias("file"), F.from_json("value", schema).alias("r"), F.expr("try_parse_json(value)").alias("v"))
     object_ = F.coalesce(F.expr("schema_of_variant(v) like 'OBJECT%'"), F.lit(False))
-    scanned = save(parsed.select("file", "r", (object_ & F.col("r").isNotNull() & ~blank(F.col(f"r.{key}").cast("string"))).alias("ok")), "sidecars")
+    # Few large files: a task reads some dozens of sidecars, and a file for each task would be opened again by every use.
+    scanned = save(parsed.select("file", "r", (object_ & F.col("r").isNotNull() & ~blank(F.col(f"r.{key}").cast("string"))).alias("ok")).hint("rebalance"), "sidecars")
     counts = scanned.agg(F.count("*").alias("files"), F.count_if(~F.col("ok")).alias("unreadable"))
     return scanned.where("ok").select("r.*", "file"), counts
 

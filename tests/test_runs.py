@@ -178,3 +178,13 @@ def test_a_dataset_is_cleaned_under_its_own_names(spark):
     assert tuple(tables.clean_dataset(rows).first()) == (1, "竹雨", "款")
     with pytest.raises(ValueError):
         tables.clean_dataset(rows.select("id"))
+
+
+def test_sidecars_lie_in_one_folder(spark, tmp_path):
+    from pathlib import Path
+
+    from sievecraft.plans import run_queries
+
+    spark.range(1, 40).select(F.col("id").alias("s_suppkey"), F.lit("x").alias("s_name")).write.parquet(f"{tmp_path}/supplier.parquet")
+    folder = Path(run_queries._sidecars(spark, str(tmp_path)).removeprefix("file:"))
+    assert not [p for p in folder.iterdir() if p.is_dir()] and len(list(folder.glob("*.txt"))) == 39
