@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from ..functions.base import blank, let, lines, non_empty, strip
 from ..functions.pairs import bag_dice, cer, has_invented, has_invented_count
-from ..functions.text import HAN, compact, to_traditional
+from ..functions.text import HAN, compact, norm, to_traditional
 from ..sources.scratch import save
+from .alignment import Index
 from .fuse import cut_by_template
 from .records import classify, distinct_images, newest
 
@@ -106,6 +110,33 @@ def fallback(a: Column, b: Column, pick: Column, keep: str = HAN) -> Column:
     return F.when((p == "b") & has(b), made(b, "fallback_b")).when(has(a), made(a, "fallback_a")).when(has(b), made(b, "fallback_b")).otherwise(F.struct(F.lit("").alias("text"), F.lit("glm_empty_ab").alias("source")))
 
 
+@F.pandas_udf(ArrayType(IntegerType()))
+def _places(s: pd.Series, r: pd.Series, bare_s: pd.Series, bare_r: pd.Series) -> pd.Series:
+    """As many lines of r as of s: for each of s the place of its best unused line of r, -1 under half. More: for each of r that of its best line of s."""
+    out = []
+    for p, q, x, y in zip(*(map(list, c) for c in (s, r, bare_s, bare_r)), strict=True):
+        places: list[int] = []
+        if len(p) == len(q):
+            index, free = Index(q), np.ones(len(q), bool)
+            for t in p:
+                bag = np.where(free, index.bags(t)[0], -1)
+                at = int(bag.argmax())
+                if bag[at] < 5_000:
+                    places = [-1]
+                    break
+                free[at] = False
+                places.append(at)
+        elif len(p) and len(p) < len(q):
+            index = Index(p)
+            for t, whole in zip(q, y, strict=True):
+                bag = index.bags(t)[0]
+                if whole:
+                    bag = np.maximum(bag, np.fromiter((9_900 if whole in z else 0 for z in x), np.int64, len(x)))
+                places.append(int(bag.argmax()))
+        out.append(places)
+    return pd.Series(out, dtype=object)
+
+
 def relock(source: Column, refined: Column, keep: str = HAN) -> Column:
     """Refined lines in the order of their source lines.
 
@@ -113,21 +144,15 @@ def relock(source: Column, refined: Column, keep: str = HAN) -> Column:
     best source line, one that holds it first. Fewer: kept if the texts agree.
     """
     clean = lambda x: F.filter(F.transform(x, strip), lambda t: t != "")
-    none = F.array().cast("array<int>")
+    s, r = clean(source), clean(refined)
+    each = lambda x, f: F.transform(x, lambda t: f(t, keep))
+    order = _places(each(s, norm), each(r, norm), each(s, compact), each(r, compact))
 
     def equal(x: Column) -> Column:
-        def step(used: Column, s: Column) -> Column:
-            scores = F.transform(x["r"], lambda r, j: F.when(F.array_contains(used, j), -1.0).otherwise(bag_dice(s, r, keep)))
-            return let(scores, lambda v: F.concat(used, F.array(F.when(F.array_max(v) >= 0.5, F.array_position(v, F.array_max(v)).cast("int") - 1).otherwise(F.lit(-1)))))
-
-        return let(F.aggregate(x["s"], none, step), lambda o: F.when(F.array_contains(o, -1), x["r"]).otherwise(F.transform(o, lambda j: F.get(x["r"], j))))
+        return F.when(F.array_contains(x["o"], -1), x["r"]).otherwise(F.transform(x["o"], lambda j: F.get(x["r"], j)))
 
     def split(x: Column) -> Column:
-        def parent(r: Column) -> Column:
-            score = lambda s: F.greatest(bag_dice(s, r, keep), F.when((compact(r, keep) != "") & F.contains(compact(s, keep), compact(r, keep)), 0.99).otherwise(0.0))
-            return let(F.transform(x["s"], score), lambda v: F.array_position(v, F.array_max(v)))
-
-        keyed = F.transform(x["r"], lambda r, j: F.struct(parent(r).alias("p"), j.alias("j"), r.alias("r")))
+        keyed = F.transform(x["r"], lambda r, j: F.struct(F.get(x["o"], j).alias("p"), j.alias("j"), r.alias("r")))
         return F.transform(F.array_sort(keyed), lambda k: k["r"])
 
     def chosen(x: Column) -> Column:
@@ -136,7 +161,7 @@ def relock(source: Column, refined: Column, keep: str = HAN) -> Column:
         agree = bag_dice(whole("s"), whole("r"), keep) >= 0.9
         return F.when(n == 0, x["s"]).when(m == 0, x["r"]).when(has_invented(whole("s"), whole("r"), keep), x["s"]).when(n == m, equal(x)).when(n > m, split(x)).when(agree, x["r"]).otherwise(x["s"])
 
-    return let(F.struct(clean(source).alias("s"), clean(refined).alias("r")), chosen)
+    return let(F.struct(s.alias("s"), r.alias("r"), order.alias("o")), chosen)
 
 
 def compare_to_truth(rows: DataFrame, truth: DataFrame, key: str, keep: str = HAN) -> DataFrame:
