@@ -118,24 +118,29 @@ def columns(boxes: Column) -> Column:
     near is 0.7 of the upper median width, between 40 and 140.
     """
     near = F.greatest(F.lit(40.0), F.least(F.lit(140.0), 0.7 * upper_median(F.transform(boxes, lambda b: F.greatest(b["xmax"] - b["xmin"], F.lit(1))))))
-    state = f"array<struct<total:double,boxes:array<{BOX}>>>"
+    # The fold keeps places only; boxes are looked up at its end.
+    found_type = "array<struct<total:double,at:array<int>>>"
+    state = f"struct<i:int,found:{found_type}>"
 
     def mean(c: Column) -> Column:
-        return c["total"] / F.size(c["boxes"])
+        return c["total"] / F.size(c["at"])
 
     def place(limit: Column):
-        def step(found: Column, b: Column) -> Column:
-            at = F.array_position(F.transform(found, lambda c: F.abs(cx(b) - mean(c)) <= limit), F.lit(True)).cast("int")
-            grown = lambda a: F.transform(found, lambda c, i: F.when(i + 1 == a, F.struct((c["total"] + cx(b)).alias("total"), F.concat(c["boxes"], F.array(b)).alias("boxes"))).otherwise(c))
-            fresh = F.concat(found, F.array(F.struct(cx(b).alias("total"), F.array(b).alias("boxes"))))
-            return let(at, lambda a: F.when(a > 0, grown(a)).otherwise(fresh).cast(state))
+        def step(s: Column, x: Column) -> Column:
+            at = F.array_position(F.transform(s["found"], lambda c: F.abs(x - mean(c)) <= limit), F.lit(True)).cast("int")
+            grown = lambda a: F.transform(s["found"], lambda c, i: F.when(i + 1 == a, F.struct((c["total"] + x).alias("total"), F.concat(c["at"], F.array(s["i"])).alias("at"))).otherwise(c))
+            fresh = F.concat(s["found"], F.array(F.struct(x.alias("total"), F.array(s["i"]).alias("at"))))
+            return F.struct((s["i"] + 1).alias("i"), let(at, lambda a: F.when(a > 0, grown(a)).otherwise(fresh)).alias("found")).cast(state)
 
         return step
 
-    ordered = in_order(boxes, lambda b: (-cx(b), cy(b)))
-    folded = let(near, lambda limit: F.aggregate(ordered, F.array().cast(state), place(limit)))
-    keyed = F.transform(folded, lambda c, i: F.struct((-mean(c)).alias("k"), i.alias("i"), c["boxes"].alias("boxes")))
-    return F.transform(F.array_sort(keyed), lambda c: c["boxes"])
+    def read(o: Column) -> Column:
+        start = F.struct(F.lit(0).alias("i"), F.array().cast(found_type).alias("found")).cast(state)
+        folded = let(near, lambda limit: F.aggregate(F.transform(o, cx), start, place(limit)))["found"]
+        keyed = F.transform(folded, lambda c, i: F.struct((-mean(c)).alias("k"), i.alias("i"), F.transform(c["at"], lambda k: F.get(o, k)).alias("boxes")))
+        return F.transform(F.array_sort(keyed), lambda c: c["boxes"])
+
+    return let(in_order(boxes, lambda b: (-cx(b), cy(b))), read)
 
 
 def glue(host: Column, tail: Column, top_down: bool = False) -> Column:
@@ -160,7 +165,7 @@ def join_fragments(column: Column, short: int = 2, keep: str = HAN) -> Column:
     def step(out: Column, b: Column) -> Column:
         last = F.get(out, F.size(out) - 1)
         joined = F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.when(_n(last, keep) > short, glue(last, b)).otherwise(glue(last, b, True))))
-        return F.when((F.size(out) > 0) & (_n(b, keep) > 0) & (_n(b, keep) <= short), joined).otherwise(F.concat(out, F.array(b))).cast(f"array<{BOX}>")
+        return F.when((F.size(out) > 0) & let(_n(b, keep), lambda n: (n > 0) & (n <= short)), joined).otherwise(F.concat(out, F.array(b))).cast(f"array<{BOX}>")
 
     def lead(o: Column) -> Column:
         head, body = F.get(o, F.lit(0)), F.get(o, F.lit(1))
@@ -180,7 +185,7 @@ def join_short_columns(cols: Column, short: int = 2, keep: str = HAN) -> Column:
         last = F.get(host, F.size(host) - 1)
         tail = F.aggregate(c, last, lambda a, b: glue(a, b).cast(BOX))
         joined = F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.concat(F.slice(host, F.lit(1), F.size(host) - 1), F.array(tail))))
-        absorb = (F.size(out) > 0) & (size(c) > 0) & (size(c) <= short) & (size(host) > short)
+        absorb = (F.size(out) > 0) & let(size(c), lambda n: (n > 0) & (n <= short)) & (size(host) > short)
         return F.when(absorb, joined).otherwise(F.concat(out, F.array(c))).cast(f"array<array<{BOX}>>")
 
     prepared = F.transform(cols, lambda c: join_fragments(c, short, keep))
@@ -225,11 +230,16 @@ def iou(a: Column, b: Column) -> Column:
     h = F.greatest(F.lit(0), F.least(a["ymax"], b["ymax"]) - F.greatest(a["ymin"], b["ymin"]))
     area = lambda x: (x["xmax"] - x["xmin"]) * (x["ymax"] - x["ymin"])
     union = area(a) + area(b) - w * h
-    return F.when(union > 0, w * h / union).otherwise(0.0)
+    return F.when(meet(a, b) & (union > 0), w * h / union).otherwise(0.0)
+
+
+def meet(a: Column, b: Column) -> Column:
+    """Whether two boxes share any area: a test that most pairs fail at once."""
+    return (a["xmin"] < b["xmax"]) & (b["xmin"] < a["xmax"]) & (a["ymin"] < b["ymax"]) & (b["ymin"] < a["ymax"])
 
 
-#: Side of a grid cell in which boxes of two passes meet.
-CELL = 32
+#: Side of a grid cell in which boxes of two passes meet: a usual box lies in one or two.
+CELL = 128
 
 
 def overlaps(boxes: DataFrame, page: str, source: str, b: str, at_least: float = 0.25) -> DataFrame:
@@ -255,7 +265,11 @@ def overlaps(boxes: DataFrame, page: str, source: str, b: str, at_least: float =
 
 def pick_pass(a: Column, b: Column, keep: str = HAN) -> Column:
     """a or b, for one place read twice: by script, then by confidence. b may be null."""
-    ra, rb, ca, cb = script_ratios(a["text"], keep), script_ratios(b["text"], keep), a["confidence"], b["confidence"]
+    return let(F.struct(script_ratios(a["text"], keep).alias("a"), script_ratios(b["text"], keep).alias("b")), lambda r: _picked(a, b, r["a"], r["b"]))
+
+
+def _picked(a: Column, b: Column, ra: Column, rb: Column) -> Column:
+    ca, cb = a["confidence"], b["confidence"]
     first = F.struct(a.alias("box"), F.lit("a").alias("source"))
     second = F.struct(b.alias("box"), F.lit("b").alias("source"))
     content = (ra["content"] >= 0.35) & (ra["content"] >= ra["latin"]) & (ra["content"] >= rb["content"])
@@ -273,7 +287,7 @@ def merge_passes(a: Column, b: Column, at_least: float = 0.25, keep: str = HAN)
     state = f"struct<used:array<int>,out:array<struct<box:{BOX},source:string>>>"
 
     def step(s: Column, x: Column) -> Column:
-        scores = F.transform(b, lambda y, j: F.when(F.array_contains(s["used"], j), -1.0).otherwise(iou(x, y)))
+        scores = F.transform(b, lambda y, j: F.when(meet(x, y) & ~F.array_contains(s["used"], j), iou(x, y)).otherwise(0.0))
 
         def chosen(v: Column) -> Column:
             at = F.array_position(v, F.array_max(v)).cast("int") - 1
@@ -296,16 +310,18 @@ def merge_passes(a: Column, b: Column, at_least: float = 0.25, keep: str = HAN)
 
 def _grouped(boxes: Column, at, near: Column, key) -> Column:
     """Boxes in order of the key, in arrays: one joins the last array if its place is near the mean of that array's places."""
-    state = f"array<struct<total:double,boxes:array<{BOX}>>>"
+    # The fold keeps where each array starts and its size; boxes are cut at its end.
+    state = "array<struct<total:double,start:int,n:int>>"
 
-    def step(rows: Column, b: Column) -> Column:
+    def step(rows: Column, x: Column) -> Column:
         last = F.get(rows, F.size(rows) - 1)
-        joins = (F.size(rows) > 0) & (F.abs(at(b) - last["total"] / F.size(last["boxes"])) <= near)
-        grown = F.struct((last["total"] + at(b)).alias("total"), F.concat(last["boxes"], F.array(b)).alias("boxes"))
-        fresh = F.struct(at(b).alias("total"), F.array(b).alias("boxes"))
+        joins = (F.size(rows) > 0) & (F.abs(x - last["total"] / last["n"]) <= near)
+        grown = F.struct((last["total"] + x).alias("total"), last["start"].alias("start"), (last["n"] + 1).alias("n"))
+        fresh = F.struct(x.alias("total"), F.coalesce(last["start"] + last["n"], F.lit(0)).alias("start"), F.lit(1).alias("n"))
         return F.when(joins, F.concat(F.slice(rows, F.lit(1), F.size(rows) - 1), F.array(grown))).otherwise(F.concat(rows, F.array(fresh))).cast(state)
 
-    return F.aggregate(in_order(boxes, key), F.array().cast(state), step)
+    cut = lambda o: F.transform(F.aggregate(F.transform(o, at), F.array().cast(state), step), lambda r: F.struct(r["total"].alias("total"), F.slice(o, r["start"] + 1, r["n"]).alias("boxes")))
+    return let(in_order(boxes, key), cut)
 
 
 def placed_rows(boxes: Column) -> Column:
