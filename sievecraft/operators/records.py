@@ -51,6 +51,11 @@ NOISE_PATTERNS = (
     r"^(public|private|closed|secret)\s+group\b",
     r"(lượt thích|people talking|đang nói về|người đang nói|\blikes?\b|followers?|người theo dõi|lượt theo dõi|người đầu tiên bình luận|first to comment|這是書法社團|其他都不准貼文|用政治相關寫書法)",
 )
+#: Each match of a pattern that is not bound to the start holds one of these.
+NOISE_WORDS = (
+    "lượt thích", "người thích", "people reacted", "reacted to this", "đã bình luận", "commented on this", "view insights", "bất kỳ ai cũng", "nhìn thấy mọi người", "những gì họ đăng", "anyone can see", "s posted in ", "visible to ", "chỉ thành viên",
+    "people talking", "đang nói về", "người đang nói", "like", "follower", "người theo dõi", "lượt theo dõi", "người đầu tiên", "first to comment", "這是書法社團", "其他都不准貼文", "用政治相關寫書法",
+)
 CONTENT = r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{3040}-\x{30FF}\x{AC00}-\x{D7AF}]"
 DIACRITICS = "[àáạảãâầấậẩẫăằắặẳẵèéẹẻẽêềếệểễìíịỉĩòóọỏõôồốộổỗơờớợởỡùúụủũưừứựửữỳýỵỷỹđ]"
 STATUS_RANK = ("pending", "invalid", "valid")
@@ -61,8 +66,17 @@ EXHAUSTED = "recheck_exhausted"
 def is_noise(label: Column, noise: Sequence[str] = NOISE, patterns: Sequence[str] = NOISE_PATTERNS) -> Column:
     """Blank, or only controls: a noise text, one at its start, one anywhere in 64 characters, or a pattern."""
     any_of = "|".join(re.escape(x) for x in noise)
-    found = "(?iU)" + "|".join(f"(?:{p})" for p in patterns)
-    return let(normalise_label(label), lambda n: (n == "") | n.rlike(f"^(?:{any_of})(?: |$)") | ((F.length(n) <= 64) & n.rlike(f"(?:{any_of})")) | n.rlike(found))
+    joined = lambda ps: "(?iU)" + "|".join(f"(?:{p})" for p in ps)
+
+    def found(n: Column) -> Column:
+        if tuple(patterns) != NOISE_PATTERNS:
+            return n.rlike(joined(patterns))
+        # Bound patterns look at the start only; for the others texts are searched that hold a word of theirs (two letters fold to plain ones).
+        first = "(?iU)^(?:" + "|".join(p[1:] for p in patterns if p.startswith("^")) + ")"
+        holds = let(F.replace(F.replace(n, F.lit("ſ"), F.lit("s")), F.lit("ı"), F.lit("i")), lambda t: F.array_contains(F.array(*[F.contains(t, F.lit(w)) for w in NOISE_WORDS]), True))
+        return n.rlike(first) | (holds & n.rlike(joined(p for p in patterns if not p.startswith("^"))))
+
+    return let(normalise_label(label), lambda n: (n == "") | n.rlike(f"^(?:{any_of})(?: |$)") | ((F.length(n) <= 64) & n.rlike(f"(?:{any_of})")) | found(n))
 
 
 def _written(t: Column) -> Column:

@@ -140,3 +140,12 @@ def test_json_is_walked_to_its_end(spark):
     deep = '{"a":' * 70 + '{"post_id": "7", "message": "m"}' + "}" * 70
     rows = spark.createDataFrame([(1, deep)], "k int, doc string")
     assert [tuple(r) for r in tables.feed_candidates(rows, "k", "doc").collect()] == [(1, "7", "m", None)]
+
+
+def test_noise_inside_a_text_is_found_by_its_words(spark):
+    long = "some text that goes on for more than sixty-four letters, and on, "
+    noise = ["what's posted in the group", "whatſ poſted in group", "visible to all group members", "12 lıkes", "ANYONE CAN SEE who's in", "chỉ thành viên nhóm mới xem"]
+    rows = spark.createDataFrame([(i, long + t) for i, t in enumerate([*noise, "nothing of it", "likely visible"])], "i int, t string")
+    old = "(?iU)" + "|".join(f"(?:{p})" for p in records.NOISE_PATTERNS)
+    got = rows.select("i", records.is_noise(F.col("t")).alias("is"), F.lower("t").rlike(old).alias("was")).orderBy("i").collect()
+    assert [r["is"] for r in got] == [r["was"] for r in got] and [r["is"] for r in got][-2:] == [False, False]
