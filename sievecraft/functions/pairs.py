@@ -81,7 +81,7 @@ def bag_dice(a: Column, b: Column, keep: str = HAN) -> Column:
 def bag_of_norms(x: Column, y: Column) -> Column:
     """bag_dice of two texts in the form of ``norm``."""
     total = lambda x: F.length(x["a"]) + F.length(x["b"])
-    return let(F.struct(x.alias("a"), y.alias("b")), lambda x: F.when(total(x) == 0, 1.0).otherwise(F.bround(2.0 * shared_chars(x["a"], x["b"]) / total(x), 4)))
+    return let(F.struct(x.alias("a"), y.alias("b")), lambda x: F.when(x["a"] == x["b"], 1.0).otherwise(F.bround(2.0 * shared_chars(x["a"], x["b"]) / total(x), 4)))
 
 
 @F.pandas_udf(BLOCKS)
