@@ -9,7 +9,8 @@ the lowest-ranked neighbours again and again gives, as long as the ranks are tho
 merge list: each token comes out of its own bytes by merges of rising ranks. That is
 checked when the rank file is read; other files are refused.
 
-The ranks are a literal map from bytes to ids, cut into small maps by checksum, as a
+The ranks are a literal map from bytes to ids: a table by checksum names one token, whose
+bytes are compared; tokens whose place is taken are in small maps, by checksum too, as a
 map's look-up reads all its keys.
 
 Distinct pieces are encoded once where that pays: the most frequent ones of a hashed
@@ -18,8 +19,9 @@ is sent to executors. It saves time only: a piece that is not in it is folded wh
 stands, with the same result, since joining rare pieces back would shuffle all texts.
 
 Decoding looks each id's bytes up and concatenates them: piece by piece as the ids are
-made, or from the emitted ids (``decode_ids``). Ids travel as hex text inside a row and
-decoded pieces as text, as arrays of text join in one pass.
+made, or from the emitted ids (``decode_ids``). The map of pieces takes only those whose
+ids were decoded to the piece itself, so it need not hold the result. Ids travel as hex
+text inside a row and decoded pieces as text, as arrays of text join in one pass.
 
 Defined results: null and empty texts have no ids and decode to nothing; of equal
 strings the leftmost is merged first; repeated rows each get a row; very long texts and
@@ -40,10 +42,10 @@ from pyspark.sql import functions as F
 from .common import discard, save, share, table
 from .separator_scan import rank_file
 
-#: Small maps that the literal maps of tokens and of pieces are cut into.
-SLOTS, PIECE_SLOTS = 1 << 16, 1 << 17
-#: Flags of the tokens' checksums; most strings of a piece are no token, and one look tells.
-FLAGS = 1 << 20
+#: Small maps of the tokens that have no place of their own, and of pieces.
+SLOTS, PIECE_SLOTS = 1 << 12, 1 << 16
+#: Places by checksum; most strings of a piece are no token, and an empty place tells.
+PLACES = 1 << 20
 #: Bytes of a piece whose borders fit one number.
 SHORT = 61
 #: Bits of a candidate's length, and of its place.
@@ -68,9 +70,9 @@ def piece_slot(piece: Column) -> Column:
 
 
 def rank_literals(spark: SparkSession, path: str) -> DataFrame:
-    """A one-row table: ``ids``, maps by slot from a token's bytes to its id; ``tokens``, by id its
-    little-endian and its bytes as hex; ``spans``, by a short piece's size the places and lengths of its strings;
-    ``flags``, which checksums tokens have.
+    """A one-row table: ``ids``, by checksum the first token that has it; ``others``, maps by slot from the other
+    tokens' bytes to their ids; ``tokens``, by id its little-endian and its bytes as hex, and its bytes; ``spans``, by a
+    short piece's size the places and lengths of its strings.
 
     It goes to Spark as an Arrow table: written into the plan, its text would be kept with every query.
     """
@@ -80,18 +82,21 @@ def rank_literals(spark: SparkSession, path: str) -> DataFrame:
     if longest >= 1 << LENGTH_BITS or not all(rising(ranks, t) for t in by_id):
         raise ValueError(f"the ranks of {path} are not those of a merge list")
     crc = np.array([zlib.crc32(t) for t in by_id])
-    flags = pa.array(np.bincount(crc % FLAGS, minlength=FLAGS) > 0)
-    of = crc % SLOTS
-    order = np.argsort(of, kind="stable")
-    ends = np.searchsorted(of[order], np.arange(SLOTS + 1))
-    pairs = pa.StructArray.from_arrays([pa.array([by_id[i] for i in order], pa.binary()), pa.array([ranks[by_id[i]] for i in order], pa.int32())], ["k", "v"])
+    ids = np.array([ranks[t] for t in by_id], np.int32)
+    taken, first = np.unique(crc % PLACES, return_index=True)
+    table = np.full(PLACES, -1, np.int32)
+    table[taken] = ids[first]
+    other = np.setdiff1d(np.arange(len(by_id)), first)
+    other = other[np.argsort(crc[other] % SLOTS, kind="stable")]
+    ends = np.searchsorted(crc[other] % SLOTS, np.arange(SLOTS + 1))
+    pairs = pa.StructArray.from_arrays([pa.array([by_id[i] for i in other], pa.binary()), pa.array(ids[other])], ["k", "v"])
     maps = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pairs)
-    tokens = pa.StructArray.from_arrays([pa.array([ranks[t].to_bytes(4, "little").hex() for t in by_id]), pa.array([t.hex() for t in by_id])], ["le", "bytes"])
+    tokens = pa.StructArray.from_arrays([pa.array([ranks[t].to_bytes(4, "little").hex() for t in by_id]), pa.array([t.hex() for t in by_id]), pa.array(by_id, pa.binary())], ["le", "bytes", "raw"])
     places = [[(i + 1, k, i << LENGTH_BITS | k) for i in range(n) for k in range(2, min(longest, n - i) + 1)] for n in range(SHORT + 1)]
     spans = pa.array([[{"at": a, "n": k, "code": c} for a, k, c in x] for x in places], pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("code", pa.int64())])))
     one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    row = pa.table({"ids": one(maps), "tokens": one(tokens), "spans": one(spans), "flags": one(flags), "longest": pa.array([longest], pa.int32())})
-    return spark.createDataFrame(row).withColumn("ids", F.transform("ids", F.map_from_entries))
+    row = pa.table({"ids": one(pa.array(table)), "others": one(maps), "tokens": one(tokens), "spans": one(spans), "longest": pa.array([longest], pa.int32())})
+    return spark.createDataFrame(row).withColumn("others", F.transform("others", F.map_from_entries))
 
 
 def rising(ranks: dict[bytes, int], token: bytes) -> bool:
@@ -125,12 +130,15 @@ def _encode_bytes(lit: Column, raw: Column) -> Column:
     size = F.octet_length(raw)
     long = lambda x: F.lit(x).cast("long")
 
-    def id_at(at: Column, length: Column) -> Column:  # at: from 1
+    def first_at(at: Column, length: Column) -> Column:  # at: from 1
+        return F.get(lit["ids"], F.crc32(F.substring(raw, at, length)).bitwiseAND(F.lit(PLACES - 1)).cast("int"))
+
+    def id_at(at: Column, length: Column) -> Column:
         part = F.substring(raw, at, length)
-        return F.get(lit["ids"], slot(part))[part]
+        return let(first_at(at, length), lambda i: F.when(F.get(lit["tokens"], i)["raw"] == part, i).otherwise(F.get(lit["others"], slot(part))[part]))
 
     def may_be(at: Column, length: Column) -> Column:
-        return F.get(lit["flags"], F.crc32(F.substring(raw, at, length)).bitwiseAND(F.lit(FLAGS - 1)).cast("int"))
+        return first_at(at, length) >= 0
 
     # A candidate is one number, which sorts by rank, then place.
     place = lambda c: F.shiftright(c, LENGTH_BITS).bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
@@ -216,14 +224,15 @@ def pieces(text: Column) -> Column:
 
 
 def frequent(documents: DataFrame, literals: DataFrame, cache: int, sample: int) -> DataFrame:
-    """A one-row table: encoded frequent pieces as an array of maps by slot."""
+    """A one-row table: encoded frequent pieces as an array of maps by slot. ``back`` is null: only pieces are kept whose ids were decoded to the piece."""
     total = max(1, documents.count())
     found = documents.where(share(F.col("doc_id"), min(1.0, sample / total))).select(F.explode(pieces(F.col("text"))).alias("piece"))
     top = save(found.groupBy("piece").count().orderBy(F.desc("count"), "piece").limit(cache).select("piece"), "bpe-frequent")
     # A few thousand pieces a task: the fold is the work, not the read.
     spread = with_literals(top.repartition(64, "piece"), literals)
     coded = spread.select("piece", let(F.col("lit"), lambda x: coded_piece(x, F.col("piece"))).alias("v"))
-    per = coded.groupBy(piece_slot(F.col("piece")).alias("slot")).agg(F.collect_list(F.struct("piece", "v")).alias("e"))
+    exact = coded.where(F.col("v.back") == F.col("piece")).select("piece", F.struct(F.col("v.ids"), F.lit(None).cast("string").alias("back")).alias("v"))
+    per = exact.groupBy(piece_slot(F.col("piece")).alias("slot")).agg(F.collect_list(F.struct("piece", "v")).alias("e"))
     all_slots = documents.sparkSession.range(PIECE_SLOTS).select(F.col("id").cast("int").alias("slot"))
     none = F.array().cast("array<struct<piece:string,v:struct<ids:string,back:string>>>")
     filled = save(all_slots.join(per, "slot", "left").select("slot", F.coalesce("e", none).alias("e")), "bpe-slots")
@@ -233,18 +242,22 @@ def frequent(documents: DataFrame, literals: DataFrame, cache: int, sample: int)
     return one
 
 
-def encode(documents: DataFrame, path: str, cache: int = 200_000, sample: int = 40_000, keep: tuple[str, ...] = ()) -> DataFrame:
+def encode(documents: DataFrame, path: str, cache: int = 300_000, sample: int = 40_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, *keep, ids, decoded): binary columns of every row's little-endian ids and what they decode to."""
     literals = save(rank_literals(documents.sparkSession, path), "bpe-ranks")
     known = frequent(documents, literals, cache, sample)
-    both = known.withColumns({c: literals.select(c).scalar() for c in literals.columns})
 
-    def coded(x: Column) -> Column:
-        one = lambda p: F.coalesce(F.get(x["known"], piece_slot(p))[p], coded_piece(x, p))
-        return let(F.transform(pieces(F.col("text")), one), lambda c: F.struct(F.array_join(c["ids"], "").alias("ids"), F.array_join(c["back"], "").alias("back")))
+    def coded(x: Column, known: Column) -> Column:
+        def joined(ps: Column) -> Column:
+            one = lambda p: F.coalesce(F.get(known, piece_slot(p))[p], coded_piece(x, p))
+            return let(F.transform(ps, one), lambda c: F.struct(F.array_join(c["ids"], "").alias("ids"), F.array_join(F.zip_with(ps, c["back"], lambda p, b: F.coalesce(b, p)), "").alias("back")))
+
+        return let(pieces(F.col("text")), joined)
 
-    rows = with_literals(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in keep if c not in ("doc_id", "text")]), both)
-    return rows.select("doc_id", *keep, let(F.col("lit"), coded).alias("x")).select("doc_id", *keep, F.unhex("x.ids").alias("ids"), F.col("x.back").cast("binary").alias("decoded"))
+    rows = with_literals(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in keep if c not in ("doc_id", "text")]), literals)
+    rows = rows.withColumn("known", known.select("known").scalar())
+    found = let(F.col("known"), lambda k: let(F.col("lit"), lambda x: coded(x, k)))
+    return rows.select("doc_id", *keep, found.alias("x")).select("doc_id", *keep, F.unhex("x.ids").alias("ids"), F.col("x.back").cast("binary").alias("decoded"))
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

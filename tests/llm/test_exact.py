@@ -227,6 +227,14 @@ def test_byte_bpe(docs, awkward):
     assert byte_bpe.encode(docs([]), path).collect() == []
 
 
+def test_byte_bpe_cache_holds_no_second_text(spark, docs):
+    literals = common.save(byte_bpe.rank_literals(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), "test-ranks")
+    known = byte_bpe.frequent(docs(["the house", "the naïve 日本語"]), literals, 100, 100).first()["known"]
+    held = {piece: v for per in known for piece, v in per.items()}
+    assert set(held) == {"the", " house", " naïve", " 日本語"}
+    assert all(v.ids and v.back is None for v in held.values())
+
+
 def test_ranks_that_are_no_merge_list(spark, tmp_path):
     import base64
 
