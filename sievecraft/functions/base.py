@@ -15,11 +15,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(text: Column) -> Column:
     """Text without Unicode blanks at both ends; null becomes empty."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", "")
+    # One match from the first to the last letter; blanks inside the text are not tried one by one.
+    return F.regexp_extract(F.coalesce(text, F.lit("")), r"(?Us)^\s*+(.*\S)", 1)
 
 
 def blank(text: Column) -> Column:
-    return strip(text) == ""
+    # The first letter that is no blank decides.
+    return ~F.coalesce(text, F.lit("")).rlike(r"(?U)\S")
 
 
 def non_empty(text: Column) -> Column:

@@ -164,7 +164,8 @@ def caption_use(caption: Column, allowed: Column, keep: str = HAN) -> Column:
 
 
 def normalise_label(text: Column) -> Column:
-    return F.regexp_replace(F.lower(strip(text)), r"(?U)\s+", " ")
+    # Runs that are one space already are not replaced.
+    return F.regexp_replace(F.lower(strip(text)), r"(?U) \s+|[^\S ]\s*", " ")
 
 
 def parse_date(text: Column) -> Column:

@@ -73,15 +73,22 @@ def is_noise(label: Column, noise: Sequence[str] = NOISE, patterns: Sequence[str
             return n.rlike(joined(patterns))
         # Bound patterns look at the start only; for the others texts are searched that hold a word of theirs (two letters fold to plain ones).
         first = "(?iU)^(?:" + "|".join(p[1:] for p in patterns if p.startswith("^")) + ")"
-        holds = let(F.replace(F.replace(n, F.lit("ſ"), F.lit("s")), F.lit("ı"), F.lit("i")), lambda t: F.array_contains(F.array(*[F.contains(t, F.lit(w)) for w in NOISE_WORDS]), True))
-        return n.rlike(first) | (holds & n.rlike(joined(p for p in patterns if not p.startswith("^"))))
+        def holds(t: Column) -> Column:
+            # Words of plain letters in all texts; the others in texts that have other letters.
+            plain, others = (F.array_contains(F.array(*[F.contains(t, F.lit(w)) for w in NOISE_WORDS if w.isascii() == a]), True) for a in (True, False))
+            return plain | ((F.octet_length(t) > F.length(t)) & others)
+
+        folded = F.when(F.octet_length(n) > F.length(n), F.replace(F.replace(n, F.lit("ſ"), F.lit("s")), F.lit("ı"), F.lit("i"))).otherwise(n)
+        return n.rlike(first) | (let(folded, holds) & n.rlike(joined(p for p in patterns if not p.startswith("^"))))
 
     return let(normalise_label(label), lambda n: (n == "") | n.rlike(f"^(?:{any_of})(?: |$)") | ((F.length(n) <= 64) & n.rlike(f"(?:{any_of})")) | found(n))
 
 
 def _written(t: Column) -> Column:
     """Content script; or long with diacritics; or with words; or long plain ASCII."""
-    return t.rlike(CONTENT) | ((F.length(t) >= 20) & t.rlike("(?iu)" + DIACRITICS)) | ((F.length(t) >= 16) & (F.regexp_count(t, F.lit("[A-Za-z]{4,}")) >= 2)) | ((F.length(t) >= 20) & t.rlike(r"""(?U)^[A-Za-z0-9\s.,!?'"\-:#@]+$"""))
+    # The second word ends the search, so most texts are settled by their beginning; the rest of the rules read all of a text.
+    words = F.size(F.split(t, "[A-Za-z]{4,}", 3)) == 3
+    return ((F.length(t) >= 16) & words) | t.rlike(CONTENT) | ((F.length(t) >= 20) & t.rlike("(?iu)" + DIACRITICS)) | ((F.length(t) >= 20) & t.rlike(r"""(?U)^[A-Za-z0-9\s.,!?'"\-:#@]+$"""))
 
 
 def is_content(label: Column) -> Column:
