@@ -92,8 +92,12 @@ def rank_literals(spark: SparkSession, path: str) -> DataFrame:
     pairs = pa.StructArray.from_arrays([pa.array([by_id[i] for i in other], pa.binary()), pa.array(ids[other])], ["k", "v"])
     maps = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pairs)
     tokens = pa.StructArray.from_arrays([pa.array([ranks[t].to_bytes(4, "little").hex() for t in by_id]), pa.array([t.hex() for t in by_id]), pa.array(by_id, pa.binary())], ["le", "bytes", "raw"])
-    places = [[(i + 1, k, i << LENGTH_BITS | k) for i in range(n) for k in range(2, min(longest, n - i) + 1)] for n in range(SHORT + 1)]
-    spans = pa.array([[{"at": a, "n": k, "code": c} for a, k, c in x] for x in places], pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("code", pa.int64())])))
+    # As columns of numbers: an object for each of the 36,000 strings would stay in the driver's memory.
+    of = [(i, k) for n in range(SHORT + 1) for i in range(n) for k in range(2, min(longest, n - i) + 1)]
+    start, n = np.array(of, np.int64).T
+    of = [sum(min(longest, k - i) - 1 for i in range(k) if k - i > 1) for k in range(SHORT + 1)]
+    fields = [pa.array((start + 1).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(start << LENGTH_BITS | n)]
+    spans = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(of)]).astype(np.int32)), pa.StructArray.from_arrays(fields, ["at", "n", "code"]))
     one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
     row = pa.table({"ids": one(pa.array(table)), "others": one(maps), "tokens": one(tokens), "spans": one(spans), "longest": pa.array([longest], pa.int32())})
     return spark.createDataFrame(row).withColumn("others", F.transform("others", F.map_from_entries))
