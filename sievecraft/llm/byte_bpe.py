@@ -1,22 +1,21 @@
 """Byte-level BPE with Spark's higher-order functions.
 
-A text is cut by the tokenizer's pattern. The ranked merges of a piece, as an array of
-bytes, are one fold: all its byte strings that are tokens, in order of rank and then of
-place, are merged one by one; a string is merged if both its ends are borders of tokens
-and exactly one more border lies inside. The borders are the fold's state: the bits of
-one number, or for pieces of over 61 bytes a string of flags. This gives what merging
-the lowest-ranked neighbours again and again gives, as long as the ranks are those of a
-merge list: each token comes out of its own bytes by merges of rising ranks. That is
-checked when the rank file is read; other files are refused.
-
-The ranks are a literal map from bytes to ids: a table by checksum names one token, whose
-bytes are compared; tokens whose place is taken are in small maps, by checksum too, as a
-map's look-up reads all its keys.
+A text is cut by the tokenizer's pattern. The ranked merges of a piece are one fold over
+its byte strings that are tokens, in order of rank: the state is a text of one character
+per token, at first one per byte, and a step replaces the two characters whose merge
+makes the token by the token's own. This gives what merging the lowest-ranked neighbours
+again and again gives, as long as the ranks are those of a merge list: each token comes
+out of its own bytes by merges of rising ranks, so that where a token's string begins and
+ends at borders, its inside has come to the two tokens of its last merge. That is checked
+when the rank file is read; other files are refused.
+
+The ranks are a literal: a table by checksum names the token, or the few tokens, that a
+string may be. A string that only shares a checksum costs a step that finds nothing.
 
 Distinct pieces are encoded once where that pays: the most frequent ones of a hashed
-sample of documents go into a second map of at most ``cache`` pieces, which bounds what
-is sent to executors. It saves time only: a piece that is not in it is folded where it
-stands, with the same result, since joining rare pieces back would shuffle all texts.
+sample of documents go into a map of at most ``cache`` pieces, which bounds what is sent
+to executors. It saves time only: a piece that is not in it is folded where it stands,
+with the same result, since joining rare pieces back would shuffle all texts.
 
 Decoding looks each id's bytes up and concatenates them: piece by piece as the ids are
 made, or from the emitted ids (``decode_ids``). The map of pieces takes only those whose
@@ -25,8 +24,7 @@ text inside a row and decoded pieces as text, as arrays of text join in one pass
 
 Defined results: null and empty texts have no ids and decode to nothing; of equal
 strings the leftmost is merged first; repeated rows each get a row; very long texts and
-pieces are encoded whole (a piece of n bytes copies n flags per merge). Extra columns
-are ignored.
+pieces are encoded whole (each step reads the piece once). Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,14 +40,12 @@ from pyspark.sql import functions as F
 from .common import discard, save, share, table
 from .separator_scan import rank_file
 
-#: Small maps of the tokens that have no place of their own, and of pieces.
-SLOTS, PIECE_SLOTS = 1 << 12, 1 << 16
+#: Pieces to a small map of the cache, about.
+PIECES = 4
 #: Places by checksum; most strings of a piece are no token, and an empty place tells.
 PLACES = 1 << 20
-#: Bytes of a piece whose borders fit one number.
-SHORT = 61
-#: Bits of a candidate's length, and of its place.
-LENGTH_BITS, PLACE_BITS = 8, 32
+#: Bytes of a piece whose strings are listed beforehand.
+SHORT = 40
 _ALTERNATIVES = public_tokenizers.PATTERN.split("|")
 _WORDS = [x for x in _ALTERNATIVES if x in (r" ?\p{L}+", r" ?\p{N}+")]
 #: The pattern in Java's syntax, where \s is ASCII by default. Words and numbers are tried first: no other alternative can begin where one of these matches, but for blanks, which come after them anyway.
@@ -61,57 +57,66 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def slot(key: Column) -> Column:
-    return F.crc32(key.cast("binary")).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+def slots(cache: int) -> int:
+    """Small maps for so many pieces: a power of two, as a map's look-up reads all its keys."""
+    return 1 << (cache // PIECES).bit_length()
 
 
-def piece_slot(piece: Column) -> Column:
-    return F.xxhash64(piece).bitwiseAND(F.lit(PIECE_SLOTS - 1)).cast("int")
+def piece_slot(piece: Column, of: int) -> Column:
+    return F.xxhash64(piece).bitwiseAND(F.lit(of - 1)).cast("int")
 
 
 def rank_literals(spark: SparkSession, path: str) -> DataFrame:
-    """A one-row table: ``ids``, by checksum the first token that has it; ``others``, maps by slot from the other
-    tokens' bytes to their ids; ``tokens``, by id its little-endian and its bytes as hex, and its bytes; ``spans``, by a
-    short piece's size the places and lengths of its strings.
+    """A one-row table: ``ids``, by checksum the token of two bytes or more that has it, -1 for none, or ``n`` and more for
+    a list of ``many``; ``old`` and ``new``, by id the characters that a merge takes and makes; ``id_of``, by character its
+    id; ``tokens``, by id its little-endian and its bytes as hex; ``spans``, by a short piece's size the places and lengths
+    of its strings.
 
     It goes to Spark as an Arrow table: written into the plan, its text would be kept with every query.
     """
     ranks = rank_file(path)
     by_id = sorted(ranks, key=ranks.get)
-    longest = max(map(len, by_id))
-    if longest >= 1 << LENGTH_BITS or not all(rising(ranks, t) for t in by_id):
+    merges = [last_merge(ranks, t) for t in by_id]
+    if [ranks[t] for t in by_id] != list(range(len(by_id))) or merges.count(()) != 256 or None in merges:
         raise ValueError(f"the ranks of {path} are not those of a merge list")
-    crc = np.array([zlib.crc32(t) for t in by_id])
-    ids = np.array([ranks[t] for t in by_id], np.int32)
-    taken, first = np.unique(crc % PLACES, return_index=True)
+    n, longest = len(by_id), max(map(len, by_id))
+    # Bytes are the first 256 characters; surrogates are none.
+    of_id = np.array([t[0] if len(t) == 1 else 256 + i + 2048 * (i >= 0xD700) for i, t in enumerate(by_id)])
+    id_of = np.full(of_id.max() + 1, -1, np.int32)
+    id_of[of_id] = np.arange(n)
+    sign = list(map(chr, of_id.tolist()))
+    longer = np.array([i for i, m in enumerate(merges) if m], np.int32)
+    place = np.array([zlib.crc32(by_id[i]) for i in longer], np.int64) % PLACES
+    longer = longer[np.argsort(place, kind="stable")]
+    place, first, held = np.unique(np.sort(place), return_index=True, return_counts=True)
+    shared = held > 1
     table = np.full(PLACES, -1, np.int32)
-    table[taken] = ids[first]
-    other = np.setdiff1d(np.arange(len(by_id)), first)
-    other = other[np.argsort(crc[other] % SLOTS, kind="stable")]
-    ends = np.searchsorted(crc[other] % SLOTS, np.arange(SLOTS + 1))
-    pairs = pa.StructArray.from_arrays([pa.array([by_id[i] for i in other], pa.binary()), pa.array(ids[other])], ["k", "v"])
-    maps = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pairs)
-    tokens = pa.StructArray.from_arrays([pa.array([ranks[t].to_bytes(4, "little").hex() for t in by_id]), pa.array([t.hex() for t in by_id]), pa.array(by_id, pa.binary())], ["le", "bytes", "raw"])
-    # As columns of numbers: an object for each of the 36,000 strings would stay in the driver's memory.
-    of = [(i, k) for n in range(SHORT + 1) for i in range(n) for k in range(2, min(longest, n - i) + 1)]
-    start, n = np.array(of, np.int64).T
+    table[place] = np.where(shared, n + np.cumsum(shared) - 1, longer[first] if len(longer) else 0)
+    ends = np.concatenate([[0], np.cumsum(held[shared])]).astype(np.int32)
+    many = pa.ListArray.from_arrays(pa.array(ends), pa.array(longer[np.repeat(shared, held)]))
+    none = [""] * len(many)
+    old, new = [sign[m[0]] + sign[m[1]] if m else "" for m in merges] + none, [s if m else "" for s, m in zip(sign, merges, strict=True)] + none
+    tokens = pa.StructArray.from_arrays([pa.array([i.to_bytes(4, "little").hex() for i in range(n)]), pa.array([t.hex().upper() for t in by_id])], ["le", "bytes"])
+    of = [(i, k) for size in range(SHORT + 1) for i in range(size) for k in range(2, min(longest, size - i) + 1)]
+    start, size = np.array(of, np.int32).T
     of = [sum(min(longest, k - i) - 1 for i in range(k) if k - i > 1) for k in range(SHORT + 1)]
-    fields = [pa.array((start + 1).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(start << LENGTH_BITS | n)]
-    spans = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(of)]).astype(np.int32)), pa.StructArray.from_arrays(fields, ["at", "n", "code"]))
+    spans = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(of)]).astype(np.int32)), pa.StructArray.from_arrays([pa.array(start + 1), pa.array(size)], ["at", "n"]))
     one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    row = pa.table({"ids": one(pa.array(table)), "others": one(maps), "tokens": one(tokens), "spans": one(spans), "longest": pa.array([longest], pa.int32())})
-    return spark.createDataFrame(row).withColumn("others", F.transform("others", F.map_from_entries))
+    lists = {"ids": pa.array(table), "many": many, "old": pa.array(old), "new": pa.array(new), "id_of": pa.array(id_of), "tokens": tokens, "spans": spans}
+    row = {k: one(x) for k, x in lists.items()} | {k: pa.array([x], pa.int32()) for k, x in (("n", n), ("longest", longest))}
+    return spark.createDataFrame(pa.table(row))
 
 
-def rising(ranks: dict[bytes, int], token: bytes) -> bool:
-    """Whether merges of rising ranks make the token of its bytes, and every byte is a token."""
-    parts, last = [token[i : i + 1] for i in range(len(token))], -1
+def last_merge(ranks: dict[bytes, int], token: bytes) -> tuple[int, ...] | None:
+    """The ids of the two tokens that make the token in the last of merges of rising ranks; () for a byte; None if no such merges do."""
+    parts, last, made = [token[i : i + 1] for i in range(len(token))], -1, ()
     while len(parts) > 1:
         low, at = min((ranks.get(a + b, len(ranks)), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
         if low == len(ranks) or low < last:
-            return False
+            return None
+        made = ranks.get(parts[at], -1), ranks.get(parts[at + 1], -1)
         parts[at : at + 2], last = [parts[at] + parts[at + 1]], low
-    return parts[0] in ranks
+    return None if -1 in made else made
 
 
 def with_literals(df: DataFrame, literals: DataFrame) -> DataFrame:
@@ -132,66 +137,27 @@ def encode_piece(lit: Column, piece: Column) -> Column:
 def _encode_bytes(lit: Column, raw: Column) -> Column:
     """The ids of a piece's bytes. Few nodes per string: the fold is interpreted, and its nodes are the work."""
     size = F.octet_length(raw)
-    long = lambda x: F.lit(x).cast("long")
 
-    def first_at(at: Column, length: Column) -> Column:  # at: from 1
-        return F.get(lit["ids"], F.crc32(F.substring(raw, at, length)).bitwiseAND(F.lit(PLACES - 1)).cast("int"))
-
-    def id_at(at: Column, length: Column) -> Column:
-        part = F.substring(raw, at, length)
-        return let(first_at(at, length), lambda i: F.when(F.get(lit["tokens"], i)["raw"] == part, i).otherwise(F.get(lit["others"], slot(part))[part]))
-
-    def may_be(at: Column, length: Column) -> Column:
-        return first_at(at, length) >= 0
-
-    # A candidate is one number, which sorts by rank, then place.
-    place = lambda c: F.shiftright(c, LENGTH_BITS).bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
-    length = lambda c: c.bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)).cast("int")
-
-    def candidate(at: Column, n: Column, code: Column) -> Column:
-        return F.shiftleft(id_at(at, n).cast("long"), LENGTH_BITS + PLACE_BITS).bitwiseOR(code)
-
-    def short() -> Column:
-        tried = F.filter(F.get(lit["spans"], size), lambda x: may_be(x["at"], x["n"]))
-        found = F.filter(F.transform(tried, lambda x: candidate(x["at"], x["n"], x["code"])), lambda c: c.isNotNull())
-
-        def step(m: Column, c: Column) -> Column:
-            here = F.call_function("shiftrightunsigned", m, place(c))
-            ends = F.call_function("shiftleft", long(1), length(c)).bitwiseOR(long(1))
-            inside = here.bitwiseAND(F.call_function("shiftleft", long(2), length(c)) - 1)
-            joins = (here.bitwiseAND(ends) == ends) & (F.bit_count(inside) == 3)
-            return F.when(joins, m.bitwiseXOR(F.call_function("shiftleft", inside.bitwiseXOR(ends), place(c)))).otherwise(m)
-
-        all_borders = F.call_function("shiftleft", long(2), size) - 1
-
-        def ids(m: Column) -> Column:
-            rest = lambda k: F.call_function("shiftrightunsigned", m, k + 1)
-            to_next = lambda k: let(rest(k), lambda x: F.bit_count(x.bitwiseAND(-x) - 1) + 1)
-            starts = F.filter(F.sequence(F.lit(0), size - 1), lambda k: F.call_function("shiftrightunsigned", m, k).bitwiseAND(long(1)) == 1)
-            return F.transform(starts, lambda k: let(to_next(k), lambda n: id_at(k + 1, n)))
-
-        return let(F.aggregate(F.sort_array(found), all_borders, step), ids)
-
-    def whole() -> Column:
-        # The same fold over flags, one byte for each border.
+    def strings(ids: Column) -> Column:
+        """What the places of the piece's strings name."""
+        named = lambda at, n: F.get(ids, F.crc32(F.substring(raw, at, n)).bitwiseAND(F.lit(PLACES - 1)).cast("int"))
+        short = F.array_remove(F.transform(F.get(lit["spans"], size), lambda x: named(x["at"], x["n"])), -1)
         lengths = lambda i: F.sequence(F.lit(2), F.least(lit["longest"], size - i))
-        tried = lambda i: F.filter(lengths(i), lambda n: may_be(i + 1, n))
-        code = lambda i, n: F.shiftleft(i.cast("long"), LENGTH_BITS).bitwiseOR(n.cast("long"))
-        at = lambda i: F.filter(F.transform(tried(i), lambda n: candidate(i + 1, n, code(i, n))), lambda c: c.isNotNull())
-        found = F.flatten(F.transform(F.sequence(F.lit(0), size - 2), at))
+        # In a long piece a checksum without the bytes would come up too often.
+        real = lambda v, at, n: (v < 0) | (v >= lit["n"]) | (F.get(lit["tokens"], v)["bytes"] == F.hex(F.substring(raw, at, n)))
+        sure = lambda at, n: let(named(at, n), lambda v: F.when(real(v, at, n), v).otherwise(-1))
+        at = lambda i: F.array_remove(F.transform(lengths(i), lambda n: sure(i + 1, n)), -1)
+        return F.when(size <= SHORT, short).otherwise(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), size - 2), at))))
 
-        def step(m: Column, c: Column) -> Column:
-            part = F.substring(m, place(c) + 1, length(c) + 1).cast("string")
-            joins = part.startswith("1") & part.endswith("1") & (F.replace(part, F.lit("0"), F.lit("")) == "111")
-            return F.when(joins, F.overlay(m, F.repeat(F.lit("0"), length(c) - 1).cast("binary"), place(c) + 2, length(c) - 1)).otherwise(m)
+    def all_tokens(found: Column) -> Column:
+        return let(lit["n"], lambda n: F.concat(found, F.flatten(F.transform(F.filter(found, lambda v: v >= n), lambda v: F.get(lit["many"], v - n)))))
 
-        def ids(m: Column) -> Column:
-            starts = F.filter(F.sequence(F.lit(0), size - 1), lambda k: F.substring(m, k + 1, F.lit(1)) == F.lit("1").cast("binary"))
-            return let(starts, lambda s: F.transform(s, lambda k, i: let(F.coalesce(F.get(s, i + 1), size) - k, lambda n: id_at(k + 1, n))))
+    def merged(found: Column) -> Column:
+        step = lambda old, new: lambda m, v: F.replace(m, F.get(old, v), F.get(new, v))
+        return let(lit["old"], lambda old: let(lit["new"], lambda new: F.aggregate(F.sort_array(found), F.decode(raw, "ISO-8859-1"), step(old, new))))
 
-        return let(F.aggregate(F.sort_array(found), F.repeat(F.lit("1"), size + 1).cast("binary"), step), ids)
-
-    return F.when(size <= SHORT, short()).otherwise(whole())
+    found = let(let(lit["ids"], strings), all_tokens)
+    return let(lit["id_of"], lambda id_of: F.transform(F.split(merged(found), ""), lambda c: F.get(id_of, F.ascii(c))))
 
 
 def decode(tokens: Column, ids: Column) -> Column:
@@ -236,8 +202,8 @@ def frequent(documents: DataFrame, literals: DataFrame, cache: int, sample: int)
     spread = with_literals(top.repartition(64, "piece"), literals)
     coded = spread.select("piece", let(F.col("lit"), lambda x: coded_piece(x, F.col("piece"))).alias("v"))
     exact = coded.where(F.col("v.back") == F.col("piece")).select("piece", F.struct(F.col("v.ids"), F.lit(None).cast("string").alias("back")).alias("v"))
-    per = exact.groupBy(piece_slot(F.col("piece")).alias("slot")).agg(F.collect_list(F.struct("piece", "v")).alias("e"))
-    all_slots = documents.sparkSession.range(PIECE_SLOTS).select(F.col("id").cast("int").alias("slot"))
+    per = exact.groupBy(piece_slot(F.col("piece"), slots(cache)).alias("slot")).agg(F.collect_list(F.struct("piece", "v")).alias("e"))
+    all_slots = documents.sparkSession.range(slots(cache)).select(F.col("id").cast("int").alias("slot"))
     none = F.array().cast("array<struct<piece:string,v:struct<ids:string,back:string>>>")
     filled = save(all_slots.join(per, "slot", "left").select("slot", F.coalesce("e", none).alias("e")), "bpe-slots")
     one = filled.agg(F.array_sort(F.collect_list(F.struct("slot", "e"))).alias("s")).select(F.transform("s", lambda x: F.map_from_entries(x["e"])).alias("known"))
@@ -252,9 +218,17 @@ def encode(documents: DataFrame, path: str, cache: int = 300_000, sample: int =
     known = frequent(documents, literals, cache, sample)
 
     def coded(x: Column, known: Column) -> Column:
+        def folded(p: Column) -> Column:  # what the ids decode to follows them only where it is not the piece
+            return let(coded_piece(x, p), lambda v: F.when(v["back"] == p, v["ids"]).otherwise(F.concat(v["ids"], F.lit("|"), v["back"])))
+
+        def decoded(c: Column, p: Column) -> Column:
+            return F.when(F.contains(c, F.lit("|")), F.substring(c, F.instr(c, "|") + 1, F.length(c))).otherwise(p)
+
         def joined(ps: Column) -> Column:
-            one = lambda p: F.coalesce(F.get(known, piece_slot(p))[p], coded_piece(x, p))
-            return let(F.transform(ps, one), lambda c: F.struct(F.array_join(c["ids"], "").alias("ids"), F.array_join(F.zip_with(ps, c["back"], lambda p, b: F.coalesce(b, p)), "").alias("back")))
+            one = lambda p: F.coalesce(F.get(known, piece_slot(p, slots(cache)))[p]["ids"], folded(p))
+            same = lambda c: F.struct(F.array_join(c, "").alias("ids"), F.array_join(ps, "").alias("back"))
+            other = lambda c: F.struct(F.array_join(F.transform(c, lambda x: F.substring_index(x, "|", 1)), "").alias("ids"), F.array_join(F.zip_with(c, ps, decoded), "").alias("back"))
+            return let(F.transform(ps, one), lambda c: let(same(c), lambda v: F.when(F.contains(v["ids"], F.lit("|")), other(c)).otherwise(v)))
 
         return let(pieces(F.col("text")), joined)
 

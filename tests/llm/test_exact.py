@@ -235,6 +235,33 @@ def test_byte_bpe_cache_holds_no_second_text(spark, docs):
     assert all(v.ids and v.back is None for v in held.values())
 
 
+def test_byte_bpe_around_listed_sizes_and_shared_checksums(docs, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(["an", "in", "the", "q", "é", "ß", "ing", "日本", "a" * 7], 40))[:n] for n in range(1, 90)] + ["aaaaa", "\x7f|\x00"]
+    import tiktoken
+
+    enc = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=separator_scan.rank_file(path), special_tokens={})
+    # So few places that most are shared by many tokens.
+    monkeypatch.setattr(byte_bpe, "PLACES", 1 << 12)
+    got = byte_bpe.encode(docs(texts), path, cache=1).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got} == {i: enc.encode_ordinary(t) for i, t in enumerate(texts)}
+    assert {r.doc_id: bytes(r.decoded) for r in got} == {i: t.encode() for i, t in enumerate(texts)}
+
+
+def test_byte_bpe_literals_are_small(spark):
+    row = byte_bpe.rank_literals(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    # A small cache has few maps, and the strings of pieces that hardly occur are not listed.
+    assert byte_bpe.slots(30_000) <= 1 << 13 and row.selectExpr("aggregate(spans, 0, (n, x) -> n + size(x))").first()[0] < 12_000
+
+
+def test_byte_bpe_tells_ids_that_decode_to_another_text(docs, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    monkeypatch.setattr(byte_bpe, "decode", lambda tokens, ids: F.when(F.size(ids) > 1, F.hex(F.lit("x|y"))).otherwise(F.array_join(F.transform(ids, lambda i: F.get(tokens, i)["bytes"]), "")))
+    got = byte_bpe.encode(docs(["the the qzqzj the"]), path).first()
+    assert got.decoded == b"the thex|y the" and len(got.ids) > 16
+
+
 def test_ranks_that_are_no_merge_list(spark, tmp_path):
     import base64
 
