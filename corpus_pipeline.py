@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sievecraft.llm import byte_bpe, common, decontamination, near_copies, repeats, toxicity
 
 #: Frequent pieces that the last stage remembers; the driver holds them beside what earlier stages left there.
-CACHE = 60_000
+CACHE = 30_000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
