@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from sievecraft.llm import byte_bpe, common, decontamination, near_copies, quality_rules, repeats, separator_scan, token_codes
 
 SF = "/root/testdata/sf0.001"
@@ -258,7 +259,7 @@ def test_byte_bpe_literals_are_small(spark):
 def test_byte_bpe_tells_ids_that_decode_to_another_text(docs, monkeypatch):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     monkeypatch.setattr(byte_bpe, "decode", lambda tokens, ids: F.when(F.size(ids) > 1, F.hex(F.lit("x|y"))).otherwise(F.array_join(F.transform(ids, lambda i: F.get(tokens, i)["bytes"]), "")))
-    got = byte_bpe.encode(docs(["the the qzqzj the"]), path).first()
+    got = byte_bpe.encode(docs(["the the qzqzj the"]), path, cache=20).first()
     assert got.decoded == b"the thex|y the" and len(got.ids) > 16
 
 
