@@ -117,9 +117,9 @@ def _places(s: pd.Series, r: pd.Series, bare_s: pd.Series, bare_r: pd.Series) ->
     for p, q, x, y in zip(*(map(list, c) for c in (s, r, bare_s, bare_r)), strict=True):
         places: list[int] = []
         if len(p) == len(q):
-            index, free = Index(q), np.ones(len(q), bool)
-            for t in p:
-                bag = np.where(free, index.bags(t)[0], -1)
+            index, free = Index.of(p, q), np.ones(len(q), bool)
+            for k in range(len(p)):
+                bag = np.where(free, index.bags(k, k + 1)[0][0], -1)
                 at = int(bag.argmax())
                 if bag[at] < 5_000:
                     places = [-1]
@@ -127,9 +127,9 @@ def _places(s: pd.Series, r: pd.Series, bare_s: pd.Series, bare_r: pd.Series) ->
                 free[at] = False
                 places.append(at)
         elif len(p) and len(p) < len(q):
-            index = Index(p)
-            for t, whole in zip(q, y, strict=True):
-                bag = index.bags(t)[0]
+            index = Index.of(q, p)
+            for k, whole in enumerate(y):
+                bag = index.bags(k, k + 1)[0][0]
                 if whole:
                     bag = np.maximum(bag, np.fromiter((9_900 if whole in z else 0 for z in x), np.int64, len(x)))
                 places.append(int(bag.argmax()))

@@ -209,3 +209,62 @@ def test_runs_and_distances_of_texts():
             for j, d in enumerate(y, 1):
                 row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (c != d)))
         assert matching.text_distance(x, y) == row[-1]
+
+
+def test_distances_of_a_batch(monkeypatch):
+    """All ways in which a distance is found, for pairs of several numbers' places."""
+    rng = random.Random(7)
+    xs, ys = [], []
+    for letters in ("ab", "abcde", "abcdefghijklmnopqrstuvwxyz"):
+        for _ in range(40):
+            x = "".join(rng.choices(letters, k=rng.choice([0, 1, 5, 63, 64, 65, 130, 200])))
+            xs.append(x)
+            ys.append(rng.choice([x[::-1], "".join(c for c in x if rng.random() > 0.1), "".join(rng.choice(letters) if rng.random() < 0.05 else c for c in x), "".join(rng.choices(letters, k=rng.randint(0, 150)))]))
+    want = [plain_distance(x, y) for x, y in zip(xs, ys, strict=True)]
+    assert matching.text_distances(xs, ys) == want
+    for name, value in (("NEAR_FROM", 1), ("NEAR", 3), ("PAIRS", 1), ("NUMBERS", 7), ("PLACE_TABLE", 1), ("FEW", 2)):
+        monkeypatch.setattr(matching, name, value)
+        assert matching.text_distances(xs, ys) == want, name
+
+
+def test_blocks_of_pages_cut_at_seeds(monkeypatch):
+    rng = random.Random(9)
+    monkeypatch.setattr(matching, "SEED_CELLS", 0)
+    xs, ys = [], []
+    for _ in range(40):
+        lines = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 60))) for _ in range(9)]
+        x = "".join(rng.choices(lines, k=9))
+        xs += [x] * 3
+        ys += ["".join(rng.choices(lines, k=9)), "".join(c for c in x if rng.random() > 0.03), x[len(x) // 2 :] + x[: len(x) // 2]]
+    for places in (0, matching.SEED_HITS):
+        monkeypatch.setattr(matching, "SEED_HITS", places)
+        total, longest = matching.block_sizes(xs, ys)
+        assert list(zip(total.tolist(), longest.tolist(), strict=True)) == [plain_blocks(x, y) for x, y in zip(xs, ys, strict=True)]
+    assert {(i, j, n) for i, j, n in matching.segments("abcdefgx", "yabcdefg", 2)} == {(0, 1, 7)}
+
+
+def test_facts_of_lines_equal_columns(spark):
+    """Simplified, variant and other characters; a character left out; null lines."""
+    rng = random.Random(12)
+    letters = "论論远遠脩修爲為裏裡春風ab，\U0001f600"
+    line = lambda: rng.choice([None, "", "".join(rng.choices(letters, k=rng.randint(1, 9)))])
+    rows = [(line(), line()) for _ in range(80)] + [("春春春風", "春風風風"), ("脩修修", "修")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    x, y = m.norm(A), m.norm(B)
+    want = df.select(F.length(x).alias("size_a"), F.length(y).alias("size_b"), (x == y).alias("equal"), ((y != "") & F.contains(x, y)).alias("inside"), m.repeats_differ(A, B).alias("repeats")).collect()
+    assert [tuple(r.f) for r in df.select(m.line_facts()(A, B).alias("f")).collect()] == [tuple(r) for r in want] and any(r.repeats for r in want) and any(r.inside and not r.equal for r in want)
+    lists = spark.createDataFrame([([a for a, _ in rows], [b for _, b in rows]), (None, []), ([], None)], "a array<string>, b array<string>")
+    r = lists.select(m.page_facts()(A, B).alias("f"), m.page_matched()(A, B).alias("n"), m.line_wer(A, B).alias("wer"), m.bag_dice(F.array_join(A, ""), F.array_join(B, "")).alias("bag"), m.page_cer(F.array_join(A, ""), F.array_join(B, "")).alias("cer"), m.sequence_ratio(F.array_join(A, ""), F.array_join(B, "")).alias("ratio")).select(m.wer_of(F.col("f")), "wer", m.dice_of(F.col("f")), "bag", m.rate_of(F.col("f")), "cer", m.ratio_of({"size_a": F.col("f.size_a"), "size_b": F.col("f.size_b"), "equal": F.col("f.equal"), "matched": F.col("n")}), "ratio").collect()
+    assert tuple(r[0])[::2] == tuple(r[0])[1::2] and tuple(r[1])[::2] == (0.0, 1.0, 0.0, 100.0)
+
+
+def test_blocks_of_long_pages_are_dealt_out(spark, monkeypatch):
+    """A few bytes are not put into one task: the blocks of a page are as many tasks' work."""
+    for name, value in (("LONG", 0), ("BLOCK", 1)):
+        monkeypatch.setattr(alignment, name, value)
+    rows = spark.createDataFrame([(k, [f"a{k}b", "cd", "efg", "hij"], ["cd", "xy"]) for k in range(8)], "page int, a array<string>, b array<string>").coalesce(1)
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    assert [r.took for r in alignment.partners(rows, "a", "b", "a-z").orderBy("page").collect()] == [[-1, 0, -1, -1]] * 8
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    stages = [spark.sparkContext.statusTracker().getStageInfo(s) for j in jobs[: len(jobs) - before] for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) >= 16
