@@ -37,6 +37,8 @@ from .hashing import bitmap, marked, mix, powers, prefix, sliding_min, span_hash
 LENGTH, GRAM = 200, 64
 #: Bytes hashed at once. A longer text is hashed in pieces that overlap by LENGTH - 1.
 PIECE = 1 << 18
+#: Hashes of anchors that a task holds and sends at once; their counts are added up again afterwards.
+ANCHORS = 1 << 18
 #: An anchor with more occurrences than this is cut into blocks of so many distances.
 HOT, BLOCK = 4000, 16
 #: Contexts that a task holds, to merge equal ones, before it sends them.
@@ -94,7 +96,7 @@ def frequent_anchors(rows: DataFrame) -> DataFrame:
             for _, raw, offsets, _ in _pieces(batch):
                 held.append(runs(raw, offsets)[1])
                 size += len(held[-1])
-                if size > 1 << 21:
+                if size > ANCHORS:
                     yield counted(held)
                     held, size = [], 0
         if size:

@@ -304,3 +304,12 @@ def test_components_by_stars(spark, monkeypatch):
         parent[q] = p
     got = {r.cid: r.comp for r in near_copies.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: root(x) for x in list(parent)}
+
+
+def test_counts_of_anchors_do_not_depend_on_how_many_are_held(spark, monkeypatch):
+    rows = spark.createDataFrame([("abc " * 100,), ("x" + "abc " * 90,), ("".join(f"{k} " for k in range(200)),)] * 2, "text string").coalesce(1)
+    count = lambda: {(r.g, r.n) for r in repeats.frequent_anchors(rows).collect()}
+    want = count()
+    assert repeats.ANCHORS <= 1 << 18
+    monkeypatch.setattr(repeats, "ANCHORS", 1)
+    assert want and count() == want
